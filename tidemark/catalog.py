@@ -39,26 +39,31 @@ def _calendar(spark, d):
     return star.calendar_years((fx.trades(spark, d), "entry_ts"), (fx.alerts(spark, d), "timestamp"))
 
 
-def _dim_date(spark, d):
-    start, end = _calendar(spark, d)
+def _dim_date(spark, d, cal=None):
+    start, end = cal or _calendar(spark, d)
     return star.dim_date(spark, start, end), (start, end)
 
 
-def _fct_trades(spark, d):
+def _fct_trades(spark, d, cal=None):
     st, sp = _stg_trades(spark, d), _stg_prices(spark, d)
-    dates, cal = _dim_date(spark, d)
+    dates, cal = _dim_date(spark, d, cal)
     return star.fct_trades(st, dates, star.dim_symbol(st, sp), star.dim_source(st), calendar=cal)
 
 
-def _fct_alerts(spark, d):
+def _fct_alerts(spark, d, cal=None):
     sa = _stg_alerts(spark, d)
-    dates, cal = _dim_date(spark, d)
+    dates, cal = _dim_date(spark, d, cal)
     return star.fct_alerts(sa, dates, star.dim_rule(sa), calendar=cal)
 
 
+def _facts(spark, d):
+    cal = _calendar(spark, d)
+    return _fct_trades(spark, d, cal), _fct_alerts(spark, d, cal)
+
+
 # ---- staging, dimensions, facts ------------------------------------------------------------------------------
 
-register("stg_trades")(lambda s, d: _stg_trades(s, d).drop(*[c for c in ("loaded_at",)]))
+register("stg_trades")(_stg_trades)
 register("stg_alerts")(_stg_alerts)
 register("stg_prices")(_stg_prices)
 register("dim_date")(lambda s, d: _dim_date(s, d)[0])
@@ -87,7 +92,7 @@ register("security")(lambda s, d: marts.security(_fct_alerts(s, d)))
 register("top_ip_per_day")(lambda s, d: marts.top_ip_per_day(_fct_alerts(s, d)))
 register("trading_vs_security")(lambda s, d: marts.trading_vs_security(fx.trades(s, d), fx.alerts(s, d)))
 register("interval_join")(lambda s, d: marts.trading_vs_security(fx.trades(s, d), fx.alerts(s, d)))
-register("cross_domain")(lambda s, d: marts.cross_domain(_fct_trades(s, d), _fct_alerts(s, d)))
+register("cross_domain")(lambda s, d: marts.cross_domain(*_facts(s, d)))
 register("attack_geo")(lambda s, d: marts.attack_geo(fx.ip_geo(s, d), _stg_alerts(s, d)))
 register("trades_rollup")(lambda s, d: marts.trades_rollup(_stg_trades(s, d)))
 register("alerts_rollup")(lambda s, d: marts.alerts_rollup(_stg_alerts(s, d)))
@@ -95,3 +100,17 @@ register("prices")(lambda s, d: marts.prices(_stg_prices(s, d)))
 register("equity_vs_benchmark")(lambda s, d: marts.equity_vs_benchmark(fx.trades(s, d), _stg_prices(s, d)))
 register("win_rate_trend")(lambda s, d: marts.win_rate_trend(fx.trades(s, d)))
 register("duration_histogram")(lambda s, d: marts.duration_histogram(fx.trades(s, d)))
+
+# ---- ingest, cleaning, loads, lake, quality, streams ---------------------------------------------------------
+
+from tidemark.plans import scenarios as sc  # noqa: E402
+
+for _name in (
+    "scan_trades_csv", "pack_indicators", "validate_rejects", "alert_ingest", "alert_parse_errors", "alert_lookback",
+    "benchmark_ingest", "load_trades", "load_stats", "load_by_source", "load_alerts", "load_prices",
+    "snapshot_roundtrip", "lake_append", "lake_scan_trades", "lake_scan_alerts", "lake_scan_prices", "lake_as_of",
+    "lake_versions", "lake_compact", "quality_report", "model_checks", "run_summary", "stream_alert_ingest",
+    "stream_alerts_daily",
+):
+    register(_name)(getattr(sc, _name))
+register("validate_trades")(sc.validated_trades)

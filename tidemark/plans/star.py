@@ -40,17 +40,16 @@ def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def calendar_years(*ts_cols: tuple[DataFrame, str]) -> tuple[dt.date, dt.date]:
-    """Whole calendar years spanning the given timestamp columns (two scalars reach the driver)."""
-    lo, hi = None, None
+    """Whole calendar years spanning the given timestamp columns: one aggregation job, two scalars to the driver."""
+    dates = None
     for df, c in ts_cols:
-        row = df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi")).first()
-        if row["lo"] is not None:
-            lo = row["lo"] if lo is None else min(lo, row["lo"])
-            hi = row["hi"] if hi is None else max(hi, row["hi"])
-    if lo is None:
+        part = df.select(F.to_date(c).alias("d"))
+        dates = part if dates is None else dates.unionByName(part)
+    row = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+    if row["lo"] is None:
         today = dt.date.today()
         return dt.date(today.year, 1, 1), dt.date(today.year, 12, 31)
-    return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+    return dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31)
 
 
 def calendar_join_side(dates: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

@@ -69,4 +69,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     its real file size, so the planner's broadcast threshold is checked against actual bytes."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
