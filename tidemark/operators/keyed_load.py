@@ -87,7 +87,11 @@ def keyed_append(
         valid = valid.where(F.col(k).isNotNull())
     firsts = first_per_key(valid, keys, order_by).drop("__n")
     if existing is not None:
-        firsts = firsts.join(existing.select(*keys), list(keys), "left_anti")
+        # The table grows every day, the batch does not: find the batch's keys in the table with a semi-join
+        # whose small side is the batch (broadcast when its size allows, so the table is streamed, not
+        # shuffled), then drop those hits from the batch.
+        hits = existing.select(*keys).join(firsts.select(*keys), list(keys), "left_semi")
+        firsts = firsts.join(hits, list(keys), "left_anti")
     rows = firsts.observe(new, F.count(F.lit(1)).alias("inserted")).withColumns({
         "loaded_at": F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"),
         LOAD_ID: F.lit(load_id),

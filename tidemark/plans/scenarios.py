@@ -122,8 +122,10 @@ def benchmark_ingest(spark: SparkSession, sf_dir: str, start: dt.date = PRICE_ST
 # ---- keyed loads (L1-L5) -------------------------------------------------------------------------------------
 
 def _trade_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[keyed_load.LoadStats]]:
-    """Three daily runs: the first sees only the oanda file, the next two see both brokers."""
-    clean = validated_trades(spark, sf_dir)
+    """Three daily runs: the first sees only the oanda file, the next two see both brokers. The validated batch is
+    written once as the day's snapshot and the loads read it from there."""
+    snap = lake.snapshot(validated_trades(spark, sf_dir), scratch_path(spark, "exports"), "trades", dt.date(2024, 2, 1))
+    clean = spark.read.parquet(snap)
     path = scratch_path(spark, "raw_trades")
     stats = [
         keyed_load.keyed_append(spark, path, clean.where(F.col("source") == "oanda"), TRADE_KEYS, TRADE_ORDER),
