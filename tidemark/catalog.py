@@ -91,7 +91,7 @@ register("alert_top_sources")(lambda s, d: marts.alert_top_sources(fx.alerts(s,
 register("security")(lambda s, d: marts.security(_fct_alerts(s, d)))
 register("top_ip_per_day")(lambda s, d: marts.top_ip_per_day(_fct_alerts(s, d)))
 register("trading_vs_security")(lambda s, d: marts.trading_vs_security(fx.trades(s, d), fx.alerts(s, d)))
-register("interval_join")(lambda s, d: marts.trading_vs_security(fx.trades(s, d), fx.alerts(s, d)))
+register("interval_join")(lambda s, d: marts.interval_counts(fx.trades(s, d), fx.alerts(s, d)))
 register("cross_domain")(lambda s, d: marts.cross_domain(*_facts(s, d)))
 register("attack_geo")(lambda s, d: marts.attack_geo(fx.ip_geo(s, d), _stg_alerts(s, d)))
 register("trades_rollup")(lambda s, d: marts.trades_rollup(_stg_trades(s, d)))

@@ -276,6 +276,24 @@ def trading_vs_security(trades: DataFrame, alerts: DataFrame, partitions: int |
     )
 
 
+def interval_counts(trades: DataFrame, alerts: DataFrame, half_width_minutes: int = 30,
+                    partitions: int | None = None) -> DataFrame:
+    """J3 on its own: every trade with the number of alerts (and of high-severity alerts) whose time lies within
+    +-h of its entry, computed by the sweep (no pairs are formed)."""
+    from tidemark.operators.interval import window_counts
+
+    counts = window_counts(
+        trades, alerts, trade_key="id", trade_ts="entry_ts", alert_key="id", alert_ts="timestamp",
+        alert_flag=F.col("rule_level") >= HIGH_SEVERITY_LEVEL,
+        half_width_micros=half_width_minutes * MICROS_PER_MINUTE, partitions=partitions,
+    )
+    return trades.select("id", "entry_ts").join(counts, "id", "left").select(
+        F.col("id").alias("trade_pk"), "entry_ts",
+        F.coalesce(F.col("__n"), F.lit(0)).alias("alerts_within_window"),
+        F.coalesce(F.col("__nf"), F.lit(0)).alias("high_severity_alerts"),
+    )
+
+
 def cross_domain(fct_trades: DataFrame, fct_alerts: DataFrame, partitions: int | None = None) -> DataFrame:
     """M9: the same on the facts, grouped by the trade's attributes (not its surrogate key)."""
     return correlate(
