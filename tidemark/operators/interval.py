@@ -135,10 +135,14 @@ def correlate(
     high_col: str = "high_severity_alerts",
     desc_col: str = "alert_descriptions",
     partitions: int | None = None,
+    key_in_group: bool = False,
 ) -> DataFrame:
     """GROUP BY `group_cols` of trades LEFT JOIN alerts ON alert_ts BETWEEN ts - h AND ts + h, with
     COUNT(alert_key), COUNT(alert_key) FILTER (level >= high_level) and
-    STRING_AGG(DISTINCT desc, '; ' ORDER BY desc) (NULL when nothing matched)."""
+    STRING_AGG(DISTINCT desc, '; ' ORDER BY desc) (NULL when nothing matched).
+
+    With `key_in_group` (the trade key is one of the group columns, so each group is one trade) the matches are
+    aggregated per key and joined to the trades once; otherwise trades sharing all group values are merged."""
     h = half_width_minutes * 60 * 1_000_000
     counts = window_counts(
         trades, alerts, trade_key=trade_key, trade_ts=trade_ts, alert_key=alert_key, alert_ts=alert_ts,
@@ -153,6 +157,15 @@ def correlate(
     group_exprs = [F.col(c) if isinstance(c, str) else c for c in group_cols]
     base = trades.select(F.col(trade_key).alias("__key"), *group_exprs)
     names = [c for c in base.columns if c != "__key"]
+    if key_in_group:
+        per_key = per_trade.groupBy(F.col(trade_key).alias("__key")).agg(
+            F.sum("__n").alias("__n"), F.sum("__nf").alias("__nf"), F.collect_set("__desc").alias("__set"))
+        return base.join(per_key, "__key", "left").select(
+            *names,
+            F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
+            F.coalesce(F.col("__nf"), F.lit(0)).cast("long").alias(high_col),
+            sorted_distinct_join(F.coalesce(F.col("__set"), F.array().cast("array<string>"))).alias(desc_col),
+        )
     joined = base.join(per_trade.withColumnRenamed(trade_key, "__key"), "__key", "left")
     return joined.groupBy(*names).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(count_col),

@@ -1,23 +1,33 @@
 """Running totals over a whole table without a single-partition window.
 
 `SUM(x) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)` written directly makes Spark move every row into one task
-(`Exchange SinglePartition`). Here the rows are range-partitioned on the (unique) order key instead, so every
-range holds about the same number of rows whatever the skew of the time column; each range computes a local
-running sum with an ordinary window, the per-range totals (one row per range, a bound we choose) give each range
-its offset, and the offset table is broadcast back. The staged ranges are checkpointed, so the per-range totals
-and the rows are computed from the same range boundaries and survive the loss of an executor.
+(`Exchange SinglePartition`). Here the rows are cut into ranges of the (unique) order key instead:
+
+1. A random sample of the keys (a bounded top-k by a random number, so one pass and never more than
+   `sample_per_range` keys per range reach the driver) gives range boundaries; the range of a row is found by a
+   binary tree of comparisons against those boundaries, written as literals into the plan. The range id is thus
+   a deterministic function of the row: recomputing a lost task gives the same ranges, and the boundaries only
+   decide the balance, never the result. Because the key is unique, a time instant holding a third of all rows is
+   still split over many ranges.
+2. One shuffle on the range id; each range computes its local running sum with an ordinary window.
+3. Per-range totals are a partial aggregation over the input (one row per range, a bound we set); an exclusive
+   prefix over them gives each range its offset, broadcast back to the rows.
+
+Running maxima of a running sum need each range's largest local sum, which only the windowed rows know; that
+variant checkpoints the windowed rows so they are computed once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
 RANGE_ID = "__ra_range"
+SAMPLE_PER_RANGE = 64
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -26,6 +36,37 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _sort_key(row: tuple) -> tuple:
+    # ascending, NULL first: the order of Spark's struct comparison and of the window below
+    return tuple((v is not None, v) for v in row)
+
+
+def range_id(df: DataFrame, order_by: Sequence[str], ranges: int, sample_per_range: int = SAMPLE_PER_RANGE,
+             seed: int = 17) -> Column:
+    """Expression giving each row its range (0 .. ranges-1) of `order_by`, from a bounded random sample."""
+    k = max(ranges * sample_per_range, 1)
+    sample = df.select(*order_by).orderBy(F.rand(seed)).limit(k).collect()
+    keys = sorted((tuple(r) for r in sample), key=_sort_key)
+    bounds: list[tuple] = []
+    for j in range(1, ranges):
+        b = keys[(j * len(keys)) // ranges] if keys else None
+        if b is not None and (not bounds or _sort_key(b) > _sort_key(bounds[-1])):
+            bounds.append(b)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(c) for c in order_by])
+
+    def lit(b: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_by, b)])
+
+    def tree(lo: int, hi: int) -> Column:  # the number of boundaries <= row, known to lie in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row < lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds))
+
+
 def running_aggregate(
     df: DataFrame,
     order_by: Sequence[str],
@@ -42,32 +83,37 @@ def running_aggregate(
     """
     peaks = dict(peaks or {})
     n = _partitions(df, partitions)
-    order_cols = [F.col(c) for c in order_by]
-    local = Window.partitionBy(RANGE_ID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = df.withColumn(RANGE_ID, range_id(df, order_by, n))
+    local = Window.partitionBy(RANGE_ID).orderBy(*[F.col(c) for c in order_by]).rowsBetween(
+        Window.unboundedPreceding, 0)
 
-    staged = df.repartitionByRange(n, *order_cols).withColumn(RANGE_ID, F.spark_partition_id())
+    staged = ranged
     for out, src in sums.items():
         staged = staged.withColumn(f"__ra_l_{out}", F.sum(F.col(src)).over(local))
-    for out, of in peaks.items():
-        staged = staged.withColumn(f"__ra_lp_{out}", F.max(F.col(f"__ra_l_{of}")).over(local))
-    staged = cut_lineage(staged)
+    aggs = [F.sum(F.col(src)).alias(f"__ra_t_{out}") for out, src in sums.items()]
+    if peaks:
+        for out, of in peaks.items():
+            staged = staged.withColumn(f"__ra_lp_{out}", F.max(F.col(f"__ra_l_{of}")).over(local))
+        staged = cut_lineage(staged)
+        aggs += [F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()]
+        per_range = staged.groupBy(RANGE_ID).agg(*aggs)
+    else:
+        per_range = ranged.groupBy(RANGE_ID).agg(*aggs)
 
     # One row per range: at most `n` rows, so the prefix window and the broadcast are bounded by construction.
-    aggs = [F.sum(F.col(src)).alias(f"__ra_t_{out}") for out, src in sums.items()]
-    aggs += [F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()]
-    ranges = staged.groupBy(RANGE_ID).agg(*aggs)
     before = Window.orderBy(RANGE_ID).rowsBetween(Window.unboundedPreceding, -1)
     for out in sums:
-        ranges = ranges.withColumn(f"__ra_o_{out}", F.coalesce(F.sum(f"__ra_t_{out}").over(before), F.lit(0)))
+        per_range = per_range.withColumn(f"__ra_o_{out}", F.coalesce(F.sum(f"__ra_t_{out}").over(before), F.lit(0)))
     for out, of in peaks.items():
-        ranges = ranges.withColumn(f"__ra_pp_{out}", F.max(F.col(f"__ra_o_{of}") + F.col(f"__ra_m_{out}")).over(before))
+        per_range = per_range.withColumn(
+            f"__ra_pp_{out}", F.max(F.col(f"__ra_o_{of}") + F.col(f"__ra_m_{out}")).over(before))
     keep = [RANGE_ID] + [f"__ra_o_{o}" for o in sums] + [f"__ra_pp_{o}" for o in peaks]
 
-    out_df = staged.join(F.broadcast(ranges.select(*keep)), RANGE_ID)
+    out_df = staged.join(F.broadcast(per_range.select(*keep)), RANGE_ID)
     for out in sums:
         out_df = out_df.withColumn(out, F.col(f"__ra_o_{out}") + F.col(f"__ra_l_{out}"))
     for out, of in peaks.items():
         # greatest() skips NULL, so the first range (no earlier peak) takes its own local peak.
-        out_df = out_df.withColumn(out, F.greatest(F.col(f"__ra_pp_{out}"), F.col(f"__ra_o_{of}") + F.col(f"__ra_lp_{out}")))
-    drop = [c for c in out_df.columns if c.startswith("__ra_")]
-    return out_df.drop(*drop)
+        out_df = out_df.withColumn(
+            out, F.greatest(F.col(f"__ra_pp_{out}"), F.col(f"__ra_o_{of}") + F.col(f"__ra_lp_{out}")))
+    return out_df.drop(*[c for c in out_df.columns if c.startswith("__ra_")])

@@ -272,7 +272,7 @@ def trading_vs_security(trades: DataFrame, alerts: DataFrame, partitions: int |
         group_cols=[F.col("id").alias("trade_pk"), "trade_id", "symbol", "source", "side", "entry_ts", "exit_ts",
                     _dbl("pnl_usd").alias("pnl_usd"), _dbl("signal_score").alias("signal_score")],
         alert_key="id", alert_ts="timestamp", alert_level="rule_level", alert_desc="rule_description",
-        high_level=HIGH_SEVERITY_LEVEL, partitions=partitions,
+        high_level=HIGH_SEVERITY_LEVEL, partitions=partitions, key_in_group=True,
     )
 
 
