@@ -110,7 +110,8 @@ for _name in (
     "benchmark_ingest", "load_trades", "load_stats", "load_by_source", "load_alerts", "load_prices",
     "snapshot_roundtrip", "lake_append", "lake_scan_trades", "lake_scan_alerts", "lake_scan_prices", "lake_as_of",
     "lake_versions", "lake_compact", "quality_report", "model_checks", "run_summary", "stream_alert_ingest",
-    "stream_alerts_daily",
+    "stream_alerts_daily", "check_not_null", "check_unique", "check_in_set", "check_between", "check_columns",
+    "check_row_count",
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)

@@ -226,7 +226,7 @@ def top_ip_per_day(fct_alerts: DataFrame) -> DataFrame:
 def attack_geo(ip_geo: DataFrame, stg_alerts: DataFrame) -> DataFrame:
     """Per located address. Alerts are reduced per address before the join, so the join sees one row per
     address on each side."""
-    per_ip = stg_alerts.where(F.col("src_ip").isNotNull() & F.col("id").isNotNull()).groupBy("src_ip").agg(
+    per_ip = stg_alerts.where(F.col("src_ip").isNotNull()).groupBy("src_ip").agg(
         F.count("id").alias("n"), F.min("alert_ts").alias("first_seen"), F.max("alert_ts").alias("last_seen")
     )
     geo_cols = ["src_ip", "country", "country_code", "city", "latitude", "longitude", "isp"]

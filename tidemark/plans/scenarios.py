@@ -324,3 +324,49 @@ def stream_alerts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     alert_stream.daily_counts_stream(spark, src, out, ckpt)
     return spark.read.parquet(out)
 
+
+
+def _checks_of(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One check kind of both suites, run over the clean trades and the ingested alerts."""
+    trades, alerts = fx.trades(spark, sf_dir), alert_ingest(spark, sf_dir)
+    t = quality.run_suite(trades, "stg_trades", [c for c in quality.TRADES_SUITE if c.kind == kind])
+    a = quality.run_suite(alerts, "stg_wazuh_alerts", [c for c in quality.ALERTS_SUITE if c.kind == kind])
+    return t.unionByName(a).drop("skipped")
+
+
+def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checks_of("not_null", spark, sf_dir)
+
+
+def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checks_of("unique", spark, sf_dir)
+
+
+def check_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checks_of("in_set", spark, sf_dir)
+
+
+def check_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checks_of("between", spark, sf_dir)
+
+
+def check_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade suite's column set against the raw broker rows (which lack most columns) and the clean trades."""
+    dirty = _dirty(spark, sf_dir)
+    check = [c for c in quality.TRADES_SUITE if c.kind == "columns"]
+    return quality.run_suite(dirty, "trades_dirty", check).unionByName(
+        quality.run_suite(fx.trades(spark, sf_dir), "stg_trades", check)).drop("skipped")
+
+
+def check_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs: the first (clean trades) sets the baseline, the second (validated broker rows) is checked
+    against half to one and a half times it."""
+    path = scratch_path(spark, "quality_baseline")
+    check = [c for c in quality.TRADES_SUITE if c.kind == "row_count"]
+    out = []
+    for run, df in enumerate((fx.trades(spark, sf_dir), validated_trades(spark, sf_dir)), start=1):
+        previous = quality.read_baseline(spark, path).get("stg_trades")
+        n = df.count()
+        out.append(quality.run_suite(df, "stg_trades", check, previous).withColumn("run", F.lit(run)))
+        quality.save_baseline(spark, path, {"stg_trades": n}, run)
+    return out[0].unionByName(out[1]).drop("skipped")
