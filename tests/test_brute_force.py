@@ -38,6 +38,16 @@ def test_running_sum_and_peak_equal_single_window(spark):
     assert got == want
 
 
+def test_running_sum_with_spark_range_exchange(spark, monkeypatch):
+    from tidemark.operators import running
+
+    monkeypatch.setattr(running, "MAX_LITERAL_RANGES", 2)
+    t = _skewed_trades(spark).select("id", "entry_ts", "pnl_usd")
+    got = {r.id: r.c for r in running.running_aggregate(t, ["entry_ts", "id"], {"c": "pnl_usd"}, partitions=5).collect()}
+    w = Window.orderBy("entry_ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    assert got == {r.id: r.c for r in t.withColumn("c", F.sum("pnl_usd").over(w)).collect()}
+
+
 def test_correlation_equals_nested_loop(spark):
     trades, alerts = _skewed_trades(spark), _skewed_alerts(spark)
     got = {r.trade_pk: (r.alerts_within_30min, r.high_severity_alerts, r.alert_descriptions)

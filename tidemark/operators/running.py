@@ -15,6 +15,11 @@
 
 Running maxima of a running sum need each range's largest local sum, which only the windowed rows know; that
 variant checkpoints the windowed rows so they are computed once.
+
+Past `MAX_LITERAL_RANGES` ranges (tens of terabytes at a sensible range size) the boundaries would make the plan
+itself large, so the ranges come from Spark's range exchange instead (`repartitionByRange`, which samples and
+binary-searches its own boundaries); its partition id is then not a function of the row, so the staged rows are
+checkpointed before the totals are taken from them.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from tidemark.session import cut_lineage
 
 RANGE_ID = "__ra_range"
 SAMPLE_PER_RANGE = 64
+MAX_LITERAL_RANGES = 2048
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -83,7 +89,12 @@ def running_aggregate(
     """
     peaks = dict(peaks or {})
     n = _partitions(df, partitions)
-    ranged = df.withColumn(RANGE_ID, range_id(df, order_by, n))
+    literal = n <= MAX_LITERAL_RANGES
+    if literal:
+        ranged = df.withColumn(RANGE_ID, range_id(df, order_by, n))
+    else:
+        ranged = df.repartitionByRange(n, *[F.col(c) for c in order_by]).withColumn(
+            RANGE_ID, F.spark_partition_id())
     local = Window.partitionBy(RANGE_ID).orderBy(*[F.col(c) for c in order_by]).rowsBetween(
         Window.unboundedPreceding, 0)
 
@@ -91,11 +102,11 @@ def running_aggregate(
     for out, src in sums.items():
         staged = staged.withColumn(f"__ra_l_{out}", F.sum(F.col(src)).over(local))
     aggs = [F.sum(F.col(src)).alias(f"__ra_t_{out}") for out, src in sums.items()]
-    if peaks:
-        for out, of in peaks.items():
-            staged = staged.withColumn(f"__ra_lp_{out}", F.max(F.col(f"__ra_l_{of}")).over(local))
+    for out, of in peaks.items():
+        staged = staged.withColumn(f"__ra_lp_{out}", F.max(F.col(f"__ra_l_{of}")).over(local))
+    aggs += [F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()]
+    if peaks or not literal:
         staged = cut_lineage(staged)
-        aggs += [F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()]
         per_range = staged.groupBy(RANGE_ID).agg(*aggs)
     else:
         per_range = ranged.groupBy(RANGE_ID).agg(*aggs)
