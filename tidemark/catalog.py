@@ -111,7 +111,7 @@ for _name in (
     "snapshot_roundtrip", "lake_append", "lake_scan_trades", "lake_scan_alerts", "lake_scan_prices", "lake_as_of",
     "lake_versions", "lake_compact", "quality_report", "model_checks", "run_summary", "stream_alert_ingest",
     "stream_alerts_daily", "check_not_null", "check_unique", "check_in_set", "check_between", "check_columns",
-    "check_row_count",
+    "check_row_count", "models_run",
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)

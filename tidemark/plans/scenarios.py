@@ -370,3 +370,14 @@ def check_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         out.append(quality.run_suite(df, "stg_trades", check, previous).withColumn("run", F.lit(run)))
         quality.save_baseline(spark, path, {"stg_trades": n}, run)
     return out[0].unionByName(out[1]).drop("skipped")
+
+
+def models_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole model build over the raw tables, written under a fresh warehouse folder: rows per model."""
+    from tidemark.plans import pipeline
+
+    paths = pipeline.build_models(
+        spark, fx.trades(spark, sf_dir), fx.alerts(spark, sf_dir), fx.benchmark_prices(spark, sf_dir),
+        fx.ip_geo(spark, sf_dir), scratch_path(spark, "warehouse"),
+    )
+    return pipeline.model_rows(spark, paths)
