@@ -314,8 +314,8 @@ def _stream_input(spark: SparkSession, sf_dir: str) -> str:
 def stream_alert_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_input(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream_alerts"), scratch_path(spark, "stream_alerts_ckpt")
-    alert_stream.ingest_alerts(spark, src, out, ckpt)
-    return spark.read.schema(alert_json.ALERT_SCHEMA).parquet(out)
+    alert_stream.ingest_alerts(spark, src, out, ckpt, max_files_per_trigger=1)
+    return keyed_load.read_table(spark, out).select(*alert_json.ALERT_COLUMNS)
 
 
 def stream_alerts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

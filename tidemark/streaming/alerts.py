@@ -1,12 +1,14 @@
 """Alert ingest as Structured Streaming.
 
 The alert file is refreshed every 15 minutes; as a stream, each sync lands as a new file in a directory. Lines
-are parsed with the batch parser, late alerts (older than the watermark) are dropped, duplicates of an
-`alert_id` within the watermark are dropped, and each micro-batch is appended to a Parquet table through
-`foreachBatch` (with the checkpoint giving exactly-once file output per batch). The daily counts are a
-windowed aggregation; `complete` mode rewrites the (small, one row per day and level) result each batch.
+are parsed with the batch parser, repeated alerts are dropped while the watermark keeps their state, and each
+micro-batch goes through the keyed load in `foreachBatch`, so the table stays unique on `alert_id` even for
+repeats beyond the watermark and for batches replayed after a failure. Spark's de-duplication operators do not
+drop rows older than the watermark (checked: no row counted as dropped), so lateness is the batch job's
+look-back rule applied per micro-batch.
 
-Difference to mind: the batch ingest's cut-off is wall-clock time (now - 24 h); a watermark is event time.
+The daily counts are a windowed aggregation; `complete` mode rewrites the (small, one row per day and level)
+result each batch.
 """
 
 from __future__ import annotations
@@ -27,17 +29,29 @@ def alert_stream(spark: SparkSession, lines_dir: str, max_files_per_trigger: int
 
 def ingest_alerts(
     spark: SparkSession, lines_dir: str, table_path: str, checkpoint: str, lateness: str = "24 hours",
+    lookback_hours: int | None = None, max_files_per_trigger: int | None = None,
 ) -> None:
-    """Run the incremental ingest over everything available now, then stop."""
+    """Run the incremental ingest over everything available now, then stop.
+
+    `lookback_hours` applies the batch job's rule to each micro-batch: alerts older than the batch's processing
+    time minus that many hours are dropped (NULL times are kept). Within the stream, repeats of an `alert_id` are
+    dropped while the watermark keeps their state; every micro-batch is then loaded with the keyed load, so a
+    repeat that arrives after its state expired, or a batch replayed after a failure, inserts nothing.
+    """
+    from tidemark.operators.keyed_load import keyed_append
+
+    stream = alert_stream(spark, lines_dir, max_files_per_trigger)
+    if lookback_hours is not None:
+        cutoff = F.current_timestamp() - F.make_dt_interval(hours=F.lit(lookback_hours))
+        stream = stream.where(F.col("timestamp").isNull() | (F.col("timestamp") >= cutoff))
     stream = (
-        alert_stream(spark, lines_dir)
-        .where(F.col("timestamp").isNotNull())
+        stream.where(F.col("timestamp").isNotNull())
         .withWatermark("timestamp", lateness)
         .dropDuplicatesWithinWatermark(["alert_id"])
     )
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("append").parquet(table_path)
+        keyed_append(spark, table_path, batch, ("alert_id",), ("timestamp", "raw"))
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
