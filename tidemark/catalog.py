@@ -115,3 +115,25 @@ for _name in (
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)
+
+# ---- output representation -----------------------------------------------------------------------------------
+# Money columns are exact decimals inside every plan. Queries that return them as stored give them as DOUBLE:
+# the conversion of an exact value is the same in every engine, whatever client converts the results.
+
+MONEY = ("entry_price", "exit_price", "pnl_usd", "pnl_pct", "signal_score", "position_size_usd", "balance_at_entry")
+DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
+    "stg_trades": MONEY, "fct_trades": MONEY, "trading_summary": MONEY, "lake_append": MONEY,
+    "lake_scan_trades": MONEY, "stg_prices": ("close_price",), "load_prices": ("close_price",),
+    "lake_scan_prices": ("close_price",),
+}
+
+
+def _as_doubles(fn: Query, cols: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        return df.withColumns({c: df[c].cast("double") for c in cols})
+    return run
+
+
+for _name, _cols in DECIMAL_OUTPUTS.items():
+    REGISTRY[_name] = _as_doubles(REGISTRY[_name], _cols)
