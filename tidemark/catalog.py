@@ -44,21 +44,33 @@ def _dim_date(spark, d, cal=None):
     return star.dim_date(spark, start, end), (start, end)
 
 
-def _fct_trades(spark, d, cal=None):
-    st, sp = _stg_trades(spark, d), _stg_prices(spark, d)
-    dates, cal = _dim_date(spark, d, cal)
-    return star.fct_trades(st, dates, star.dim_symbol(st, sp), star.dim_source(st), calendar=cal)
+def _star(spark, d, *, trades=True, alerts=True):
+    """Facts on dimensions prepared in one go (calendar bounds and materialized dimensions run concurrently)."""
+    st, sp, sa = _stg_trades(spark, d), _stg_prices(spark, d), _stg_alerts(spark, d)
+    dims = {}
+    if trades:
+        dims.update(dim_symbol=star.dim_symbol(st, sp), dim_source=star.dim_source(st))
+    if alerts:
+        dims["dim_rule"] = star.dim_rule(sa)
+    cal, built = star.prepare_dimensions(
+        spark, ((fx.trades(spark, d), "entry_ts"), (fx.alerts(spark, d), "timestamp")), dims)
+    dates = star.dim_date(spark, *cal)
+    ft = star.fct_trades(st, dates, built["dim_symbol"], built["dim_source"], calendar=cal,
+                         materialize_dims=False) if trades else None
+    fa = star.fct_alerts(sa, dates, built["dim_rule"], calendar=cal, materialize_dims=False) if alerts else None
+    return ft, fa
 
 
-def _fct_alerts(spark, d, cal=None):
-    sa = _stg_alerts(spark, d)
-    dates, cal = _dim_date(spark, d, cal)
-    return star.fct_alerts(sa, dates, star.dim_rule(sa), calendar=cal)
+def _fct_trades(spark, d):
+    return _star(spark, d, alerts=False)[0]
+
+
+def _fct_alerts(spark, d):
+    return _star(spark, d, trades=False)[1]
 
 
 def _facts(spark, d):
-    cal = _calendar(spark, d)
-    return _fct_trades(spark, d, cal), _fct_alerts(spark, d, cal)
+    return _star(spark, d)
 
 
 # ---- staging, dimensions, facts ------------------------------------------------------------------------------

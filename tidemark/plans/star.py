@@ -9,6 +9,7 @@ exception: its row count is known on the driver from its bounds, so it is broadc
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,3 +134,16 @@ def fct_alerts(
     cols = [c for c in ("id", "alert_id", "alert_ts", "rule_id", "rule_level", "rule_description", "agent_name",
                         "src_ip", "loaded_at") if c in stg_alerts.columns]
     return out.select(*cols, "day_of_week", "day_name", "month", "quarter", "severity_label")
+
+
+def prepare_dimensions(
+    spark: SparkSession,
+    calendar_from: tuple[tuple[DataFrame, str], ...],
+    dims: dict[str, DataFrame],
+) -> tuple[tuple[dt.date, dt.date], dict[str, DataFrame]]:
+    """The calendar bounds and the materialized dimensions, as concurrent Spark jobs (they are independent; each
+    is small, so running them side by side saves their fixed cost, not cluster work)."""
+    with ThreadPoolExecutor(max_workers=len(dims) + 1) as pool:
+        cal = pool.submit(calendar_years, *calendar_from)
+        written = {name: pool.submit(materialize, df, name) for name, df in dims.items()}
+        return cal.result(), {name: f.result() for name, f in written.items()}
