@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed_load import _fs_path, partition_values, table_exists
@@ -32,19 +32,21 @@ def append(
 ) -> int | None:
     """Append `df` as a new version; returns the version id, or None when there was nothing to append."""
     spark = df.sparkSession
-    if df.isEmpty():
-        return None
     existing = versions(spark, path)
     version = (existing[-1] + 1) if existing else 1
     rows = df
     if dedup_keys and existing:
         rows = rows.join(spark.read.parquet(path).select(*dedup_keys), list(dedup_keys), "left_anti")
+    # Rows are counted while they are written (no separate emptiness pass over the input); an empty append
+    # writes no partition, so no version appears.
+    seen = Observation(f"append_{version}")
     # Rebalance on the day before the partitioned write: each day's rows come together in few tasks (a hot day
     # is split by adaptive execution), so a version has about one file per day instead of one per task and day.
-    (rows.withColumns({BATCH: F.lit(version), DAY: F.to_date(F.col(ts_col))})
+    (rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        .withColumns({BATCH: F.lit(version), DAY: F.to_date(F.col(ts_col))})
         .hint("rebalance", DAY)
         .write.mode("append").partitionBy(BATCH, DAY).parquet(path))
-    return version
+    return version if seen.get.get("n", 0) else None
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -105,11 +107,14 @@ def compact(spark: SparkSession, path: str, retain: int) -> int | None:
 def snapshot(df: DataFrame, base: str, prefix: str, run_date: dt.date | None = None) -> str | None:
     """Daily snapshot `<base>/raw/<prefix>/run_date=<date>`; a rerun on the same day replaces it. Empty frames are
     not written."""
-    if df.isEmpty():
-        return None
     run_date = run_date or dt.date.today()
     out = f"{base.rstrip('/')}/raw/{prefix}/run_date={run_date.isoformat()}"
-    df.write.mode("overwrite").parquet(out)
+    seen = Observation(f"snapshot_{prefix}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
+    if not seen.get.get("n", 0):
+        fs, p = _fs_path(df.sparkSession, out)
+        fs.delete(p, True)
+        return None
     return out
 
 
