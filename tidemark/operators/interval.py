@@ -57,11 +57,14 @@ def window_counts(
     t = trades.where(F.col(trade_ts).isNotNull()).select(
         F.col(trade_key).alias("__tk"), _micros(trade_ts).alias("__pos")
     )
-    lo = t.select((F.col("__pos") - h).alias("pos"), F.lit(_LO).alias("kind"), "__tk")
-    hi = t.select((F.col("__pos") + h).alias("pos"), F.lit(_HI).alias("kind"), "__tk")
-    queries = lo.unionByName(hi).select(
-        "pos", "kind", F.lit(None).cast("long").alias("__ak"), "__tk",
-        F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("wf"),
+    # both window bounds of a trade from one scan
+    bounds = F.explode(F.array(
+        F.struct((F.col("__pos") - h).alias("pos"), F.lit(_LO).alias("kind")),
+        F.struct((F.col("__pos") + h).alias("pos"), F.lit(_HI).alias("kind")),
+    ))
+    queries = t.select("__tk", bounds.alias("__q")).select(
+        F.col("__q.pos").alias("pos"), F.col("__q.kind").alias("kind"), F.lit(None).cast("long").alias("__ak"),
+        "__tk", F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("wf"),
     )
     events = (
         alerts.where(F.col(alert_ts).isNotNull() & F.col(alert_key).isNotNull())
