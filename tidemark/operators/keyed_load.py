@@ -12,6 +12,7 @@ window, so a key that holds a third of the batch is reduced map-side in every ta
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -79,8 +80,8 @@ def keyed_append(
     load_id = (loads[-1] + 1) if loads else 1
     before = existing.count() if existing is not None else 0
 
-    seen = Observation(f"load_{load_id}_seen")
-    new = Observation(f"load_{load_id}_new")
+    seen = Observation(f"load_{load_id}_seen_{uuid.uuid4().hex}")
+    new = Observation(f"load_{load_id}_new_{uuid.uuid4().hex}")
     observed = batch.observe(seen, F.count(F.lit(1)).alias("attempted"))
     valid = observed
     for k in keys:

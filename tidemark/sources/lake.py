@@ -13,6 +13,7 @@ merged into that version's partition, rewritten per day into few files.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,7 +40,7 @@ def append(
         rows = rows.join(spark.read.parquet(path).select(*dedup_keys), list(dedup_keys), "left_anti")
     # Rows are counted while they are written (no separate emptiness pass over the input); an empty append
     # writes no partition, so no version appears.
-    seen = Observation(f"append_{version}")
+    seen = Observation(f"append_{version}_{uuid.uuid4().hex}")
     # Rebalance on the day before the partitioned write: each day's rows come together in few tasks (a hot day
     # is split by adaptive execution), so a version has about one file per day instead of one per task and day.
     (rows.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -109,7 +110,7 @@ def snapshot(df: DataFrame, base: str, prefix: str, run_date: dt.date | None = N
     not written."""
     run_date = run_date or dt.date.today()
     out = f"{base.rstrip('/')}/raw/{prefix}/run_date={run_date.isoformat()}"
-    seen = Observation(f"snapshot_{prefix}")
+    seen = Observation(f"snapshot_{prefix}_{uuid.uuid4().hex}")
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
     if not seen.get.get("n", 0):
         fs, p = _fs_path(df.sparkSession, out)
