@@ -150,25 +150,31 @@ def correlate(
     counts = window_counts(
         trades, alerts, trade_key=trade_key, trade_ts=trade_ts, alert_key=alert_key, alert_ts=alert_ts,
         alert_flag=F.col(alert_level) >= high_level, half_width_micros=h, partitions=partitions,
-    ).select(trade_key, "__n", "__nf", F.lit(None).cast("string").alias("__desc"))
+    )
     descs = window_descriptions(
         trades, alerts, trade_key=trade_key, trade_ts=trade_ts, alert_key=alert_key, alert_ts=alert_ts,
         alert_desc=alert_desc, half_width_micros=h,
-    ).select(trade_key, F.lit(0).cast("long").alias("__n"), F.lit(0).cast("long").alias("__nf"), "__desc")
-    per_trade = counts.unionByName(descs)
+    )
 
     group_exprs = [F.col(c) if isinstance(c, str) else c for c in group_cols]
     base = trades.select(F.col(trade_key).alias("__key"), *group_exprs)
     names = [c for c in base.columns if c != "__key"]
     if key_in_group:
-        per_key = per_trade.groupBy(F.col(trade_key).alias("__key")).agg(
-            F.sum("__n").alias("__n"), F.sum("__nf").alias("__nf"), F.collect_set("__desc").alias("__set"))
-        return base.join(per_key, "__key", "left").select(
-            *names,
-            F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
-            F.coalesce(F.col("__nf"), F.lit(0)).cast("long").alias(high_col),
-            sorted_distinct_join(F.coalesce(F.col("__set"), F.array().cast("array<string>"))).alias(desc_col),
+        # counts come out of an aggregation on the key and the description sets are one, so both are already
+        # partitioned by the key: only the trades move to meet them
+        sets = descs.groupBy(F.col(trade_key).alias("__key")).agg(F.collect_set("__desc").alias("__set"))
+        return (
+            base.join(counts.withColumnRenamed(trade_key, "__key"), "__key", "left")
+            .join(sets, "__key", "left")
+            .select(
+                *names,
+                F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
+                F.coalesce(F.col("__nf"), F.lit(0)).cast("long").alias(high_col),
+                sorted_distinct_join(F.coalesce(F.col("__set"), F.array().cast("array<string>"))).alias(desc_col),
+            )
         )
+    per_trade = counts.select(trade_key, "__n", "__nf", F.lit(None).cast("string").alias("__desc")).unionByName(
+        descs.select(trade_key, F.lit(0).cast("long").alias("__n"), F.lit(0).cast("long").alias("__nf"), "__desc"))
     joined = base.join(per_trade.withColumnRenamed(trade_key, "__key"), "__key", "left")
     return joined.groupBy(*names).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(count_col),
