@@ -144,8 +144,13 @@ def correlate(
     COUNT(alert_key), COUNT(alert_key) FILTER (level >= high_level) and
     STRING_AGG(DISTINCT desc, '; ' ORDER BY desc) (NULL when nothing matched).
 
-    With `key_in_group` (the trade key is one of the group columns, so each group is one trade) the matches are
-    aggregated per key and joined to the trades once; otherwise trades sharing all group values are merged."""
+    `trade_key` must identify a trade. Matches are aggregated per trade: the counts come out of an aggregation on
+    the key and the description sets are one, so both are partitioned by the key and only the trades move to meet
+    them. With `key_in_group` each group is one trade and that is the result. Otherwise `group_cols` must include
+    `trade_ts`: trades of one group then share their window, hence their counts and descriptions, so the group's
+    counts are the sums and its descriptions those of any member; grouping by the description string as well
+    changes no group and keeps the final step a plain hash aggregation over one row per trade.
+    """
     h = half_width_minutes * 60 * 1_000_000
     counts = window_counts(
         trades, alerts, trade_key=trade_key, trade_ts=trade_ts, alert_key=alert_key, alert_ts=alert_ts,
@@ -155,29 +160,25 @@ def correlate(
         trades, alerts, trade_key=trade_key, trade_ts=trade_ts, alert_key=alert_key, alert_ts=alert_ts,
         alert_desc=alert_desc, half_width_micros=h,
     )
+    sets = descs.groupBy(F.col(trade_key).alias("__key")).agg(F.collect_set("__desc").alias("__set"))
 
     group_exprs = [F.col(c) if isinstance(c, str) else c for c in group_cols]
     base = trades.select(F.col(trade_key).alias("__key"), *group_exprs)
     names = [c for c in base.columns if c != "__key"]
-    if key_in_group:
-        # counts come out of an aggregation on the key and the description sets are one, so both are already
-        # partitioned by the key: only the trades move to meet them
-        sets = descs.groupBy(F.col(trade_key).alias("__key")).agg(F.collect_set("__desc").alias("__set"))
-        return (
-            base.join(counts.withColumnRenamed(trade_key, "__key"), "__key", "left")
-            .join(sets, "__key", "left")
-            .select(
-                *names,
-                F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
-                F.coalesce(F.col("__nf"), F.lit(0)).cast("long").alias(high_col),
-                sorted_distinct_join(F.coalesce(F.col("__set"), F.array().cast("array<string>"))).alias(desc_col),
-            )
+    if not key_in_group and trade_ts not in names:
+        raise ValueError(f"group_cols must include {trade_ts!r} (the window is a function of it)")
+    per_trade = (
+        base.join(counts.withColumnRenamed(trade_key, "__key"), "__key", "left")
+        .join(sets, "__key", "left")
+        .select(
+            *names,
+            F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
+            F.coalesce(F.col("__nf"), F.lit(0)).cast("long").alias(high_col),
+            sorted_distinct_join(F.coalesce(F.col("__set"), F.array().cast("array<string>"))).alias(desc_col),
         )
-    per_trade = counts.select(trade_key, "__n", "__nf", F.lit(None).cast("string").alias("__desc")).unionByName(
-        descs.select(trade_key, F.lit(0).cast("long").alias("__n"), F.lit(0).cast("long").alias("__nf"), "__desc"))
-    joined = base.join(per_trade.withColumnRenamed(trade_key, "__key"), "__key", "left")
-    return joined.groupBy(*names).agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(count_col),
-        F.coalesce(F.sum("__nf"), F.lit(0)).cast("long").alias(high_col),
-        sorted_distinct_join(F.collect_set("__desc")).alias(desc_col),
     )
+    if key_in_group:
+        return per_trade
+    return per_trade.groupBy(*names, desc_col).agg(
+        F.sum(count_col).cast("long").alias(count_col), F.sum(high_col).cast("long").alias(high_col)
+    ).select(*names, count_col, high_col, desc_col)
