@@ -241,3 +241,18 @@ def test_decimal_rounding_half_up(spark):
     df = spark.createDataFrame([(1, 8), (1, 32), (1, 4000), (2, 3), (0, 0)], "n long, d long")
     got = [r[0] for r in df.select(round_half_up_ratio(F.col("n") * 100, F.col("d"), 2)).collect()]
     assert got == [12.5, 3.13, 0.03, 66.67, None]
+
+
+def test_grouped_correlation_merges_copies(spark):
+    from tidemark.operators.interval import correlate
+
+    t0 = dt.datetime(2024, 1, 1, 12)
+    trades = spark.createDataFrame(
+        [(1, "T1", t0), (2, "T1", t0), (3, "T2", t0 + dt.timedelta(hours=5))], "id long, trade_id string, entry_ts timestamp")
+    alerts = spark.createDataFrame(
+        [(10, t0 + dt.timedelta(minutes=5), 12, "x"), (11, t0 - dt.timedelta(minutes=10), 2, "y")],
+        "id long, timestamp timestamp, rule_level int, rule_description string")
+    got = {r.trade_id: (r.alerts_within_30min, r.high_severity_alerts, r.alert_descriptions) for r in correlate(
+        trades, alerts, trade_key="id", trade_ts="entry_ts", group_cols=["trade_id", "entry_ts"], alert_key="id",
+        alert_ts="timestamp", alert_level="rule_level", alert_desc="rule_description").collect()}
+    assert got == {"T1": (4, 2, "x; y"), "T2": (0, 0, None)}  # two copies: each pair counted per copy
