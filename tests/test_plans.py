@@ -22,11 +22,15 @@ def test_running_window_is_partitioned_by_range(spark):
 
     df = marts.running_pnl(fx.trades(spark, SF_SMALL))
     plan = df._jdf.queryExecution().optimizedPlan().toString() + _plan(df)
-    # the row-level window ran before the checkpoint, partitioned by range; what remains single-partition is the
-    # prefix over one row per range
     assert "Window" in plan
-    staged = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
-    assert all("__ra_" in ln or "Exchange SinglePartition" in ln for ln in staged)
+    # rows are shuffled on their range id, never gathered into one partition ...
+    assert "Exchange hashpartitioning(__ra_range" in plan
+    # ... and the only single-partition exchange carries the one-row-per-range totals
+    lines = plan.splitlines()
+    for i, ln in enumerate(lines):
+        if "Exchange SinglePartition" in ln:
+            below = "\n".join(lines[i + 1:i + 3])
+            assert "__ra_range" in below and "Aggregate" in below
 
 
 def test_scans_are_pruned_and_filtered(spark):
