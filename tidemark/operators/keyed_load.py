@@ -44,15 +44,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
-    """Integer values of a top-level partition column, from the directory listing (no data read)."""
+    """Integer values of a partition column, from the directory listing (no data read); the column may sit
+    below another partition level."""
     if not table_exists(spark, path):
         return []
     fs, p = _fs_path(spark, path)
-    out = []
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if s.isDirectory() and name.startswith(column + "="):
-            out.append(int(name.split("=", 1)[1]))
+    out: set[int] = set()
+    level = [s for s in fs.listStatus(p) if s.isDirectory()]
+    while level:
+        nxt = []
+        for s in level:
+            name = s.getPath().getName()
+            if name.startswith(column + "="):
+                out.add(int(name.split("=", 1)[1]))
+            elif "=" in name and not name.startswith(("_", ".")):
+                nxt += [c for c in fs.listStatus(s.getPath()) if c.isDirectory()]
+        level = nxt
     return sorted(out)
 
 
@@ -72,9 +79,15 @@ def keyed_append(
     keys: Sequence[str],
     order_by: Sequence[str],
     loaded_at: dt.datetime | None = None,
+    prune_col: str | None = None,
 ) -> LoadStats:
     """Append the rows of `batch` whose key is not yet in the table at `path`. Rows with a NULL key are not
-    loadable (the key columns are NOT NULL) and count as skipped."""
+    loadable (the key columns are NOT NULL) and count as skipped.
+
+    `prune_col` names a column of the batch that is a function of the key (for alerts: the day of the alert,
+    since the id hashes the alert's time). The table is then partitioned by it and the existing keys are looked
+    up on (prune_col, keys), so dynamic partition pruning reads only the partitions the batch touches instead of
+    the whole table."""
     existing = spark.read.parquet(path) if table_exists(spark, path) else None
     loads = partition_values(spark, path, LOAD_ID)
     load_id = (loads[-1] + 1) if loads else 1
@@ -91,13 +104,14 @@ def keyed_append(
         # The table grows every day, the batch does not: find the batch's keys in the table with a semi-join
         # whose small side is the batch (broadcast when its size allows, so the table is streamed, not
         # shuffled), then drop those hits from the batch.
-        hits = existing.select(*keys).join(firsts.select(*keys), list(keys), "left_semi")
-        firsts = firsts.join(hits, list(keys), "left_anti")
+        look = ([prune_col] if prune_col else []) + list(keys)
+        hits = existing.select(*look).join(firsts.select(*look), look, "left_semi")
+        firsts = firsts.join(hits, look, "left_anti")
     rows = firsts.observe(new, F.count(F.lit(1)).alias("inserted")).withColumns({
         "loaded_at": F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"),
         LOAD_ID: F.lit(load_id),
     })
-    rows.write.mode("append").partitionBy(LOAD_ID).parquet(path)
+    rows.write.mode("append").partitionBy(*([prune_col] if prune_col else []), LOAD_ID).parquet(path)
     attempted = int(seen.get.get("attempted", 0) or 0)
     inserted = int(new.get.get("inserted", 0) or 0)
     return LoadStats(load_id, attempted, inserted, attempted - inserted, before, before + inserted)

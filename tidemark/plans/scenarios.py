@@ -150,11 +150,10 @@ def load_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = alert_ingest(spark, sf_dir)
+    alerts = alert_ingest(spark, sf_dir).withColumn("day", alert_json.alert_day())
     path = scratch_path(spark, "raw_alerts")
     for _ in range(2):
-        if not alerts.isEmpty():
-            keyed_load.keyed_append(spark, path, alerts, ("alert_id",), ("timestamp", "raw"))
+        keyed_load.keyed_append(spark, path, alerts, ("alert_id",), ("timestamp", "raw"), prune_col="day")
     return keyed_load.read_table(spark, path).select(*alert_json.ALERT_COLUMNS)
 
 

@@ -106,3 +106,9 @@ def parse_report(lines: DataFrame, value: str = "value") -> DataFrame:
 def lookback_cutoff(hours: int = 24, now: dt.datetime | None = None) -> dt.datetime:
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return now - dt.timedelta(hours=hours)
+
+
+def alert_day(ts: str = "timestamp") -> F.Column:
+    """Partition day of an alert for keyed loads: a function of the alert id (which hashes the alert's time text);
+    alerts without a time share one fixed day."""
+    return F.coalesce(F.to_date(F.col(ts)), F.lit(dt.date(1970, 1, 1)))

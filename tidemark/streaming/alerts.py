@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.alert_json import ALERT_COLUMNS, classify
+from tidemark.sources.alert_json import ALERT_COLUMNS, alert_day, classify
 
 
 def alert_stream(spark: SparkSession, lines_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -51,7 +51,9 @@ def ingest_alerts(
     )
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
-        keyed_append(spark, table_path, batch, ("alert_id",), ("timestamp", "raw"))
+        # partitioned by the alert's day, so each micro-batch looks up only the days it touches
+        keyed_append(spark, table_path, batch.withColumn("day", alert_day()), ("alert_id",), ("timestamp", "raw"),
+                     prune_col="day")
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
