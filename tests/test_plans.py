@@ -45,3 +45,21 @@ def test_scans_are_pruned_and_filtered(spark):
 def test_no_cross_join_in_kpi(spark):
     plan = _plan(catalog.REGISTRY["kpi"](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_keyed_alert_lookup_prunes_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import keyed_load
+    from tidemark.plans import scenarios
+    from tidemark.session import scratch_path
+    from tidemark.sources import alert_json
+
+    alerts = scenarios.alert_ingest(spark, SF_SMALL).withColumn("day", alert_json.alert_day())
+    path = scratch_path(spark, "keyed_alerts")
+    keyed_load.keyed_append(spark, path, alerts.where(F.dayofmonth("timestamp") <= 20), ("alert_id",),
+                            ("timestamp", "raw"), prune_col="day")
+    look = ["day", "alert_id"]
+    hits = spark.read.parquet(path).select(*look).join(
+        alerts.where(F.dayofmonth("timestamp") > 20).select(*look), look, "left_semi")
+    assert "dynamicpruningexpression(day" in _plan(hits)
