@@ -73,3 +73,10 @@ def test_keyed_load_matches_first_row_per_key(spark):
     w = Window.partitionBy("trade_id", "source").orderBy("pnl_usd", "exit_ts")
     want = v.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
     assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0
+
+
+def test_running_sum_on_decimal_key_uses_column_path(spark):
+    t = _skewed_trades(spark).select("id", "pnl_usd")
+    got = {r.id: r.c for r in running_aggregate(t, ["pnl_usd", "id"], {"c": "pnl_usd"}, partitions=4).collect()}
+    w = Window.orderBy("pnl_usd", "id").rowsBetween(Window.unboundedPreceding, 0)
+    assert got == {r.id: r.c for r in t.withColumn("c", F.sum("pnl_usd").over(w)).collect()}

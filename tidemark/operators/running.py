@@ -28,6 +28,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import cut_lineage
 
@@ -47,28 +48,81 @@ def _sort_key(row: tuple) -> tuple:
     return tuple((v is not None, v) for v in row)
 
 
+# Key types whose sampled values are written as SQL literals; timestamps and dates are sampled as integers
+# (microseconds, days since the epoch), so boundaries are exact instants whatever the driver's time zone.
+_SQL_CASTS = {T.LongType: "BIGINT", T.IntegerType: "INT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
+
+
+def _sql_ready(dtype: T.DataType) -> bool:
+    return type(dtype) in _SQL_CASTS or isinstance(dtype, (T.TimestampType, T.DateType, T.StringType, T.BooleanType))
+
+
+def _sample_col(c: str, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(c))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(F.col(c))
+    return F.col(c)
+
+
+def _sql_literal(v, dtype: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(dtype, T.TimestampType):
+        return f"timestamp_micros({int(v)})"
+    if isinstance(dtype, T.DateType):
+        return f"date_from_unix_date({int(v)})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{v.encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, T.BooleanType):
+        return "true" if v else "false"
+    return f"CAST({int(v)} AS {_SQL_CASTS[type(dtype)]})"
+
+
 def range_id(df: DataFrame, order_by: Sequence[str], ranges: int, sample_per_range: int = SAMPLE_PER_RANGE,
              seed: int = 17) -> Column:
-    """Expression giving each row its range (0 .. ranges-1) of `order_by`, from a bounded random sample."""
+    """Expression giving each row its range (0 .. ranges-1) of `order_by`, from a bounded random sample.
+
+    Range ids must grow with the key (the offsets assume range r precedes range r+1), so the boundaries are
+    sorted on the driver in exactly Spark's order: integers, epoch microseconds or days, UTF-8 strings (code point
+    order equals byte order), NULL first."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    as_sql = all(_sql_ready(types[c]) for c in order_by)
+    picked = [_sample_col(c, types[c]) if as_sql else F.col(c) for c in order_by]
     k = max(ranges * sample_per_range, 1)
-    sample = df.select(*order_by).orderBy(F.rand(seed)).limit(k).collect()
+    sample = df.select(*[p.alias(c) for p, c in zip(picked, order_by)]).orderBy(F.rand(seed)).limit(k).collect()
     keys = sorted((tuple(r) for r in sample), key=_sort_key)
     bounds: list[tuple] = []
     for j in range(1, ranges):
         b = keys[(j * len(keys)) // ranges] if keys else None
         if b is not None and (not bounds or _sort_key(b) > _sort_key(bounds[-1])):
             bounds.append(b)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    row = F.struct(*[F.col(c) for c in order_by])
+
+    if as_sql:
+        row = "named_struct(" + ", ".join(f"'{c}', `{c}`" for c in order_by) + ")"
+
+        def lit_sql(b: tuple) -> str:
+            return "named_struct(" + ", ".join(
+                f"'{c}', {_sql_literal(v, types[c])}" for c, v in zip(order_by, b)) + ")"
+
+        def tree_sql(lo: int, hi: int) -> str:  # the number of boundaries <= row, known to lie in [lo, hi]
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return f"CASE WHEN {row} < {lit_sql(bounds[mid])} THEN {tree_sql(lo, mid)} ELSE {tree_sql(mid + 1, hi)} END"
+
+        return F.expr(tree_sql(0, len(bounds)))
+
+    row_col = F.struct(*[F.col(c) for c in order_by])
 
     def lit(b: tuple) -> Column:
         return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_by, b)])
 
-    def tree(lo: int, hi: int) -> Column:  # the number of boundaries <= row, known to lie in [lo, hi]
+    def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(row < lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(row_col < lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
     return tree(0, len(bounds))
 
