@@ -85,7 +85,7 @@ def keyed_append(
     loadable (the key columns are NOT NULL) and count as skipped.
 
     `prune_col` names a column of the batch that is a function of the key (for alerts: the day of the alert,
-    since the id hashes the alert's time). The table is then partitioned by it and the existing keys are looked
+    since the id hashes the alert's time; for trades: the source, a key column). The table is then partitioned by it and the existing keys are looked
     up on (prune_col, keys), so dynamic partition pruning reads only the partitions the batch touches instead of
     the whole table."""
     existing = spark.read.parquet(path) if table_exists(spark, path) else None
@@ -104,7 +104,7 @@ def keyed_append(
         # The table grows every day, the batch does not: find the batch's keys in the table with a semi-join
         # whose small side is the batch (broadcast when its size allows, so the table is streamed, not
         # shuffled), then drop those hits from the batch.
-        look = ([prune_col] if prune_col else []) + list(keys)
+        look = list(dict.fromkeys(([prune_col] if prune_col else []) + list(keys)))
         hits = existing.select(*look).join(firsts.select(*look), look, "left_semi")
         firsts = firsts.join(hits, look, "left_anti")
     rows = firsts.observe(new, F.count(F.lit(1)).alias("inserted")).withColumns({

@@ -127,10 +127,10 @@ def _trade_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[keyed_load
     snap = lake.snapshot(validated_trades(spark, sf_dir), scratch_path(spark, "exports"), "trades", dt.date(2024, 2, 1))
     clean = spark.read.parquet(snap)
     path = scratch_path(spark, "raw_trades")
+    # partitioned by broker: a load that carries one broker's file looks up only that broker's keys
     stats = [
-        keyed_load.keyed_append(spark, path, clean.where(F.col("source") == "oanda"), TRADE_KEYS, TRADE_ORDER),
-        keyed_load.keyed_append(spark, path, clean, TRADE_KEYS, TRADE_ORDER),
-        keyed_load.keyed_append(spark, path, clean, TRADE_KEYS, TRADE_ORDER),
+        keyed_load.keyed_append(spark, path, batch, TRADE_KEYS, TRADE_ORDER, prune_col="source")
+        for batch in (clean.where(F.col("source") == "oanda"), clean, clean)
     ]
     return path, stats
 
