@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
+from tidemark.catalog import REGISTRY
 from tools.oracle_check import duck, rows_of
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(REGISTRY)
 SQL = entry.oracle_sql()
 
 
@@ -19,7 +20,7 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(SQL) == set(NAMES)
+    assert set(NAMES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", NAMES)
