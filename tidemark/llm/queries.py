@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, token_counts
+from tidemark.llm import (decontaminate, language_id, mixing, quality_grades, token_counts, token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,4 +21,36 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts)}
+MAX_REPETITION = 2.0     # of a source's documents in the mixture
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"), max_repetition=MAX_REPETITION)
+
+
+END_ID = 2
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      END_ID)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rated = quality_grades.ratings(table(spark, sf_dir, "labels"))
+    return quality_grades.predict(docs, quality_grades.fit(docs, rated))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op5_mix_sources, op6_token_files, op8_toxicity,
+                                   op9_language_id, op10_quality_grades)}

@@ -37,4 +37,42 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGI
 FROM docs LEFT JOIN covered c USING (rid) LEFT JOIN named m USING (rid)
 """
 
-SQL = {"op1_decontaminate": OP1}
+# Weights tokens**a with the smallest a (a multiple of 1e-6) that repeats no source more than twice; each source's
+# stream in the order of a keyed hash, cut into as many equal shares as the mixture has blocks.
+OP5 = r"""
+WITH light AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+           md5(coalesce(text, '')) AS text_hash
+    FROM documents),
+totals AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM light GROUP BY source),
+edge AS (SELECT max(tokens) AS hi, min(tokens) AS lo FROM totals WHERE tokens > 0),
+exponent AS (
+    SELECT hi, CASE WHEN hi = lo THEN 0.0
+                    ELSE greatest(0, ceil(1e6 * (1 - ln(2.0) / ln(CAST(hi AS DOUBLE) / lo)))) / 1e6 END AS a FROM edge),
+times AS (
+    SELECT source, tokens,
+           CASE WHEN tokens > 0 THEN pow(CAST(hi AS DOUBLE) / tokens, 1 - a) ELSE 1.0 END AS repetition
+    FROM totals, exponent),
+quotas AS (
+    SELECT source, tokens, CAST(floor(repetition) AS BIGINT) AS passes,
+           CAST(floor((repetition - floor(repetition)) * tokens) AS BIGINT) AS rest FROM times),
+blocks AS (SELECT CAST(ceil(sum(passes * tokens + rest) / 1048576.0) AS BIGINT) AS n FROM quotas),
+passes AS (
+    SELECT l.*, q.tokens, q.passes, q.rest, unnest(range(q.passes + CASE WHEN q.rest > 0 THEN 1 ELSE 0 END)) AS copy
+    FROM light l JOIN quotas q ON l.source IS NOT DISTINCT FROM q.source),
+keyed AS (
+    SELECT *, md5('mix:' || copy || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_hash) AS key FROM passes),
+streams AS (
+    SELECT *, CAST(coalesce(sum(n_tokens) OVER (PARTITION BY source, copy ORDER BY key, n_tokens
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM keyed),
+placed AS (
+    SELECT *, CAST(least(n - 1, floor(coalesce(CAST(copy * tokens + before AS DOUBLE)
+                   / nullif(CAST(passes * tokens + rest AS DOUBLE), 0), 0) * n)) AS BIGINT) AS block
+    FROM streams, blocks WHERE copy < passes OR before < rest)
+SELECT doc_id, source, n_tokens, CAST(copy AS BIGINT) AS copy, block,
+       CAST(row_number() OVER (PARTITION BY block ORDER BY md5(block || ':' || key), doc_id NULLS FIRST, n_tokens)
+            AS BIGINT) AS position
+FROM placed
+"""
+
+SQL = {"op1_decontaminate": OP1, "op5_mix_sources": OP5}
