@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontaminate, language_id, mixing, quality_grades, token_counts, token_files, toxicity)
+from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, quality_grades, token_counts, token_files,
+                          toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       END_ID)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -52,5 +57,5 @@ def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades.predict(docs, quality_grades.fit(docs, rated))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op5_mix_sources, op6_token_files, op8_toxicity,
-                                   op9_language_id, op10_quality_grades)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op5_mix_sources, op6_token_files, op7_ngram_join,
+                                   op8_toxicity, op9_language_id, op10_quality_grades)}
