@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, quality_grades, token_counts, token_files,
-                          toxicity)
+from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, quality_grades, quality_rules, secret_scan,
+                          token_counts, token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 MAX_REPETITION = 2.0     # of a source's documents in the mixture
 
 
@@ -57,5 +65,6 @@ def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades.predict(docs, quality_grades.fit(docs, rated))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op5_mix_sources, op6_token_files, op7_ngram_join,
-                                   op8_toxicity, op9_language_id, op10_quality_grades)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_quality_rules, op4_secret_scan,
+                                   op5_mix_sources, op6_token_files, op7_ngram_join, op8_toxicity, op9_language_id,
+                                   op10_quality_grades)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm import quality_rules, secret_scan
+
 # Words of lower-cased texts; windows of ten words (a shorter item is one window); a document word is hit if any
 # occurrence of a window covers it.
 OP1 = r"""
@@ -75,4 +77,96 @@ SELECT doc_id, source, n_tokens, CAST(copy AS BIGINT) AS copy, block,
 FROM placed
 """
 
-SQL = {"op1_decontaminate": OP1, "op5_mix_sources": OP5}
+# Measures by words, windows and lines; then, per language and rule, the strictest of a sequence of cutoffs whose
+# rejections of good labelled documents pass an exact binomial test.
+_RULES = [(rule, num, den, j, c) for rule, (num, den, cs) in quality_rules.RULES.items() for j, c in enumerate(cs)]
+_GRID = ", ".join(f"('{rule}', {j}, {c})" for rule, _, _, j, c in _RULES)
+_VALUE = " ".join(f"WHEN rule = '{rule}' THEN {den} > 0 AND 1000 * ({num}) > cutoff * {den}"
+                  for rule, (num, den, _) in quality_rules.RULES.items())
+OP3 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+    SELECT rid, i, list_slice(ws, i, i + 4) AS win
+    FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM docs WHERE len(ws) >= 5)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM again) GROUP BY rid),
+lines AS (
+    SELECT rid, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+    FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+measures AS (
+    SELECT d.rid, doc_id, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+           coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines
+    FROM docs d LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measures),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING max(quality) = 1),
+holdouts AS (SELECT j.* FROM judged j JOIN good USING (doc_id) WHERE NOT base_failed),
+grid(rule, j, cutoff) AS (VALUES {_GRID}),
+counted AS (
+    SELECT lang, rule, j, cutoff, count(*) AS n, count(*) FILTER (CASE {_VALUE} END) AS k
+    FROM holdouts, grid GROUP BY ALL),
+allowed AS (
+    SELECT {quality_rules.ERROR} / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang FROM holdouts))
+                                             * {len(quality_rules.RULES)}) AS share,
+           CAST({quality_rules.RISK} AS DOUBLE) / {len(quality_rules.RULES)} AS p),
+tails AS (
+    SELECT lang, rule, j, cutoff, share, sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1)
+                                                 + x * ln(p) + (n - x) * ln(1 - p))) AS tail
+    FROM (SELECT *, unnest(range(k + 1)) AS x FROM counted, allowed) GROUP BY ALL),
+bad AS (SELECT lang, rule, min(j) FILTER (tail > share) AS first_bad FROM tails GROUP BY ALL),
+cuts AS (
+    SELECT t.lang, t.rule, arg_max(cutoff, j) AS cutoff
+    FROM tails t JOIN bad b ON t.lang IS NOT DISTINCT FROM b.lang AND t.rule = b.rule AND j < coalesce(first_bad, 1000)
+    GROUP BY ALL),
+rejected AS (
+    SELECT m.rid, string_agg(rule, ',' ORDER BY g.o) AS rules
+    FROM judged m JOIN cuts c ON m.lang IS NOT DISTINCT FROM c.lang
+    JOIN (SELECT rule, row_number() OVER () AS o FROM (VALUES {", ".join(f"('{r}')" for r in quality_rules.RULES)}) v(rule)) g
+         USING (rule)
+    WHERE CASE {_VALUE} END GROUP BY m.rid)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND rules IS NULL AS kept,
+       coalesce(rules, '') AS rejected_by
+FROM judged LEFT JOIN rejected USING (rid)
+"""
+
+
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+# Every kind's regex on every text; places from the lengths of the pieces between its matches.
+_WIDER = {"access": ("AKIA[A-Z0-9]+", 18), "hex": ("[0-9a-f]+", 16)}          # matched first, short ones dropped then
+_KINDS = [(r.kind, *_WIDER.get(r.kind, (r.regex, r.least)), r.group) for r in secret_scan.RULES]
+_MATCHES = " UNION ALL ".join(
+    f"SELECT rid, {i} AS o, {_sql_text(kind)} AS kind, regexp_extract_all(text, {_sql_text(regex)}) AS m, "
+    f"string_split_regex(text, {_sql_text(regex)}) AS gaps, "
+    f"regexp_extract_all(text, {_sql_text(regex)}, {group}) AS part, {least} AS least FROM docs"
+    for i, (kind, regex, least, group) in enumerate(_KINDS))
+OP4 = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({_MATCHES}),
+cells AS (
+    SELECT rid, o, kind, least, unnest(range(1, len(m) + 1)) AS i, m, gaps, part FROM matches WHERE len(m) > 0),
+sized AS (
+    SELECT rid, o, kind, least, i, length(m[i]) AS size, length(gaps[i]) AS gap, length(part[i]) AS part FROM cells),
+placed AS (SELECT *, sum(gap + size) OVER (PARTITION BY rid, o ORDER BY i) AS stop FROM sized),
+spans AS (
+    SELECT rid, o, kind, CAST(stop - size AS BIGINT) AS start,
+           kind || ':' || CAST(stop - size AS BIGINT) || ':' || CAST(stop AS BIGINT) AS name
+    FROM placed WHERE part >= least),
+named AS (
+    SELECT rid, count(*) FILTER (o = 0) AS a, count(*) FILTER (o = 1) AS b, count(*) FILTER (o = 2) AS c,
+           string_agg(name, ',' ORDER BY start, o) FILTER (o < 3) AS base,
+           string_agg(name, ',' ORDER BY start, o) AS every FROM spans GROUP BY rid)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(b, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(c, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(every, '') AS spans
+FROM docs LEFT JOIN named USING (rid)
+"""
+
+SQL = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_secret_scan": OP4, "op5_mix_sources": OP5}
