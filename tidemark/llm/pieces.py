@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 
 from tidemark.llm.arrow_words import NON_SPACE, buffers
 
-SLICE = 12 << 20         # bytes of text encoded together
-KNOWN = 1_500_000        # distinct pieces that a Python worker remembers before it starts anew
-BATCH = 4 << 20          # bytes of pieces given to the library at once
+SLICE = 6 << 20          # bytes of text encoded together
+KNOWN = 800_000          # distinct pieces that a Python worker remembers before it starts anew
+BATCH = 1 << 18          # bytes of pieces given to the library at once (an encoding takes some hundred times that)
 
 
 @functools.lru_cache(maxsize=4)
