@@ -38,14 +38,11 @@ def test_running_sum_and_peak_equal_single_window(spark):
     assert got == want
 
 
-def test_running_sum_with_spark_range_exchange(spark, monkeypatch):
-    from tidemark.operators import running
-
-    monkeypatch.setattr(running, "MAX_LITERAL_RANGES", 2)
-    t = _skewed_trades(spark).select("id", "entry_ts", "pnl_usd")
-    got = {r.id: r.c for r in running.running_aggregate(t, ["entry_ts", "id"], {"c": "pnl_usd"}, partitions=5).collect()}
-    w = Window.orderBy("entry_ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    assert got == {r.id: r.c for r in t.withColumn("c", F.sum("pnl_usd").over(w)).collect()}
+def test_running_sum_over_many_ranges(spark):
+    t = spark.range(0, 6000, 1, 40).select("id", (F.col("id") % 7).cast("decimal(20,8)").alias("x"))
+    got = running_aggregate(t, ["id"], {"c": "x"}, {"p": "c"}, partitions=2100)
+    last = got.agg(F.max("c"), F.max("p"), F.count("*")).first()
+    assert (last[0], last[1], last[2]) == (sum(i % 7 for i in range(6000)),) * 2 + (6000,)
 
 
 def test_correlation_equals_nested_loop(spark):
@@ -70,12 +67,12 @@ def test_keyed_load_matches_first_row_per_key(spark):
 
     rows = scenarios.load_trades(spark, SF_SMALL)
     v = scenarios.validated_trades(spark, SF_SMALL)
-    w = Window.partitionBy("trade_id", "source").orderBy("pnl_usd", "exit_ts")
+    w = Window.partitionBy("trade_id", "source").orderBy("exit_ts", "pnl_usd")
     want = v.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
     assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0
 
 
-def test_running_sum_on_decimal_key_uses_column_path(spark):
+def test_running_sum_on_decimal_key(spark):
     t = _skewed_trades(spark).select("id", "pnl_usd")
     got = {r.id: r.c for r in running_aggregate(t, ["pnl_usd", "id"], {"c": "pnl_usd"}, partitions=4).collect()}
     w = Window.orderBy("pnl_usd", "id").rowsBetween(Window.unboundedPreceding, 0)

@@ -17,20 +17,28 @@ def test_correlation_has_no_nested_loop_or_cartesian(spark):
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
 
-def test_running_window_is_partitioned_by_range(spark):
+def test_running_totals_gather_only_range_totals(spark):
     from tidemark.plans import marts
 
-    df = marts.running_pnl(fx.trades(spark, SF_SMALL))
-    plan = df._jdf.queryExecution().optimizedPlan().toString() + _plan(df)
-    assert "Window" in plan
-    # rows are shuffled on their range id, never gathered into one partition ...
-    assert "Exchange hashpartitioning(__ra_range" in plan
-    # ... and the only single-partition exchange carries the one-row-per-range totals
+    plan = _plan(marts.running_pnl(fx.trades(spark, SF_SMALL)))
     lines = plan.splitlines()
-    for i, ln in enumerate(lines):
-        if "Exchange SinglePartition" in ln:
-            below = "\n".join(lines[i + 1:i + 3])
-            assert "__ra_range" in below and "Aggregate" in below
+    single = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert single
+    for i in single:        # the only single-partition exchange carries the one-row-per-range totals
+        below = "\n".join(lines[i + 1:i + 3])
+        assert "__ra_range" in below and "Aggregate" in below
+
+
+def test_dimensions_and_loads_use_hash_aggregates(spark):
+    from tidemark.operators import keyed_load
+
+    rows = spark.range(10).selectExpr("id AS k", "'x' AS v", "id AS __pos")
+    assert "SortAggregate" not in _plan(keyed_load.first_per_key(rows, ("k",)))
+    assert "SortAggregate" not in _plan(catalog.REGISTRY["dim_rule"](spark, SF_SMALL))
+
+
+def test_cross_domain_reads_the_facts_once(spark):
+    assert _plan(catalog.REGISTRY["cross_domain"](spark, SF_SMALL)).count("FileScan parquet") <= 8
 
 
 def test_scans_are_pruned_and_filtered(spark):
@@ -58,7 +66,7 @@ def test_keyed_alert_lookup_prunes_partitions(spark):
     alerts = scenarios.alert_ingest(spark, SF_SMALL).withColumn("day", alert_json.alert_day())
     path = scratch_path(spark, "keyed_alerts")
     keyed_load.keyed_append(spark, path, alerts.where(F.dayofmonth("timestamp") <= 20), ("alert_id",),
-                            ("timestamp", "raw"), prune_col="day")
+                            prune_col="day")
     look = ["day", "alert_id"]
     hits = spark.read.parquet(path).select(*look).join(
         alerts.where(F.dayofmonth("timestamp") > 20).select(*look), look, "left_semi")

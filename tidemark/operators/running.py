@@ -1,25 +1,17 @@
 """Running totals over a whole table without a single-partition window.
 
 `SUM(x) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)` written directly makes Spark move every row into one task
-(`Exchange SinglePartition`). Here the rows are cut into ranges of the (unique) order key instead:
-
-1. A random sample of the keys (a bounded top-k by a random number, so one pass and never more than
-   `sample_per_range` keys per range reach the driver) gives range boundaries; the range of a row is found by a
-   binary tree of comparisons against those boundaries, written as literals into the plan. The range id is thus
-   a deterministic function of the row: recomputing a lost task gives the same ranges, and the boundaries only
-   decide the balance, never the result. Because the key is unique, a time instant holding a third of all rows is
-   still split over many ranges.
-2. One shuffle on the range id; each range computes its local running sum with an ordinary window.
-3. Per-range totals are a partial aggregation over the input (one row per range, a bound we set); an exclusive
-   prefix over them gives each range its offset, broadcast back to the rows.
-
-Running maxima of a running sum need each range's largest local sum, which only the windowed rows know; that
-variant checkpoints the windowed rows so they are computed once.
-
-Past `MAX_LITERAL_RANGES` ranges (tens of terabytes at a sensible range size) the boundaries would make the plan
-itself large, so the ranges come from Spark's range exchange instead (`repartitionByRange`, which samples and
-binary-searches its own boundaries); its partition id is then not a function of the row, so the staged rows are
-checkpointed before the totals are taken from them.
+(`Exchange SinglePartition`). Here the rows are cut into ranges of the (unique) order key instead, in one way for
+every size:
+
+1. Spark's range exchange (`repartitionByRange`) cuts and distributes the rows; because the key is unique, a time
+   instant that holds a third of all rows is still split over many ranges.
+2. Each range computes its local running sum (and the running maximum of it) with an ordinary window.
+3. The rows with their range number are checkpointed: the number is the place of a partition, not a function of the
+   row, so it must not be computed twice. Per-range totals come from the checkpoint (one row per range, a bound we
+   set); an exclusive prefix over them gives each range its offset, broadcast back to the rows.
+
+The boundaries only decide the balance, never the result.
 """
 
 from __future__ import annotations
@@ -33,8 +25,6 @@ from pyspark.sql import types as T
 from tidemark.session import cut_lineage
 
 RANGE_ID = "__ra_range"
-SAMPLE_PER_RANGE = 64
-MAX_LITERAL_RANGES = 2048
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -43,88 +33,9 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _sort_key(row: tuple) -> tuple:
-    # ascending, NULL first: the order of Spark's struct comparison and of the window below
-    return tuple((v is not None, v) for v in row)
-
-
-# Key types whose sampled values are written as SQL literals; timestamps and dates are sampled as integers
-# (microseconds, days since the epoch), so boundaries are exact instants whatever the driver's time zone.
-_SQL_CASTS = {T.LongType: "BIGINT", T.IntegerType: "INT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
-
-
-def _sql_ready(dtype: T.DataType) -> bool:
-    return type(dtype) in _SQL_CASTS or isinstance(dtype, (T.TimestampType, T.DateType, T.StringType, T.BooleanType))
-
-
-def _sample_col(c: str, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(c))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(c))
-    return F.col(c)
-
-
-def _sql_literal(v, dtype: T.DataType) -> str:
-    if v is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    if isinstance(dtype, T.TimestampType):
-        return f"timestamp_micros({int(v)})"
-    if isinstance(dtype, T.DateType):
-        return f"date_from_unix_date({int(v)})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{v.encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, T.BooleanType):
-        return "true" if v else "false"
-    return f"CAST({int(v)} AS {_SQL_CASTS[type(dtype)]})"
-
-
-def range_id(df: DataFrame, order_by: Sequence[str], ranges: int, sample_per_range: int = SAMPLE_PER_RANGE,
-             seed: int = 17) -> Column:
-    """Expression giving each row its range (0 .. ranges-1) of `order_by`, from a bounded random sample.
-
-    Range ids must grow with the key (the offsets assume range r precedes range r+1), so the boundaries are
-    sorted on the driver in exactly Spark's order: integers, epoch microseconds or days, UTF-8 strings (code point
-    order equals byte order), NULL first."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    as_sql = all(_sql_ready(types[c]) for c in order_by)
-    picked = [_sample_col(c, types[c]) if as_sql else F.col(c) for c in order_by]
-    k = max(ranges * sample_per_range, 1)
-    sample = df.select(*[p.alias(c) for p, c in zip(picked, order_by)]).orderBy(F.rand(seed)).limit(k).collect()
-    keys = sorted((tuple(r) for r in sample), key=_sort_key)
-    bounds: list[tuple] = []
-    for j in range(1, ranges):
-        b = keys[(j * len(keys)) // ranges] if keys else None
-        if b is not None and (not bounds or _sort_key(b) > _sort_key(bounds[-1])):
-            bounds.append(b)
-
-    if as_sql:
-        row = "named_struct(" + ", ".join(f"'{c}', `{c}`" for c in order_by) + ")"
-
-        def lit_sql(b: tuple) -> str:
-            return "named_struct(" + ", ".join(
-                f"'{c}', {_sql_literal(v, types[c])}" for c, v in zip(order_by, b)) + ")"
-
-        def tree_sql(lo: int, hi: int) -> str:  # the number of boundaries <= row, known to lie in [lo, hi]
-            if lo == hi:
-                return str(lo)
-            mid = (lo + hi) // 2
-            return f"CASE WHEN {row} < {lit_sql(bounds[mid])} THEN {tree_sql(lo, mid)} ELSE {tree_sql(mid + 1, hi)} END"
-
-        return F.expr(tree_sql(0, len(bounds)))
-
-    row_col = F.struct(*[F.col(c) for c in order_by])
-
-    def lit(b: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_by, b)])
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row_col < lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
+def _kept(total: Column, kind: T.DataType) -> Column:
+    """A decimal sum at the input's own scale, narrow enough that adding two of them cuts no fraction digit."""
+    return total.cast(T.DecimalType(37, kind.scale)) if isinstance(kind, T.DecimalType) else total
 
 
 def running_aggregate(
@@ -142,33 +53,25 @@ def running_aggregate(
     additions cannot change a result.
     """
     peaks = dict(peaks or {})
-    n = _partitions(df, partitions)
-    literal = n <= MAX_LITERAL_RANGES
-    if literal:
-        ranged = df.withColumn(RANGE_ID, range_id(df, order_by, n))
-    else:
-        ranged = df.repartitionByRange(n, *[F.col(c) for c in order_by]).withColumn(
-            RANGE_ID, F.spark_partition_id())
-    local = Window.partitionBy(RANGE_ID).orderBy(*[F.col(c) for c in order_by]).rowsBetween(
-        Window.unboundedPreceding, 0)
-
-    staged = ranged
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    order = [F.col(c) for c in order_by]
+    staged = df.repartitionByRange(_partitions(df, partitions), *order).withColumn(RANGE_ID, F.spark_partition_id())
+    local = Window.partitionBy(RANGE_ID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     for out, src in sums.items():
-        staged = staged.withColumn(f"__ra_l_{out}", F.sum(F.col(src)).over(local))
-    aggs = [F.sum(F.col(src)).alias(f"__ra_t_{out}") for out, src in sums.items()]
+        staged = staged.withColumn(f"__ra_l_{out}", _kept(F.sum(F.col(src)).over(local), kinds[src]))
     for out, of in peaks.items():
         staged = staged.withColumn(f"__ra_lp_{out}", F.max(F.col(f"__ra_l_{of}")).over(local))
-    aggs += [F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()]
-    if peaks or not literal:
-        staged = cut_lineage(staged)
-        per_range = staged.groupBy(RANGE_ID).agg(*aggs)
-    else:
-        per_range = ranged.groupBy(RANGE_ID).agg(*aggs)
-
-    # One row per range: at most `n` rows, so the prefix window and the broadcast are bounded by construction.
+    staged = cut_lineage(staged)
+    per_range = staged.groupBy(RANGE_ID).agg(
+        *[_kept(F.sum(F.col(src)), kinds[src]).alias(f"__ra_t_{out}") for out, src in sums.items()],
+        *[F.max(F.col(f"__ra_l_{of}")).alias(f"__ra_m_{out}") for out, of in peaks.items()],
+    )
+
+    # One row per range, so the prefix window and the broadcast are bounded by the number of ranges.
     before = Window.orderBy(RANGE_ID).rowsBetween(Window.unboundedPreceding, -1)
     for out in sums:
-        per_range = per_range.withColumn(f"__ra_o_{out}", F.coalesce(F.sum(f"__ra_t_{out}").over(before), F.lit(0)))
+        offset = F.coalesce(F.sum(f"__ra_t_{out}").over(before), F.lit(0))
+        per_range = per_range.withColumn(f"__ra_o_{out}", _kept(offset, kinds[sums[out]]))
     for out, of in peaks.items():
         per_range = per_range.withColumn(
             f"__ra_pp_{out}", F.max(F.col(f"__ra_o_{of}") + F.col(f"__ra_m_{out}")).over(before))

@@ -39,14 +39,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster. Only when nothing is configured (a unit test on a laptop)
-    do we create one of our own."""
+    """The shared folder named by the cluster. Only in local mode, where driver and executors are one process, a
+    folder of our own takes its place; on a cluster an unset folder is an error, since rows that executors write to
+    their own disks would be missed when they are read back."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set (master {master}): name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
