@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.expressions import EXACT
+
 # Timestamp layouts accepted besides the ISO forms that a plain cast reads; each row is parsed on its own.
 TIMESTAMP_FORMATS: Sequence[str] = (
     "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ssXXX", "MM/dd/yyyy HH:mm", "MM/dd/yyyy HH:mm:ss",
@@ -24,9 +26,32 @@ def parse_timestamp(c: str | F.Column, formats: Sequence[str] = TIMESTAMP_FORMAT
     return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
-def _typed(df: DataFrame) -> DataFrame:
+# Numbers as text: digits with an optional sign, point and exponent, or infinity; no type suffixes, no hexadecimal.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+
+def number(c: str | F.Column, kind: str = "double") -> F.Column:
+    """Numeric text as `kind`; NULL for anything else."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.when(text.rlike(NUMBER), F.trim(text)).try_cast(kind)
+
+
+def typed_trades(df: DataFrame) -> DataFrame:
+    """The trade table's types for validated broker rows: whole hours, decimals without a cut of fraction digits;
+    unreadable numbers are NULL (L6). Columns the table has and the batch lacks are NULL; indicators default to {}."""
+    money = ("entry_price", "exit_price", "pnl_usd", "pnl_pct", "signal_score", "position_size_usd", "balance_at_entry")
+    have = set(df.columns)
+    text = lambda c: F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+    return df.select(
+        *[text(c).alias(c) for c in ("trade_id", "source", "symbol", "side", "outcome", "reason")],
+        "entry_ts", "exit_ts", number(text("hour_utc"), "double").cast("int").alias("hour_utc"),
+        *[number(text(c), EXACT).alias(c) for c in money],
+        F.coalesce(text("indicators"), F.lit("{}")).alias("indicators"))
+
+
+def _typed(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
     return df.withColumns({
-        "pnl_usd": F.col("pnl_usd").cast("string").try_cast("double"),
+        "pnl_usd": number("pnl_usd", EXACT if decimal_pnl else "double"),
         "entry_ts": parse_timestamp("entry_ts"),
         "exit_ts": parse_timestamp("exit_ts"),
     })
@@ -34,9 +59,7 @@ def _typed(df: DataFrame) -> DataFrame:
 
 def _rules(decimal_pnl: bool) -> tuple[F.Column, F.Column, F.Column]:
     pnl, entry, exit_ = F.col("pnl_usd"), F.col("entry_ts"), F.col("exit_ts")
-    bad_pnl = pnl.isNull() | F.isnan(pnl)
-    if decimal_pnl:
-        bad_pnl = bad_pnl | (F.abs(pnl) == F.lit(float("inf")))
+    bad_pnl = pnl.isNull() if decimal_pnl else pnl.isNull() | F.isnan(pnl)
     bad_ts = entry.isNull() | exit_.isNull() | (entry >= exit_)
     bad_id = F.col("trade_id").isNull() | F.col("trade_id").cast("string").rlike(r"^\s*$")
     return bad_pnl, bad_ts, bad_id
@@ -46,14 +69,14 @@ def with_reject_reason(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
     """Typed P&L and timestamps plus `reject_reason` (NULL for rows that pass)."""
     bad_pnl, bad_ts, bad_id = _rules(decimal_pnl)
     reason = F.when(bad_pnl, REASON_PNL).when(bad_ts, REASON_TIME).when(bad_id, REASON_ID)
-    return _typed(df).withColumn("reject_reason", reason)
+    return _typed(df, decimal_pnl).withColumn("reject_reason", reason)
 
 
 def validate_trades(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
     """Rows that pass every rule, with typed P&L and timestamps. A flat conjunction rather than a test on the
     reason label: the optimizer pushes it into the scan's join as is, and each parse is evaluated once."""
     bad_pnl, bad_ts, bad_id = _rules(decimal_pnl)
-    return _typed(df).where(~bad_pnl & ~bad_ts & ~bad_id)
+    return _typed(df, decimal_pnl).where(~bad_pnl & ~bad_ts & ~bad_id)
 
 
 def reject_counts(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:

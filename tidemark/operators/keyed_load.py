@@ -1,25 +1,29 @@
 """Idempotent keyed loads: INSERT ... ON CONFLICT (key) DO NOTHING for a Parquet table.
 
-Within a batch the first row of a key wins (by an explicit order, since a distributed batch has no input order);
-keys already in the table are skipped with an anti-join; the new rows are appended as one new `load_id`
-partition, so a failed job leaves nothing behind and each load can be told apart. The accounting (attempted,
-inserted, skipped) is observed on the same pass that writes the rows.
-
-The in-batch de-duplication is an aggregation (min_by over the row, ordered by the tie-break) rather than a
-window, so a key that holds a third of the batch is reduced map-side in every task.
+Within a batch the first row of a key wins, in input order (the order in which Spark reads the batch: within a file,
+row by row). The batch is written once to the shared folder with its row numbers, so it is parsed once; the first row
+of every key is found by a hash aggregation of the row number (map-side combined, so a key that holds a third of the
+batch is reduced in every task). Keys already in the table are skipped with a semi-join and an anti-join, and the new
+rows are appended as one new `load_id` partition.
+
+What each load did is kept in a small table beside the data (`<path>__loads`), so neither the load number nor the
+table's row count needs a listing or a scan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 LOAD_ID = "load_id"
+POSITION = "__pos"
+LOADS_SCHEMA = "load_id int, attempted long, inserted long, skipped long, rows_before long, rows_after long"
 
 
 @dataclass(frozen=True)
@@ -44,32 +48,50 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
-    """Integer values of a partition column, from the directory listing (no data read); the column may sit
-    below another partition level."""
-    if not table_exists(spark, path):
-        return []
+    """Integer values of the table's first partition column, from one directory listing (no data read)."""
     fs, p = _fs_path(spark, path)
-    out: set[int] = set()
-    level = [s for s in fs.listStatus(p) if s.isDirectory()]
-    while level:
-        nxt = []
-        for s in level:
-            name = s.getPath().getName()
-            if name.startswith(column + "="):
-                out.add(int(name.split("=", 1)[1]))
-            elif "=" in name and not name.startswith(("_", ".")):
-                nxt += [c for c in fs.listStatus(s.getPath()) if c.isDirectory()]
-        level = nxt
-    return sorted(out)
-
-
-def first_per_key(batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the first by `order_by`; `__n` counts the rows the key had in the batch."""
-    rest = [c for c in batch.columns if c not in keys]
-    pick = F.min_by(F.struct(*rest), F.struct(*[F.col(c) for c in order_by]))
-    return batch.groupBy(*keys).agg(pick.alias("__r"), F.count(F.lit(1)).alias("__n")).select(
-        *keys, *[F.col(f"__r.{c}").alias(c) for c in rest], "__n"
-    )
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(column + "="))
+
+
+def last_load(spark: SparkSession, path: str) -> LoadStats | None:
+    """The newest entry of the load table (one row per load)."""
+    fs, p = _fs_path(spark, f"{path}__loads")
+    if not fs.exists(p):
+        return None
+    row = spark.read.schema(LOADS_SCHEMA).parquet(f"{path}__loads").orderBy(F.desc("load_id")).first()
+    return LoadStats(**row.asDict()) if row else None
+
+
+def first_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
+                  position: str = POSITION) -> DataFrame:
+    """The first row of every key: the smallest `position` (a unique number), or the first by `order_by` where the
+    input's order is that of columns. Rows of a NULL key are left out."""
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    found = rows.groupBy(*keys).agg(F.min(position).alias(position), F.count(F.lit(1)).alias("__n"))
+    if order_by:       # only keys that occur repeatedly need their rows compared
+        again = rows.join(found.where("__n > 1").select(*keys), list(keys), "left_semi")
+        picked = again.groupBy(*keys).agg(F.min_by(position, F.struct(*order_by, position)).alias(position))
+        first = found.where("__n = 1").select(position).unionByName(picked.select(position))
+    else:
+        first = found.select(position)
+    return rows.join(first, position, "left_semi")
+
+
+def _numbered(new: DataFrame, offset: int, column: str) -> DataFrame:
+    """`new` with dense numbers offset + 1, offset + 2, ... as `column`: row numbers within the written partitions, plus
+    the partitions' sizes before (a row per partition, a bound that the writing job sets)."""
+    mono = F.monotonically_increasing_id()
+    rows = materialize(new.withColumn("__m", mono), "new_rows")
+    part, inside = F.shiftright("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("__p")).agg(F.max(inside + 1).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("__p", F.coalesce(before, F.lit(0)).alias("__before"))
+    number = (inside + F.col("__before") + F.lit(offset + 1)).cast("bigint")
+    return rows.join(F.broadcast(sizes), part == F.col("__p")).withColumn(column, number).drop("__m", "__p", "__before")
 
 
 def keyed_append(
@@ -77,44 +99,47 @@ def keyed_append(
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str],
     loaded_at: dt.datetime | None = None,
+    order_by: Sequence[str] | None = None,
     prune_col: str | None = None,
+    surrogate: str | None = None,
 ) -> LoadStats:
     """Append the rows of `batch` whose key is not yet in the table at `path`. Rows with a NULL key are not
     loadable (the key columns are NOT NULL) and count as skipped.
 
-    `prune_col` names a column of the batch that is a function of the key (for alerts: the day of the alert,
-    since the id hashes the alert's time; for trades: the source, a key column). The table is then partitioned by it and the existing keys are looked
-    up on (prune_col, keys), so dynamic partition pruning reads only the partitions the batch touches instead of
-    the whole table."""
-    existing = spark.read.parquet(path) if table_exists(spark, path) else None
-    loads = partition_values(spark, path, LOAD_ID)
-    load_id = (loads[-1] + 1) if loads else 1
-    before = existing.count() if existing is not None else 0
-
-    seen = Observation(f"load_{load_id}_seen_{uuid.uuid4().hex}")
-    new = Observation(f"load_{load_id}_new_{uuid.uuid4().hex}")
-    observed = batch.observe(seen, F.count(F.lit(1)).alias("attempted"))
-    valid = observed
-    for k in keys:
-        valid = valid.where(F.col(k).isNotNull())
-    firsts = first_per_key(valid, keys, order_by).drop("__n")
-    if existing is not None:
+    `prune_col` names a column of the batch that is a function of the key (for alerts: the day of the alert, since
+    the id hashes the alert's time). The table is then partitioned by it and the existing keys are looked up on
+    (prune_col, keys), so dynamic partition pruning reads only the partitions the batch touches; without one the
+    lookup reads the key columns of the table. `surrogate` names a column that gets dense numbers over all loads.
+    """
+    previous = last_load(spark, path)
+    load_id = previous.load_id + 1 if previous else 1
+    before = previous.rows_after if previous else 0
+    staged = materialize(batch.withColumn(POSITION, F.monotonically_increasing_id()), "batch")
+    firsts = first_per_key(staged, keys, order_by)
+    if previous and previous.rows_after:
         # The table grows every day, the batch does not: find the batch's keys in the table with a semi-join
         # whose small side is the batch (broadcast when its size allows, so the table is streamed, not
         # shuffled), then drop those hits from the batch.
         look = list(dict.fromkeys(([prune_col] if prune_col else []) + list(keys)))
-        hits = existing.select(*look).join(firsts.select(*look), look, "left_semi")
+        hits = spark.read.parquet(path).select(*look).join(staged.select(*look), look, "left_semi")
         firsts = firsts.join(hits, look, "left_anti")
-    rows = firsts.observe(new, F.count(F.lit(1)).alias("inserted")).withColumns({
+    firsts = firsts.drop(POSITION)
+    if surrogate:
+        firsts = _numbered(firsts, before, surrogate)
+    rows = firsts.withColumns({
         "loaded_at": F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"),
         LOAD_ID: F.lit(load_id),
     })
+    # Rebalanced on the partition column: a day's rows come together in few files, a large day is split.
+    rows = rows.hint("rebalance", *([prune_col] if prune_col else []))
     rows.write.mode("append").partitionBy(*([prune_col] if prune_col else []), LOAD_ID).parquet(path)
-    attempted = int(seen.get.get("attempted", 0) or 0)
-    inserted = int(new.get.get("inserted", 0) or 0)
-    return LoadStats(load_id, attempted, inserted, attempted - inserted, before, before + inserted)
+    # both counts come from the footers of the files just written
+    attempted = staged.count()
+    inserted = spark.read.schema(rows.schema).parquet(path).where(F.col(LOAD_ID) == load_id).count()
+    stats = LoadStats(load_id, attempted, inserted, attempted - inserted, before, before + inserted)
+    stats_frame(spark, [stats]).coalesce(1).write.mode("append").parquet(f"{path}__loads")
+    return stats
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -123,9 +148,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def stats_frame(spark: SparkSession, stats: Sequence[LoadStats]) -> DataFrame:
     return spark.createDataFrame(
-        [(s.load_id, s.attempted, s.inserted, s.skipped, s.rows_before, s.rows_after) for s in stats],
-        "load_id int, attempted long, inserted long, skipped long, rows_before long, rows_after long",
-    )
+        [(s.load_id, s.attempted, s.inserted, s.skipped, s.rows_before, s.rows_after) for s in stats], LOADS_SCHEMA)
 
 
 def attempted_by_source(batch: DataFrame, source: str = "source") -> DataFrame:

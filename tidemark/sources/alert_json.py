@@ -7,11 +7,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
+# White space of any kind at either end of a line.
+SPACE_AROUND = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 # rule.id and rule.level occur as text or as numbers; read both as text and cast.
 LINE_SCHEMA = T.StructType([
@@ -42,27 +45,50 @@ ALERT_SCHEMA = T.StructType([
 ])
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines (column `value`); a missing path gives no lines rather than a failure."""
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether the path (a file, a folder or a pattern) is there and may be read by this user."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    read = jvm.org.apache.hadoop.fs.permission.FsAction.READ
     try:
-        return spark.read.text(path)
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], "value string")
+        found = fs.globStatus(where)
+        if not found:
+            return False
+        for one in found:
+            fs.access(one.getPath(), read)
+        return True
+    except Py4JJavaError as exc:
+        if "AccessControlException" in str(exc.java_exception) or "Permission denied" in str(exc.java_exception):
+            return False
         raise
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines (column `value`); a path that is missing or may not be read gives no lines rather than a failure."""
+    if not readable(spark, path):
+        return spark.createDataFrame([], "value string")
+    return spark.read.text(path)
+
+
 def classify(lines: DataFrame, value: str = "value") -> DataFrame:
     """Every line with its parse status (`blank`, `error`, `ok`) and, for `ok`, the alert columns."""
-    text = F.trim(F.col(value))
-    j = F.from_json(text, LINE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = lines.select(text.alias("__line"), j.alias("j"))
+    text = F.regexp_replace(F.col(value), SPACE_AROUND, "")
+    j = F.from_json(text, LINE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                                        "allowSingleQuotes": "false"})
+    # strict: the whole line is one JSON object. The parsers stop after a first complete value, so the line is tried
+    # inside an array (of one element) and inside an object, where nothing may follow it.
+    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"line":'), text, F.lit("}")))
+    whole = (text.startswith("{") & array.isNotNull() & F.try_variant_get(array, "$[1]", "variant").isNull()
+             & field.isNotNull())
+    parsed = lines.select(text.alias("__line"), j.alias("j"), whole.alias("__whole"))
     ts_raw = F.col("j.timestamp")
     ts = F.try_to_timestamp(ts_raw)
     rule_id_text = F.col("j.rule.id")
     status = (
         F.when(F.col("__line") == "", "blank")
-        .when(F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull(), "error")
+        .when(~F.col("__whole") | F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull(), "error")
         .when(ts_raw.isNotNull() & (ts_raw != "") & ts.isNull(), "error")
         .otherwise("ok")
     )

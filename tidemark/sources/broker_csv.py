@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.alert_json import readable
+
 # The shared trade columns every broker file must carry.
 SHARED_COLS = (
     "trade_id", "symbol", "side", "outcome", "reason",
@@ -44,14 +46,11 @@ def read_broker_csv(
     """Read one broker's files: shared columns as text, `source`, and `indicators` JSON of the other columns.
 
     `extra_types` gives the type of indicator columns (default string) so numbers stay numbers in the JSON.
-    A missing shared column raises `MissingColumns`; a missing path gives an empty frame.
+    A missing shared column raises `MissingColumns`; a path that is missing or may not be read gives an empty frame.
     """
-    try:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    except Exception as exc:  # noqa: BLE001 - Spark raises AnalysisException for a missing path
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return empty_trades(spark)
-        raise
+    if not readable(spark, path):
+        return empty_trades(spark)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     missing = [c for c in shared if c not in raw.columns]
     if missing:
         raise MissingColumns(f"{path}: missing shared columns {missing}")

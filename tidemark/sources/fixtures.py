@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import prepare
 
 DEC = "decimal(18,4)"
+PNL = "decimal(20,8)"     # eight fraction digits, as crypto sizes give
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +32,8 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     eid, uid = F.col("event_id"), F.col("user_id")
     entry = F.col("ts").cast("timestamp")
-    pnl = (F.col("value").cast(DEC) - F.lit(50)).cast(DEC)
+    tail = F.concat(F.lit("0.00000"), F.lpad((eid % 1000).cast("string"), 3, "0")).cast(PNL)
+    pnl = (F.col("value").cast(DEC) - F.lit(50) + tail).cast(PNL)
     symbol = (
         F.when(uid % 6 == 0, "EUR/USD")
         .when(uid % 6 == 1, "GBP/USD")
@@ -58,6 +60,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1000).cast(DEC).alias("position_size_usd"),
         (F.lit(10000) + eid).cast(DEC).alias("balance_at_entry"),
         F.col("props").alias("indicators"),
+        (entry + F.make_dt_interval(days=F.lit(1))).alias("loaded_at"),
     )
 
 
@@ -81,6 +84,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("src_ip"),
         F.col("props").alias("full_log"),
         F.col("props").alias("raw"),
+        (F.col("ts").cast("timestamp") + F.make_dt_interval(days=F.lit(1))).alias("loaded_at"),
     )
 
 
@@ -113,18 +117,25 @@ def ip_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alert JSON text lines with malformed and blank lines: (event_id, line)."""
+    """Alert JSON text lines (event_id, line): most readable, some without a time, some blank (empty, or white space
+    only), some malformed (cut off, two objects on a line, text after the object, single quotes)."""
     ev = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type").where(F.col("event_type") == "error")
     eid, uid = F.col("event_id"), F.col("user_id")
-    good = F.concat(
-        F.lit('{"timestamp": "'), F.col("ts").cast("string"),
-        F.lit('", "rule": {"id": "'), (F.lit(5700) + uid % 20).cast("string"),
+    time = F.concat(F.lit('"timestamp": "'), F.col("ts").cast("string"), F.lit('", '))
+    rest = F.concat(
+        F.lit('"rule": {"id": "'), (F.lit(5700) + uid % 20).cast("string"),
         F.lit('", "level": '), (uid % 17).cast("string"),
         F.lit(', "description": "rule '), (uid % 20).cast("string"),
         F.lit('"}, "agent": {"name": "hub"}, "data": {"srcip": "10.0.0.'), (uid % 50).cast("string"),
         F.lit('"}, "full_log": "k '), uid.cast("string"), F.lit('"}'),
     )
-    return ev.select(eid, F.when(eid % 97 == 0, "{bad").when(eid % 89 == 0, "").otherwise(good).alias("line"))
+    line = (
+        F.when(eid % 97 == 0, "{bad").when(eid % 89 == 0, "").when(eid % 79 == 0, " \t ")
+        .when(eid % 73 == 0, "{'full_log': 'x'}").when(eid % 71 == 0, '{"full_log": "x"} {"full_log": "y"}')
+        .when(eid % 67 == 0, '{"full_log": "x"} xyz').when(eid % 83 == 0, F.concat(F.lit("{"), rest))
+        .otherwise(F.concat(F.lit("{"), time, rest))
+    )
+    return ev.select(eid, line.alias("line"))
 
 
 def trades_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +149,8 @@ def trades_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("trade_id_raw"),
         F.when(F.col("l_partkey") % 41 == 0, "  ").otherwise(key).alias("trade_id"),
         F.when(F.col("l_linestatus") == "F", "oanda").otherwise("kraken").alias("source"),
-        F.when(F.col("l_partkey") % 37 == 0, "n/a")
+        F.when(F.col("l_partkey") % 37 == 0, "n/a").when(F.col("l_partkey") % 31 == 0, "12d")
+        .when(F.col("l_partkey") % 29 == 0, " 0x1p3").when(F.col("l_partkey") % 23 == 0, "+1.5e2 ")
         .otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
         .alias("pnl_usd"),
         F.col("o_orderdate").cast("string").alias("entry_ts"),

@@ -3,23 +3,20 @@
 Each append is one version: the rows get `batch_id = previous + 1` and `day` (UTC date of the table's time
 column) and are written as the partitions `batch_id=<v>/day=<d>`. Reading as of version v is a partition filter
 `batch_id <= v`, which is exact for an append-only table and prunes whole directories. Appends are not
-de-duplicated (two appends of the same rows double them), as in the reference; `dedup=True` skips rows whose
-key is already present (`dedup_keys`). One writer per table is assumed (the daily job).
-
-Compaction keeps as-of reads right for every retained version: batches up to the oldest retained version are
-merged into that version's partition, rewritten per day into few files.
+de-duplicated (two appends of the same rows double them), as in the reference, unless `dedup_keys` are given. One
+writer per table is assumed (the daily job).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed_load import _fs_path, partition_values, table_exists
+from tidemark.operators.keyed_load import POSITION, first_per_key, partition_values, table_exists
+from tidemark.session import materialize
 
 BATCH, DAY = "batch_id", "day"
 
@@ -31,23 +28,25 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 def append(
     df: DataFrame, path: str, ts_col: str, dedup_keys: Sequence[str] | None = None
 ) -> int | None:
-    """Append `df` as a new version; returns the version id, or None when there was nothing to append."""
+    """Append `df` as a new version; returns the version id, or None when there was nothing to append. With
+    `dedup_keys` (which then decide the row's day as well) only the first row of a key not yet in the table is
+    appended; the lookup reads only the days that the batch holds."""
     spark = df.sparkSession
     existing = versions(spark, path)
     version = (existing[-1] + 1) if existing else 1
-    rows = df
-    if dedup_keys and existing:
-        rows = rows.join(spark.read.parquet(path).select(*dedup_keys), list(dedup_keys), "left_anti")
-    # Rows are counted while they are written (no separate emptiness pass over the input); an empty append
-    # writes no partition, so no version appears.
-    seen = Observation(f"append_{version}_{uuid.uuid4().hex}")
+    rows = df.withColumns({BATCH: F.lit(version), DAY: F.to_date(F.col(ts_col))})
+    if dedup_keys:
+        staged = materialize(rows.withColumn(POSITION, F.monotonically_increasing_id()), "append")
+        rows = first_per_key(staged, dedup_keys).drop(POSITION)
+        if existing:
+            look = [DAY, *dedup_keys]
+            hits = scan(spark, path).select(*look).join(staged.select(*look), look, "left_semi")
+            rows = rows.join(hits, look, "left_anti")
     # Rebalance on the day before the partitioned write: each day's rows come together in few tasks (a hot day
     # is split by adaptive execution), so a version has about one file per day instead of one per task and day.
-    (rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        .withColumns({BATCH: F.lit(version), DAY: F.to_date(F.col(ts_col))})
-        .hint("rebalance", DAY)
-        .write.mode("append").partitionBy(BATCH, DAY).parquet(path))
-    return version if seen.get.get("n", 0) else None
+    rows.hint("rebalance", DAY).write.mode("append").partitionBy(BATCH, DAY).parquet(path)
+    # an empty append writes no partition, so no version appears
+    return version if version in versions(spark, path) else None
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -60,62 +59,39 @@ def as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
 
 def version_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Per table: rows in each version (from the data) and whether it is the current version."""
-    frames = []
+    out = spark.createDataFrame([], "table string, version int, rows long, is_current boolean")
     for name, path in tables.items():
         cur = versions(spark, path)
         if not cur:
             continue
-        frames.append(
+        out = out.unionByName(
             scan(spark, path).groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(name).alias("table"), F.col(BATCH).alias("version"), "rows",
-                    (F.col(BATCH) == cur[-1]).alias("is_current"))
-        )
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+                    (F.col(BATCH) == cur[-1]).alias("is_current")))
     return out
 
 
-def compact(spark: SparkSession, path: str, retain: int) -> int | None:
-    """Merge all versions up to the oldest of the `retain` newest versions into that version.
-
-    Versions older than it can no longer be read as of; every retained version reads the same rows as before.
-    The merged rows are written to a hidden directory first, the old partitions are moved aside, the merged
-    directory is moved in, and only then is the old data deleted.
-    """
+def compact(spark: SparkSession, path: str, retain: int, out: str) -> int | None:
+    """Write a copy of the table at `out` in which all versions up to the oldest of the `retain` newest are merged
+    into that version, in few files per day. Every retained version reads the same rows as before; the table at
+    `path` is not touched, readers move to the copy when it is complete. None if there is nothing to merge."""
     vs = versions(spark, path)
     if len(vs) <= retain:
         return None
     keep_from = vs[-retain]
-    merged = as_of(spark, path, keep_from).drop(BATCH)
-    tmp = f"{path.rstrip('/')}/_compact_{keep_from}"
-    # rebalance: adaptive execution cuts large days into several files and packs small days together, all at
-    # the advisory partition size, instead of one task per day.
-    merged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(tmp)
-    fs, _ = _fs_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    retired = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_retired_{keep_from}")
-    fs.mkdirs(retired)
-    for v in vs:
-        if v <= keep_from:
-            src = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BATCH}={v}")
-            fs.rename(src, jvm.org.apache.hadoop.fs.Path(retired, f"{BATCH}={v}"))
-    fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BATCH}={keep_from}"))
-    fs.delete(retired, True)
+    merged = scan(spark, path).withColumn(BATCH, F.greatest(F.col(BATCH), F.lit(keep_from)))
+    merged.hint("rebalance", BATCH, DAY).write.partitionBy(BATCH, DAY).parquet(out)
     return keep_from
 
 
 def snapshot(df: DataFrame, base: str, prefix: str, run_date: dt.date | None = None) -> str | None:
-    """Daily snapshot `<base>/raw/<prefix>/run_date=<date>`; a rerun on the same day replaces it. Empty frames are
-    not written."""
+    """Daily snapshot `<base>/raw/<prefix>/run_date=<date>`; a rerun on the same day replaces it. An empty frame is
+    not written and leaves an earlier snapshot of the day as it is."""
     run_date = run_date or dt.date.today()
     out = f"{base.rstrip('/')}/raw/{prefix}/run_date={run_date.isoformat()}"
-    seen = Observation(f"snapshot_{prefix}_{uuid.uuid4().hex}")
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
-    if not seen.get.get("n", 0):
-        fs, p = _fs_path(df.sparkSession, out)
-        fs.delete(p, True)
+    if df.isEmpty():
         return None
+    df.write.mode("overwrite").parquet(out)
     return out
 
 

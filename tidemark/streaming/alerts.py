@@ -7,7 +7,7 @@ repeats beyond the watermark and for batches replayed after a failure. Spark's d
 drop rows older than the watermark (checked: no row counted as dropped), so lateness is the batch job's
 look-back rule applied per micro-batch.
 
-The daily counts are a windowed aggregation; `complete` mode rewrites the (small, one row per day and level)
+The daily counts are an aggregation by day; `complete` mode rewrites the (small, one row per day and level)
 result each batch.
 """
 
@@ -16,7 +16,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.alert_json import ALERT_COLUMNS, alert_day, classify
+from tidemark.sources.alert_json import ALERT_COLUMNS, alert_day, classify, parse_report
+
+
+def parse_counts_stream(
+    spark: SparkSession, lines_dir: str, table_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
+) -> None:
+    """Lines, blank lines, parse errors and readable alerts of the stream, as one row written whole on every batch."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    counts = parse_report(reader.load(lines_dir))
+
+    def sink(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    q = (counts.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def alert_stream(spark: SparkSession, lines_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,16 +61,14 @@ def ingest_alerts(
     if lookback_hours is not None:
         cutoff = F.current_timestamp() - F.make_dt_interval(hours=F.lit(lookback_hours))
         stream = stream.where(F.col("timestamp").isNull() | (F.col("timestamp") >= cutoff))
-    stream = (
-        stream.where(F.col("timestamp").isNotNull())
-        .withWatermark("timestamp", lateness)
-        .dropDuplicatesWithinWatermark(["alert_id"])
-    )
+    # Alerts without a time have no place on the watermark's clock: they go straight to the keyed load.
+    timed = (stream.where(F.col("timestamp").isNotNull()).withWatermark("timestamp", lateness)
+             .dropDuplicatesWithinWatermark(["alert_id"]))
+    stream = timed.unionByName(stream.where(F.col("timestamp").isNull()))
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
         # partitioned by the alert's day, so each micro-batch looks up only the days it touches
-        keyed_append(spark, table_path, batch.withColumn("day", alert_day()), ("alert_id",), ("timestamp", "raw"),
-                     prune_col="day")
+        keyed_append(spark, table_path, batch.withColumn("day", alert_day()), ("alert_id",), prune_col="day")
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -63,13 +78,12 @@ def ingest_alerts(
 def daily_counts_stream(
     spark: SparkSession, lines_dir: str, table_path: str, checkpoint: str,
 ) -> None:
-    """Alerts per (UTC day, level), maintained as a stream and written whole on every batch."""
+    """Alerts per (UTC day, level), maintained as a stream and written whole on every batch. Alerts without a time
+    are counted under a NULL day, as in the batch mart."""
     counts = (
         alert_stream(spark, lines_dir)
-        .where(F.col("timestamp").isNotNull())
-        .groupBy(F.window("timestamp", "1 day").alias("w"), "rule_level")
+        .groupBy(F.to_date("timestamp").alias("date"), "rule_level")
         .agg(F.count(F.lit(1)).alias("alert_count"))
-        .select(F.to_date(F.col("w.start")).alias("date"), "rule_level", "alert_count")
     )
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
