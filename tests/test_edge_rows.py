@@ -24,11 +24,12 @@ def _reasons(spark, rows):
 
 def test_pnl_rules(spark):
     rows = [(f"t{i}", "s", p, "2024-01-01 00:00:00", "2024-01-01 01:00:00")
-            for i, p in enumerate(["n/a", "NaN", "", "inf", "12.5"])]
+            for i, p in enumerate(["n/a", "NaN", "", "inf", "12.5", "12d", "1f", "0x1p3", " +1.5e2 "])]
     got = _reasons(spark, rows)
     assert got["t0"] == got["t1"] == got["t2"] == cleaning.REASON_PNL
     assert got["t3"] is None  # infinity is numeric: kept, as the reference keeps it
-    assert got["t4"] is None
+    assert got["t4"] is None and got["t8"] is None
+    assert got["t5"] == got["t6"] == got["t7"] == cleaning.REASON_PNL  # suffixes and hexadecimal are not numbers
     inf = spark.createDataFrame([rows[3]], TRADE_COLS)
     assert cleaning.validate_trades(inf, decimal_pnl=True).count() == 0
 
@@ -65,13 +66,68 @@ def _batch(spark, rows):
 def test_keyed_load_is_idempotent(spark):
     path = scratch_path(spark, "keyed")
     rows = [("a", "oanda", 1.0, "x"), ("a", "kraken", 2.0, "x"), ("a", "oanda", 0.5, "y"), ("b", "oanda", 3.0, "z")]
-    first = keyed_load.keyed_append(spark, path, _batch(spark, rows), ("trade_id", "source"), ("pnl_usd", "exit_ts"))
+    first = keyed_load.keyed_append(spark, path, _batch(spark, rows).coalesce(1), ("trade_id", "source"), surrogate="id")
     assert (first.attempted, first.inserted, first.skipped) == (4, 3, 1)
     table = {(r.trade_id, r.source): r.pnl_usd for r in keyed_load.read_table(spark, path).collect()}
-    assert table == {("a", "oanda"): 0.5, ("a", "kraken"): 2.0, ("b", "oanda"): 3.0}  # same id, two sources: both
-    again = keyed_load.keyed_append(spark, path, _batch(spark, rows), ("trade_id", "source"), ("pnl_usd", "exit_ts"))
+    assert table == {("a", "oanda"): 1.0, ("a", "kraken"): 2.0, ("b", "oanda"): 3.0}  # same id, two sources: both
+    assert sorted(r.id for r in keyed_load.read_table(spark, path).collect()) == [1, 2, 3]
+    again = keyed_load.keyed_append(spark, path, _batch(spark, rows), ("trade_id", "source"), surrogate="id")
     assert (again.attempted, again.inserted, again.skipped, again.rows_before, again.rows_after) == (4, 0, 4, 3, 3)
 
+    more = keyed_load.keyed_append(spark, path, _batch(spark, [("c", "oanda", 1.0, "x"), (None, "oanda", 1.0, "x")]),
+                                   ("trade_id", "source"), surrogate="id")
+    assert (more.load_id, more.inserted, more.skipped, more.rows_after) == (3, 1, 1, 4)
+    assert sorted(r.id for r in keyed_load.read_table(spark, path).collect()) == [1, 2, 3, 4]
+
+
+def test_keyed_load_order_of_columns(spark):
+    path = scratch_path(spark, "keyed_order")
+    rows = [("a", "oanda", 1.0, "x"), ("a", "oanda", 0.5, "y"), ("a", "oanda", 9.0, "w"), ("b", "oanda", 3.0, "z")]
+    keyed_load.keyed_append(spark, path, _batch(spark, rows), ("trade_id", "source"), order_by=("exit_ts",))
+    got = {r.trade_id: r.pnl_usd for r in keyed_load.read_table(spark, path).collect()}
+    assert got == {"a": 9.0, "b": 3.0}
+
+
+def test_typed_trades(spark):
+    row = {"trade_id": "t", "source": "s", "pnl_usd": "0.00001234", "hour_utc": "7.0", "entry_price": "1e3",
+           "exit_price": "12d", "signal_score": None, "entry_ts": "2024-01-01 00:00:00", "exit_ts": "2024-01-01 01:00:00"}
+    df = spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} string" for k in row))
+    got = cleaning.typed_trades(cleaning.validate_trades(df, decimal_pnl=True)).first()
+    assert (got.pnl_usd, got.hour_utc, got.entry_price, got.exit_price) == (Decimal("0.00001234"), 7, 1000, None)
+    assert got.indicators == "{}" and got.balance_at_entry is None and len(got) == 17
+
+
+def test_snapshot_rerun_with_nothing_keeps_the_day(spark):
+    base, day = scratch_path(spark, "exports"), dt.date(2024, 1, 1)
+    df = spark.range(5)
+    path = lake.snapshot(df, base, "t", day)
+    assert lake.snapshot(df.limit(0), base, "t", day) is None
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_lake_append_with_keys(spark):
+    path = scratch_path(spark, "lake_keys")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))],
+                               "id int, ts timestamp")
+    assert lake.append(df, path, "ts", dedup_keys=("id",)) == 1
+    assert lake.append(df, path, "ts", dedup_keys=("id",)) is None
+    assert sorted(r.id for r in lake.scan(spark, path).collect()) == [1, 2]
+    assert lake.version_report(spark, {"none": scratch_path(spark, "nothing")}).count() == 0
+
+
+def test_small_pnl_is_not_cut(spark):
+    d = dt.datetime(2024, 1, 1)
+    rows = [(i, "A", d + dt.timedelta(days=i), d + dt.timedelta(days=i, hours=1), Decimal(x))
+            for i, x in enumerate(("0.00001", "0.00002", "0.00004"))]
+    for kind in ("decimal(20,8)", "double"):
+        t = spark.createDataFrame(rows, "id long, symbol string, entry_ts timestamp, exit_ts timestamp, "
+                                        "pnl_usd decimal(20,8)").withColumn("pnl_usd", F.col("pnl_usd").cast(kind))
+        assert marts.sharpe(t).first()[0] == pytest.approx(24.2487, abs=1e-4)
+        one = t.where("id = 0").withColumn("hour_utc", F.hour("entry_ts"))
+        assert marts.heatmap_view(one).first().avg_pnl_usd == 0.00001
+    run = marts.running_pnl(t.withColumn("pnl_usd", F.col("pnl_usd").cast("decimal(20,8)"))).orderBy("id").collect()
+    assert [r.cumulative_pnl for r in run] == [0.00001, 0.00003, 0.00007]
+
 
 def test_lake_append_twice_and_as_of(spark):
     path = scratch_path(spark, "lake")
@@ -91,9 +147,10 @@ def test_lake_compaction_keeps_retained_versions(spark):
     for day in (1, 2, 3):
         lake.append(spark.createDataFrame([(day, dt.datetime(2024, 1, day))], "id int, ts timestamp"), path, "ts")
     before = {v: sorted(r.id for r in lake.as_of(spark, path, v).collect()) for v in (2, 3)}
-    assert lake.compact(spark, path, retain=2) == 2
-    assert lake.versions(spark, path) == [2, 3]
-    after = {v: sorted(r.id for r in lake.as_of(spark, path, v).collect()) for v in (2, 3)}
+    out = scratch_path(spark, "lake_c_out")
+    assert lake.compact(spark, path, retain=2, out=out) == 2
+    assert lake.versions(spark, out) == [2, 3] and lake.versions(spark, path) == [1, 2, 3]
+    after = {v: sorted(r.id for r in lake.as_of(spark, out, v).collect()) for v in (2, 3)}
     assert before == after == {2: [1, 2], 3: [1, 2, 3]}
 
 
@@ -159,11 +216,17 @@ def test_kpi_edges(spark):
     assert empty.total_trades == 0 and empty.win_rate_pct is None and empty.best_symbol is None
 
 
-def test_row_count_bounds():
-    assert quality.row_bounds(None, 7) == (0, 70)
-    assert quality.row_bounds(0, 0) == (0, 1)
-    lo, hi = quality.row_bounds(100, 0)
-    assert [lo <= n <= hi for n in (49, 50, 150, 151)] == [False, True, True, False]
+def test_row_count_drift():
+    assert not quality.count_drifted(7, None) and not quality.count_drifted(0, 0)
+    assert [quality.count_drifted(n, 100) for n in (49, 50, 150, 151)] == [True, False, False, True]
+
+
+def test_strict_json_lines(spark):
+    good = '{"timestamp": "2024-01-01 00:00:00", "full_log": "x"}'
+    bad = [good + good, good + " xyz", good + ", " + good, good + "], [" + good, "{'full_log': 'x'}", "[1]", "7", '"x"', "{"]
+    blank = ["", " \t ", "\u00a0", "\x1c"]
+    report = alert_json.parse_report(_lines(spark, [good, " \t" + good + "\r", *bad, *blank])).first()
+    assert (report.alerts, report.parse_errors, report.blank_lines) == (2, len(bad), len(blank))
 
 
 def test_severity_labels(spark):
@@ -190,7 +253,13 @@ def test_quality_baseline_saved_even_on_failure(spark):
     alerts = spark.createDataFrame([], "alert_id string, timestamp timestamp, rule_level int")
     with pytest.raises(quality.QualityFailed):
         quality.checkpoint_suites(spark, trades, alerts, path)
-    assert quality.read_baseline(spark, path) == {"stg_trades": 1, "stg_wazuh_alerts": 0}
+    assert quality.read_baseline(spark, path) == ({"stg_trades": 1, "stg_wazuh_alerts": 0}, 1)
+    good = spark.createDataFrame([("t", "BUY", 1.0)], "trade_id string, side string, entry_price double")
+    for run, n in ((2, 7), (3, 1)):       # each run is compared with the one before it
+        rows = good.unionByName(spark.range(n - 1).selectExpr("'u' AS trade_id", "'BUY' AS side", "1.0D AS entry_price"))
+        with pytest.raises(quality.QualityFailed):
+            quality.checkpoint_suites(spark, rows, alerts, path)
+        assert quality.read_baseline(spark, path) == ({"stg_trades": n, "stg_wazuh_alerts": 0}, run)
 
 
 def test_missing_inputs_give_empty_frames(spark):

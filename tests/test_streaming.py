@@ -38,3 +38,20 @@ def test_old_and_repeated_alerts_are_dropped(spark):
     # a replay of the same input (new checkpoint) inserts nothing
     ingest_alerts(spark, src, out, scratch_path(spark, "ckpt2"), lookback_hours=24)
     assert read_table(spark, out).count() == 3
+
+
+def test_alerts_without_a_time_are_kept(spark):
+    from tidemark.streaming.alerts import daily_counts_stream
+
+    src = scratch_path(spark, "sync_null").removeprefix("file:")
+    os.makedirs(src)
+    lines = [_line(dt.datetime(2024, 1, 1, 5), "a"), json.dumps({"rule": {"id": 1, "level": 3}, "full_log": "b"})]
+    with open(os.path.join(src, "x.json"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    out = scratch_path(spark, "out_null")
+    ingest_alerts(spark, src, out, scratch_path(spark, "ckpt_null"))
+    assert sorted(r.full_log for r in read_table(spark, out).collect()) == ["a", "b"]
+    daily = scratch_path(spark, "daily_null")
+    daily_counts_stream(spark, src, daily, scratch_path(spark, "ckpt_daily_null"))
+    got = {r.date: r.alert_count for r in spark.read.parquet(daily).collect()}
+    assert got == {dt.date(2024, 1, 1): 1, None: 1}

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import marts, staging, star
+from tidemark.session import materialize
 from tidemark.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,37 +41,35 @@ def _calendar(spark, d):
 
 
 def _dim_date(spark, d):
-    start, end = _calendar(spark, d)
-    return star.dim_date(spark, start, end), (start, end)
+    return star.dim_date(spark, *_calendar(spark, d))
 
 
-def _star(spark, d, *, trades=True, alerts=True):
-    """Facts on dimensions prepared in one go (calendar bounds and materialized dimensions run concurrently)."""
-    st, sp, sa = _stg_trades(spark, d), _stg_prices(spark, d), _stg_alerts(spark, d)
-    dims = {}
-    if trades:
-        dims.update(dim_symbol=star.dim_symbol(st, sp), dim_source=star.dim_source(st))
-    if alerts:
-        dims["dim_rule"] = star.dim_rule(sa)
-    cal, built = star.prepare_dimensions(
-        spark, ((fx.trades(spark, d), "entry_ts"), (fx.alerts(spark, d), "timestamp")), dims)
-    dates = star.dim_date(spark, *cal)
-    ft = star.fct_trades(st, dates, built["dim_symbol"], built["dim_source"], calendar=cal,
-                         materialize_dims=False) if trades else None
-    fa = star.fct_alerts(sa, dates, built["dim_rule"], calendar=cal, materialize_dims=False) if alerts else None
-    return ft, fa
+def _dims(spark, d, *names):
+    """The named dimensions, written and read back, so the planner sees their size."""
+    recipes = {
+        "date": lambda: _dim_date(spark, d),
+        "symbol": lambda: star.dim_symbol(_stg_trades(spark, d), _stg_prices(spark, d)),
+        "source": lambda: star.dim_source(_stg_trades(spark, d)),
+        "rule": lambda: star.dim_rule(_stg_alerts(spark, d)),
+    }
+    return {n: materialize(recipes[n](), f"dim_{n}") for n in names}
 
 
-def _fct_trades(spark, d):
-    return _star(spark, d, alerts=False)[0]
+def _fct_trades(spark, d, dims=star.TRADE_DIMS):
+    return star.fct_trades(_stg_trades(spark, d), _dims(spark, d, *dims))
 
 
-def _fct_alerts(spark, d):
-    return _star(spark, d, trades=False)[1]
+def _fct_alerts(spark, d, dims=star.ALERT_DIMS):
+    return star.fct_alerts(_stg_alerts(spark, d), _dims(spark, d, *dims))
 
 
-def _facts(spark, d):
-    return _star(spark, d)
+def _cross_domain(spark, d):
+    """M9 reads no dimension attribute; the two facts are written once with the columns it uses, and every branch of the
+    correlation reads those."""
+    trades = _fct_trades(spark, d, ()).select("id", "trade_id", "symbol", "source", "side", "entry_ts", "exit_ts",
+                                              "pnl_usd", "signal_score", "is_win")
+    alerts = _fct_alerts(spark, d, ()).select("alert_id", "alert_ts", "rule_level", "rule_description")
+    return marts.cross_domain(materialize(trades, "fct_trades"), materialize(alerts, "fct_alerts"))
 
 
 # ---- staging, dimensions, facts ------------------------------------------------------------------------------
@@ -78,7 +77,7 @@ def _facts(spark, d):
 register("stg_trades")(_stg_trades)
 register("stg_alerts")(_stg_alerts)
 register("stg_prices")(_stg_prices)
-register("dim_date")(lambda s, d: _dim_date(s, d)[0])
+register("dim_date")(_dim_date)
 register("dim_symbol")(lambda s, d: star.dim_symbol(_stg_trades(s, d), _stg_prices(s, d)))
 register("dim_source")(lambda s, d: star.dim_source(_stg_trades(s, d)))
 register("dim_rule")(lambda s, d: star.dim_rule(_stg_alerts(s, d)))
@@ -97,14 +96,14 @@ register("sharpe")(lambda s, d: marts.sharpe(fx.trades(s, d)))
 register("max_drawdown")(lambda s, d: marts.max_drawdown(fx.trades(s, d)))
 register("best_symbol")(lambda s, d: marts.best_symbol(fx.trades(s, d)))
 register("heatmap_view")(lambda s, d: marts.heatmap_view(fx.trades(s, d)))
-register("heatmap")(lambda s, d: marts.heatmap(_fct_trades(s, d)))
+register("heatmap")(lambda s, d: marts.heatmap(_fct_trades(s, d, ("date",))))
 register("alerts_daily")(lambda s, d: marts.alerts_daily(fx.alerts(s, d)))
 register("alert_top_sources")(lambda s, d: marts.alert_top_sources(fx.alerts(s, d)))
-register("security")(lambda s, d: marts.security(_fct_alerts(s, d)))
-register("top_ip_per_day")(lambda s, d: marts.top_ip_per_day(_fct_alerts(s, d)))
+register("security")(lambda s, d: marts.security(_fct_alerts(s, d, ("rule",))))
+register("top_ip_per_day")(lambda s, d: marts.top_ip_per_day(_fct_alerts(s, d, ("rule",))))
 register("trading_vs_security")(lambda s, d: marts.trading_vs_security(fx.trades(s, d), fx.alerts(s, d)))
 register("interval_join")(lambda s, d: marts.interval_counts(fx.trades(s, d), fx.alerts(s, d)))
-register("cross_domain")(lambda s, d: marts.cross_domain(*_facts(s, d)))
+register("cross_domain")(_cross_domain)
 register("attack_geo")(lambda s, d: marts.attack_geo(fx.ip_geo(s, d), _stg_alerts(s, d)))
 register("trades_rollup")(lambda s, d: marts.trades_rollup(_stg_trades(s, d)))
 register("alerts_rollup")(lambda s, d: marts.alerts_rollup(_stg_alerts(s, d)))
@@ -123,7 +122,8 @@ for _name in (
     "snapshot_roundtrip", "lake_append", "lake_scan_trades", "lake_scan_alerts", "lake_scan_prices", "lake_as_of",
     "lake_versions", "lake_compact", "quality_report", "model_checks", "run_summary", "stream_alert_ingest",
     "stream_alerts_daily", "check_not_null", "check_unique", "check_in_set", "check_between", "check_columns",
-    "check_row_count", "models_run",
+    "check_row_count", "models_run", "empty_source", "union_sources", "quality_three_runs", "stream_parse_errors",
+    "daily_run", "daily_run_security", "daily_run_cross_domain",
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values that the results depend on (they must equal the reference's).
 SIDES = ("BUY", "SELL")
@@ -87,6 +88,20 @@ def round_half_up_ratio(num: Column, den: Column, digits: int, num_scale: int =
     return F.when(den == 0, None).otherwise(whole.cast("double") / F.lit(float(10 ** digits)))
 
 
+EXACT = "decimal(38,18)"
+
+
+def exact_scale(dtype: T.DataType) -> int:
+    """Fraction digits of a money column as `exact` sums it."""
+    return dtype.scale if isinstance(dtype, T.DecimalType) else 0 if isinstance(dtype, T.IntegralType) else 18
+
+
+def exact(c: str | Column, dtype: T.DataType) -> Column:
+    """The column as an exact number: decimals and integers as they are, others as DECIMAL(38,18), so that sums don't
+    depend on the order of additions and no fraction digit of the input is cut."""
+    return col(c) if isinstance(dtype, (T.DecimalType, T.IntegralType)) else col(c).cast(EXACT)
+
+
 def floor_div(a: Column, b: Column) -> Column:
     """Exact floor(a / b) for a >= 0, b > 0 on decimals: the remainder is removed first, so the division is exact."""
     return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")

@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import (
-    HIGH_SEVERITY_LEVEL, TRADING_DAYS_PER_YEAR, day_abbrev, duration_minutes, floor_div, is_win,
+    HIGH_SEVERITY_LEVEL, TRADING_DAYS_PER_YEAR, day_abbrev, duration_minutes, exact, exact_scale, floor_div, is_win,
     round_half_up_ratio, weekday_sunday0,
 )
 from tidemark.operators.interval import correlate
 from tidemark.operators.running import running_aggregate
 
-PNL_SCALE = 4  # fraction digits of pnl_usd
 MICROS_PER_MINUTE = 60_000_000
 
 
@@ -81,17 +80,24 @@ def daily_pnl(trades: DataFrame) -> DataFrame:
 
 def sharpe_from(daily: DataFrame) -> DataFrame:
     """Sharpe ratio over the per-day totals `dpnl`: one row, NULL with fewer than two days or zero spread."""
-    units = (F.col("dpnl") * F.lit(10 ** PNL_SCALE)).cast("decimal(38,0)")
-    agg = daily.agg(F.count(F.lit(1)).alias("n"), F.sum(units).alias("s1"), F.sum(units * units).alias("s2"))
-    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
-    var_num = n.cast("decimal(38,0)") * s2 - s1 * s1
-    var = var_num.cast("double") / (n * (n - 1)).cast("double")
-    std = F.sqrt(var)
-    mean = s1.cast("double") / n.cast("double")
-    ratio = F.when((n > 1) & (var_num != 0), mean / std * F.sqrt(F.lit(float(TRADING_DAYS_PER_YEAR))))
+    agg = daily.agg(F.avg(_dbl("dpnl")).alias("mean"), F.stddev_samp(_dbl("dpnl")).alias("std"),
+                    (F.min("dpnl") < F.max("dpnl")).alias("spread"))
+    ratio = F.when(F.col("spread"), F.col("mean") / F.col("std") * F.sqrt(F.lit(float(TRADING_DAYS_PER_YEAR))))
     return agg.select(F.round(ratio, 4).alias("sharpe_ratio"))
 
 
+def _mean_pnl(df: DataFrame, digits: int) -> F.Column:
+    """Mean of pnl_usd, rounded once from the exact sum at the input's own scale."""
+    kind = df.schema["pnl_usd"].dataType
+    return round_half_up_ratio(F.sum(exact("pnl_usd", kind)), F.count(F.lit(1)), digits, exact_scale(kind))
+
+
+def _drawdown() -> F.Column:
+    """Percent below the running peak; 0 while the peak is not positive."""
+    fall = _dbl(F.col("peak_pnl") - F.col("cumulative_pnl")) / _dbl("peak_pnl") * F.lit(100.0)
+    return F.when(F.col("peak_pnl") > 0, fall).otherwise(F.lit(0.0))
+
+
 def kpi(trades: DataFrame, flavour: str = "model") -> DataFrame:
     """M3: one row of headline figures. `flavour="view"` gives the column names of the hand-written view."""
     run = with_running_pnl(
@@ -99,15 +105,11 @@ def kpi(trades: DataFrame, flavour: str = "model") -> DataFrame:
     )
     n, wins = F.count(F.lit(1)), F.count_if(is_win("pnl_usd"))
     micros = F.timestamp_diff("MICROSECOND", F.col("entry_ts"), F.col("exit_ts"))
-    dd = F.when(
-        F.col("peak_pnl") > 0,
-        _dbl(F.col("peak_pnl") - F.col("cumulative_pnl")) / _dbl("peak_pnl") * F.lit(100.0),
-    ).otherwise(F.lit(0.0))
     base = run.agg(
         n.alias("total_trades"),
         _win_rate(wins, n).alias("win_rate_pct"),
         _dbl(F.sum("pnl_usd")).alias("total_pnl_usd"),
-        F.round(F.max(dd), 4).alias("max_drawdown_pct"),
+        F.round(F.max(_drawdown()), 4).alias("max_drawdown_pct"),
         round_half_up_ratio(F.sum(micros), n * F.lit(MICROS_PER_MINUTE), 2).alias("avg_duration_minutes"),
     )
     daily = trades.groupBy(F.to_date("entry_ts").alias("d")).agg(F.sum("pnl_usd").alias("dpnl"))
@@ -143,7 +145,8 @@ def best_symbol(trades: DataFrame) -> DataFrame:
 
 
 def max_drawdown(trades: DataFrame) -> DataFrame:
-    return kpi(trades).select("max_drawdown_pct")
+    run = with_running_pnl(trades.select("id", "entry_ts", "pnl_usd"), peak=True)
+    return run.agg(F.round(F.max(_drawdown()), 4).alias("max_drawdown_pct"))
 
 
 def sharpe(trades: DataFrame) -> DataFrame:
@@ -158,7 +161,7 @@ def heatmap_view(trades: DataFrame) -> DataFrame:
     return trades.groupBy(
         "hour_utc", weekday_sunday0("entry_ts").alias("day_of_week"), day_abbrev("entry_ts").alias("day_name")
     ).agg(
-        round_half_up_ratio(F.sum("pnl_usd"), n, 6, PNL_SCALE).alias("avg_pnl_usd"),
+        _mean_pnl(trades, 6).alias("avg_pnl_usd"),
         n.alias("trade_count"),
     )
 
@@ -167,7 +170,7 @@ def heatmap(fct_trades: DataFrame) -> DataFrame:
     """M5: hour x weekday (Monday = 0) from the calendar attributes of the fact."""
     n = F.count(F.lit(1))
     return fct_trades.groupBy("hour_utc", "day_of_week", "day_name").agg(
-        round_half_up_ratio(F.sum("pnl_usd"), n, 6, PNL_SCALE).alias("avg_pnl_usd"),
+        _mean_pnl(fct_trades, 6).alias("avg_pnl_usd"),
         n.alias("trade_count"),
     )
 
@@ -194,33 +197,28 @@ def _ip_counts(fct_alerts: DataFrame) -> DataFrame:
     )
 
 
-def _top_ip() -> F.Column:
-    # highest count first, then the smallest address: min over (-count, ip)
-    return F.min_by("src_ip", F.struct((-F.col("ip_count")).alias("neg"), F.col("src_ip")))
+def _busiest(by_ip: DataFrame) -> DataFrame:
+    """The rows of the busiest address per (date, severity): the largest count by hash aggregation, then the smallest
+    address among the few that reach it."""
+    most = by_ip.groupBy(F.col("date").alias("d"), F.col("severity_label").alias("s")).agg(
+        F.max("ip_count").alias("most"), F.sum("ip_count").alias("alert_count"))
+    tied = by_ip.join(most, F.col("date").eqNullSafe(F.col("d")) & F.col("severity_label").eqNullSafe(F.col("s"))
+                      & (F.col("ip_count") == F.col("most")))
+    return tied.groupBy("date", "severity_label", "ip_count", "alert_count").agg(F.min("src_ip").alias("src_ip"))
 
 
 def security(fct_alerts: DataFrame) -> DataFrame:
-    """M7: per (date, severity) the alert count and its busiest source address.
-
-    Both come out of one aggregation over the per-address counts (partial + final, no window sort). A NULL
-    severity keeps its count but gets no address, as the reference's equality join on the label would."""
-    by_ip = _ip_counts(fct_alerts)
-    agg = by_ip.groupBy("date", "severity_label").agg(
-        F.sum("ip_count").alias("alert_count"), _top_ip().alias("top")
-    )
-    return agg.select(
-        "date", "severity_label", "alert_count",
-        F.when(F.col("severity_label").isNotNull(), F.col("top")).alias("top_src_ip"),
-    )
+    """M7: per (date, severity) the alert count and its busiest source address. A NULL severity keeps its count but
+    gets no address, as the reference's equality join on the label would."""
+    top = _busiest(_ip_counts(fct_alerts))
+    return top.select("date", "severity_label", "alert_count",
+                      F.when(F.col("severity_label").isNotNull() & F.col("date").isNotNull(), F.col("src_ip")
+                             ).alias("top_src_ip"))
 
 
 def top_ip_per_day(fct_alerts: DataFrame) -> DataFrame:
     """The rank-1 address per (date, severity) with its count."""
-    by_ip = _ip_counts(fct_alerts)
-    best = F.min_by(F.struct("src_ip", "ip_count"), F.struct((-F.col("ip_count")).alias("neg"), F.col("src_ip")))
-    return by_ip.groupBy("date", "severity_label").agg(best.alias("b")).select(
-        "date", "severity_label", F.col("b.src_ip").alias("src_ip"), F.col("b.ip_count").alias("ip_count")
-    )
+    return _busiest(_ip_counts(fct_alerts)).select("date", "severity_label", "src_ip", "ip_count")
 
 
 def attack_geo(ip_geo: DataFrame, stg_alerts: DataFrame) -> DataFrame:
@@ -252,7 +250,7 @@ def trades_rollup(stg_trades: DataFrame) -> DataFrame:
     return stg_trades.groupBy("symbol", "side", "outcome").agg(
         n.alias("trade_count"),
         _dbl(F.sum("pnl_usd").cast("decimal(12,4)")).alias("total_pnl_usd"),
-        round_half_up_ratio(F.sum("pnl_usd"), n, 4, PNL_SCALE).alias("avg_pnl_usd"),
+        _mean_pnl(stg_trades, 4).alias("avg_pnl_usd"),
         F.min("entry_ts").alias("first_trade_ts"),
         F.max("entry_ts").alias("last_trade_ts"),
     )

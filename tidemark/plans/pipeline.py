@@ -52,10 +52,9 @@ def build_models(
         "dim_source": lambda: star.dim_source(views["stg_trades"]),
         "dim_rule": lambda: star.dim_rule(views["stg_alerts"]),
         # the dimensions are already written tables here: the planner sees their size
-        "fct_trades": lambda: star.fct_trades(views["stg_trades"], t("dim_date"), t("dim_symbol"), t("dim_source"),
-                                              calendar=cal, materialize_dims=False),
-        "fct_alerts": lambda: star.fct_alerts(views["stg_alerts"], t("dim_date"), t("dim_rule"), calendar=cal,
-                                              materialize_dims=False),
+        "fct_trades": lambda: star.fct_trades(
+            views["stg_trades"], {"date": t("dim_date"), "symbol": t("dim_symbol"), "source": t("dim_source")}),
+        "fct_alerts": lambda: star.fct_alerts(views["stg_alerts"], {"date": t("dim_date"), "rule": t("dim_rule")}),
         "mart_daily_pnl": lambda: marts.daily_pnl(t("fct_trades")),
         "mart_kpi": lambda: marts.kpi(t("fct_trades")),
         "mart_heatmap": lambda: marts.heatmap(t("fct_trades")),

@@ -8,6 +8,7 @@ schema. Row-count bounds come from the previous run's count, kept in a small bas
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -32,21 +33,26 @@ class Check:
 
     @property
     def name(self) -> str:
-        return {
-            "not_null": "expect_column_values_to_not_be_null",
-            "unique": "expect_column_values_to_be_unique",
-            "in_set": "expect_column_values_to_be_in_set",
-            "between": "expect_column_values_to_be_between",
-            "row_count": "expect_table_row_count_to_be_between",
-            "columns": "expect_table_columns_to_match_set",
-        }[self.kind]
+        return CHECK_NAMES[self.kind]
 
 
-def row_bounds(previous: int | None, current: int) -> tuple[int, int]:
-    """Accepted row counts: half to one and a half times the previous run; anything on a first run."""
-    if not previous:
-        return 0, max(current * 10, 1)
-    return int(previous * 0.5), int(previous * 1.5)
+# The names under which checks are reported.
+CHECK_NAMES = {
+    "not_null": "expect_column_values_to_not_be_null",
+    "unique": "expect_column_values_to_be_unique",
+    "in_set": "expect_column_values_to_be_in_set",
+    "between": "expect_column_values_to_be_between",
+    "row_count": "expect_table_row_count_to_be_between",
+    "columns": "expect_table_columns_to_match_set",
+}
+
+# A table may shrink to LOW and grow to HIGH times the last run's rows (whole rows, cut off); without a last run, or
+# after an empty one, any count will do.
+LOW, HIGH = 0.5, 1.5
+
+
+def count_drifted(count: int, last: int | None, low: float = LOW, high: float = HIGH) -> bool:
+    return bool(last) and not math.floor(low * last) <= count <= math.floor(high * last)
 
 
 # The columns each suite expects (extra columns are allowed).
@@ -93,11 +99,15 @@ def _failed_expr(c: Check) -> F.Column | None:
     return None
 
 
-def run_suite(
-    df: DataFrame, suite: str, checks: Sequence[Check], previous_count: int | None = None,
-    skip_when_empty: bool = False,
-) -> DataFrame:
+def run_suite(df: DataFrame, suite: str, checks: Sequence[Check], previous_count: int | None = None,
+              skip_when_empty: bool = False) -> DataFrame:
     """One row per check: (suite, check, column, failed_rows, success, skipped)."""
+    return run_suite_counted(df, suite, checks, previous_count, skip_when_empty)[0]
+
+
+def run_suite_counted(df: DataFrame, suite: str, checks: Sequence[Check], previous_count: int | None = None,
+                      skip_when_empty: bool = False) -> tuple[DataFrame, int]:
+    """`run_suite` and the table's row count, from the same pass."""
     spark = df.sparkSession
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(checks):
@@ -107,12 +117,11 @@ def run_suite(
     row = df.agg(*aggs).first()
     n = int(row["__rows"])
     if skip_when_empty and n == 0:
-        return spark.createDataFrame([(suite, None, None, 0, True, True)], RESULT_SCHEMA)
+        return spark.createDataFrame([(suite, None, None, 0, True, True)], RESULT_SCHEMA), n
     out = []
     for i, c in enumerate(checks):
         if c.kind == "row_count":
-            lo, hi = row_bounds(previous_count, n)
-            ok = lo <= n <= hi
+            ok = not count_drifted(n, previous_count)
             out.append((suite, c.name, None, 0 if ok else n, ok, False))
         elif c.kind == "columns":
             missing = sorted(set(c.expected) - set(df.columns))
@@ -120,22 +129,24 @@ def run_suite(
         else:
             failed = int(row[f"__c{i}"] or 0)
             out.append((suite, c.name, c.column, failed, failed == 0, False))
-    return spark.createDataFrame(out, RESULT_SCHEMA)
+    return spark.createDataFrame(out, RESULT_SCHEMA), n
 
 
 # ---- baseline of row counts (Q5, Q8) -------------------------------------------------------------------------
 
-def read_baseline(spark: SparkSession, path: str) -> dict[str, int]:
+def read_baseline(spark: SparkSession, path: str) -> tuple[dict[str, int], int]:
+    """The row counts of each suite's last run, and the number of the last run (0 before the first)."""
     from tidemark.operators.keyed_load import table_exists
     if not table_exists(spark, path):
-        return {}
-    rows = spark.read.parquet(path).groupBy("suite").agg(F.max_by("row_count", "run").alias("n")).collect()
-    return {r["suite"]: int(r["n"]) for r in rows}
+        return {}, 0
+    rows = (spark.read.parquet(path).groupBy("suite")
+            .agg(F.max_by("row_count", "run").alias("n"), F.max("run").alias("run")).collect())     # a row per suite
+    return {r["suite"]: int(r["n"]) for r in rows}, max((int(r["run"]) for r in rows), default=0)
 
 
 def save_baseline(spark: SparkSession, path: str, counts: dict[str, int], run: int) -> None:
     spark.createDataFrame([(k, int(v), run) for k, v in counts.items()], "suite string, row_count long, run long") \
-        .write.mode("append").parquet(path)
+        .coalesce(1).write.mode("append").parquet(path)
 
 
 class QualityFailed(RuntimeError):
@@ -143,18 +154,17 @@ class QualityFailed(RuntimeError):
 
 
 def checkpoint_suites(
-    spark: SparkSession, trades: DataFrame, alerts: DataFrame, baseline_path: str, run: int = 1,
-    raise_on_failure: bool = True,
+    spark: SparkSession, trades: DataFrame, alerts: DataFrame, baseline_path: str, raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Run both suites against the previous counts, save this run's counts (also when a check fails), then
-    raise if any suite failed. An empty alert frame is reported as skipped and successful."""
-    prev = read_baseline(spark, baseline_path)
-    t = run_suite(trades, "stg_trades", TRADES_SUITE, prev.get("stg_trades"))
-    a = run_suite(alerts, "stg_wazuh_alerts", ALERTS_SUITE, prev.get("stg_wazuh_alerts"), skip_when_empty=True)
+    """Run both suites against the previous counts, save this run's counts (also when a check fails) under the next
+    run number, then raise if any suite failed. An empty alert frame is reported as skipped and successful."""
+    prev, last_run = read_baseline(spark, baseline_path)
+    t, n_trades = run_suite_counted(trades, "stg_trades", TRADES_SUITE, prev.get("stg_trades"))
+    a, n_alerts = run_suite_counted(alerts, "stg_wazuh_alerts", ALERTS_SUITE, prev.get("stg_wazuh_alerts"),
+                                    skip_when_empty=True)
     report = t.unionByName(a)
-    counts = {"stg_trades": trades.count(), "stg_wazuh_alerts": alerts.count()}
-    save_baseline(spark, baseline_path, counts, run)
-    if raise_on_failure and report.where(~F.col("success")).limit(1).count() > 0:
+    save_baseline(spark, baseline_path, {"stg_trades": n_trades, "stg_wazuh_alerts": n_alerts}, last_run + 1)
+    if raise_on_failure and not report.where(~F.col("success")).isEmpty():
         raise QualityFailed("quality checks failed")
     return report
 

@@ -20,7 +20,8 @@ from tidemark.sources import fixtures as fx
 from tidemark.streaming import alerts as alert_stream
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TRADE_KEYS, TRADE_ORDER = ("trade_id", "source"), ("pnl_usd", "exit_ts")
+TRADE_KEYS = ("trade_id", "source")
+TRADE_ORDER = ("exit_ts", "pnl_usd")     # a broker lists its trades as they close
 PRICE_START = dt.date(2024, 1, 8)
 
 
@@ -41,7 +42,9 @@ def _broker_rows(trades: DataFrame, source: str) -> DataFrame:
         "regime": F.when(k % 3 == 0, None).otherwise(F.concat(F.lit("r"), (k % 3).cast("string"))),
         "grade": F.when(k % 4 == 0, "NA").otherwise(F.concat(F.lit("g"), (k % 4).cast("string"))),
     }
-    cols = [F.col(c) for c in broker_csv.SHARED_COLS] + [extras[c].alias(c) for c in BROKER_EXTRAS[source]]
+    kinds = dict(trades.dtypes)
+    text = lambda c: F.col(c).cast("string").alias(c) if kinds[c].startswith("decimal") else F.col(c)
+    cols = [text(c) for c in broker_csv.SHARED_COLS] + [extras[c].alias(c) for c in BROKER_EXTRAS[source]]
     return trades.where(F.col("source") == source).select(*cols)
 
 
@@ -63,6 +66,23 @@ def scan_trades_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brokers' files as one frame, by source."""
+    rows = broker_csv.read_brokers(spark, write_broker_files(spark, sf_dir))
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("trades"), F.count_distinct("trade_id").alias("ids"),
+        F.sum(cleaning.number("pnl_usd", "decimal(20,8)")).cast("double").alias("pnl"))
+
+
+def empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three brokers only one has delivered its files; the others, a folder that isn't there and a pattern that
+    matches nothing, give no rows and no failure."""
+    there = write_broker_files(spark, sf_dir)[0]
+    base = scratch_path(spark, "nothing")
+    files = [there, (f"{base}/absent", "kraken", {}), (f"{base}/*.csv", "paper", {})]
+    return broker_csv.read_brokers(spark, files).groupBy("source").agg(F.count(F.lit(1)).alias("trades"))
+
+
 def pack_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_trades_csv(spark, sf_dir).select("trade_id", "source", "indicators")
 
@@ -127,9 +147,8 @@ def _trade_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[keyed_load
     snap = lake.snapshot(validated_trades(spark, sf_dir), scratch_path(spark, "exports"), "trades", dt.date(2024, 2, 1))
     clean = spark.read.parquet(snap)
     path = scratch_path(spark, "raw_trades")
-    # partitioned by broker: a load that carries one broker's file looks up only that broker's keys
     stats = [
-        keyed_load.keyed_append(spark, path, batch, TRADE_KEYS, TRADE_ORDER, prune_col="source")
+        keyed_load.keyed_append(spark, path, batch, TRADE_KEYS, order_by=TRADE_ORDER)
         for batch in (clean.where(F.col("source") == "oanda"), clean, clean)
     ]
     return path, stats
@@ -153,7 +172,7 @@ def load_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = alert_ingest(spark, sf_dir).withColumn("day", alert_json.alert_day())
     path = scratch_path(spark, "raw_alerts")
     for _ in range(2):
-        keyed_load.keyed_append(spark, path, alerts, ("alert_id",), ("timestamp", "raw"), prune_col="day")
+        keyed_load.keyed_append(spark, path, alerts, ("alert_id",), prune_col="day")
     return keyed_load.read_table(spark, path).select(*alert_json.ALERT_COLUMNS)
 
 
@@ -161,7 +180,7 @@ def load_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = fx.benchmark_prices(spark, sf_dir)
     path = scratch_path(spark, "raw_prices")
     for _ in range(2):
-        keyed_load.keyed_append(spark, path, prices, ("date", "symbol"), ("close_price",))
+        keyed_load.keyed_append(spark, path, prices, ("date", "symbol"))
     return keyed_load.read_table(spark, path).select("date", "symbol", "close_price")
 
 
@@ -209,7 +228,7 @@ def _alert_syncs(spark: SparkSession, sf_dir: str, bounds: tuple[int, ...]) -> s
     path = scratch_path(spark, "lake_alerts")
     lo = 0
     for hi in bounds:
-        dom = F.dayofmonth("timestamp")
+        dom = F.coalesce(F.dayofmonth("timestamp"), F.lit(1))      # alerts without a time come with the first sync
         lake.append(alerts.where((dom > lo) & (dom <= hi)), path, "timestamp")
         lo = hi
     return path
@@ -234,11 +253,12 @@ def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three syncs, compaction keeping the two newest versions: every row is still there, and reading as of
-    the oldest retained version gives the rows of the first two syncs."""
+    """Three syncs, and a copy that keeps the two newest versions: every row is still there, and reading as of the
+    oldest retained version gives the rows of the first two syncs."""
     path = _alert_syncs(spark, sf_dir, (10, 20, 31))
-    lake.compact(spark, path, retain=2)
-    return lake.scan(spark, path)
+    out = scratch_path(spark, "lake_alerts_compact")
+    lake.compact(spark, path, retain=2, out=out)
+    return lake.scan(spark, out)
 
 
 # ---- quality (Q1-Q10) ----------------------------------------------------------------------------------------
@@ -250,17 +270,32 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row-count check of three runs (all trades, a tenth, all) against each one's last run: run, row_count,
+    last_count, success. A failing run raises after its count is saved, so the next is compared with it."""
+    trades, alerts = fx.trades(spark, sf_dir), spark.createDataFrame([], alert_json.ALERT_SCHEMA)
+    path, out = scratch_path(spark, "quality_baseline"), []
+    for run, rows in enumerate((trades, trades.where("id % 10 = 0"), trades), start=1):
+        last = quality.read_baseline(spark, path)[0].get("stg_trades")
+        try:
+            quality.checkpoint_suites(spark, rows, alerts, path)
+            ok = True
+        except quality.QualityFailed:
+            ok = False
+        counts, number = quality.read_baseline(spark, path)
+        assert number == run
+        out.append((run, counts["stg_trades"], last, ok))
+    return spark.createDataFrame(out, "run int, row_count long, last_count long, success boolean")
+
+
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark import catalog
-    fct_t, fct_a = catalog._facts(spark, sf_dir)
-    dates, _ = catalog._dim_date(spark, sf_dir)
-    frames = [
-        quality.run_suite(df, name, quality.MODEL_CHECKS[name])
-        for name, df in (("fct_trades", fct_t), ("fct_alerts", fct_a), ("dim_date", dates))
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    facts = {"fct_trades": catalog._fct_trades(spark, sf_dir, ()), "fct_alerts": catalog._fct_alerts(spark, sf_dir, ()),
+             "dim_date": catalog._dim_date(spark, sf_dir)}
+    out = None
+    for name, df in facts.items():
+        part = quality.run_suite(df, name, quality.MODEL_CHECKS[name])
+        out = part if out is None else out.unionByName(part)
     return out.drop("skipped")
 
 
@@ -291,29 +326,27 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams (ST1, ST2) --------------------------------------------------------------------------------------
 
 def _stream_input(spark: SparkSession, sf_dir: str) -> str:
-    """Two syncs of alert text as two files, written in time order."""
+    """Two syncs of alert text, one after the other, as the files of one folder."""
     lines = fx.alert_lines(spark, sf_dir)
     ev = fx.table(spark, sf_dir, "events").select("event_id", F.dayofmonth("ts").alias("dom"))
     tagged = lines.join(ev, "event_id")
-    base = scratch_path(spark, "alert_sync")
-    for i, cond in enumerate((F.col("dom") <= 15, F.col("dom") > 15)):
-        tagged.where(cond).select("line").coalesce(1).write.mode("overwrite").text(f"{base}/_tmp{i}")
-    jvm = spark.sparkContext._jvm
-    fs, _ = keyed_load._fs_path(spark, base)
-    target = jvm.org.apache.hadoop.fs.Path(f"{base}/in")
-    fs.mkdirs(target)
-    for i in range(2):
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/_tmp{i}")):
-            name = st.getPath().getName()
-            if name.startswith("part-"):
-                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"sync{i}-{name}"))
-    return f"{base}/in"
+    path = scratch_path(spark, "alert_sync")
+    for cond in (F.col("dom") <= 15, F.col("dom") > 15):
+        tagged.where(cond).select("line").write.mode("append").text(path)
+    return path
+
+
+def stream_parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _stream_input(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
+    alert_stream.parse_counts_stream(spark, src, out, ckpt)
+    return spark.read.parquet(out)
 
 
 def stream_alert_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_input(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream_alerts"), scratch_path(spark, "stream_alerts_ckpt")
-    alert_stream.ingest_alerts(spark, src, out, ckpt, max_files_per_trigger=1)
+    alert_stream.ingest_alerts(spark, src, out, ckpt, max_files_per_trigger=8)
     return keyed_load.read_table(spark, out).select(*alert_json.ALERT_COLUMNS)
 
 
@@ -364,9 +397,9 @@ def check_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = [c for c in quality.TRADES_SUITE if c.kind == "row_count"]
     out = []
     for run, df in enumerate((fx.trades(spark, sf_dir), validated_trades(spark, sf_dir)), start=1):
-        previous = quality.read_baseline(spark, path).get("stg_trades")
-        n = df.count()
-        out.append(quality.run_suite(df, "stg_trades", check, previous).withColumn("run", F.lit(run)))
+        previous = quality.read_baseline(spark, path)[0].get("stg_trades")
+        report, n = quality.run_suite_counted(df, "stg_trades", check, previous)
+        out.append(report.withColumn("run", F.lit(run)))
         quality.save_baseline(spark, path, {"stg_trades": n}, run)
     return out[0].unionByName(out[1]).drop("skipped")
 
@@ -380,3 +413,30 @@ def models_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.ip_geo(spark, sf_dir), scratch_path(spark, "warehouse"),
     )
     return pipeline.model_rows(spark, paths)
+
+
+# ---- the daily run -------------------------------------------------------------------------------------------------
+
+def _daily(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Two daily runs over the same inputs (the second loads nothing new): model -> path of the second's tables."""
+    from tidemark.plans import daily
+
+    inputs = daily.Inputs(write_broker_files(spark, sf_dir), write_alert_lines(spark, sf_dir),
+                          fx.benchmark_prices(spark, sf_dir), fx.ip_geo(spark, sf_dir))
+    base = scratch_path(spark, "daily")
+    paths = {}
+    for day in (dt.date(2024, 2, 1), dt.date(2024, 2, 2)):
+        paths = daily.run(spark, inputs, base, run_date=day, now=None, raise_on_failure=False).models
+    return paths
+
+
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_daily(spark, sf_dir)["mart_daily_pnl"])
+
+
+def daily_run_security(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_daily(spark, sf_dir)["mart_security"])
+
+
+def daily_run_cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_daily(spark, sf_dir)["mart_cross_domain"])

@@ -2,14 +2,13 @@
 
 Dimensions are small but their size depends on the data, so they are materialized (written to the shared folder
 and read back) before a fact is joined to them: the planner then sees their real size and broadcasts them only
-under `spark.sql.autoBroadcastJoinThreshold`, falling back to a sort-merge join above it. The calendar is the
-exception: its row count is known on the driver from its bounds, so it is broadcast when that count is small.
+under `spark.sql.autoBroadcastJoinThreshold`, falling back to a sort-merge join above it. The calendar is written and
+read back like the others.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.expressions import (
     asset_class, day_abbrev, severity_label, source_display_name, weekday_monday0,
 )
-from tidemark.session import materialize
-
-CALENDAR_BROADCAST_MAX_DAYS = 200_000
 
 
 def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -53,10 +49,6 @@ def calendar_years(*ts_cols: tuple[DataFrame, str]) -> tuple[dt.date, dt.date]:
     return dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31)
 
 
-def calendar_join_side(dates: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    return F.broadcast(dates) if (end - start).days + 1 <= CALENDAR_BROADCAST_MAX_DAYS else dates
-
-
 def dim_symbol(stg_trades: DataFrame, stg_prices: DataFrame) -> DataFrame:
     syms = (
         stg_trades.where(F.col("symbol").isNotNull()).select("symbol")
@@ -72,78 +64,46 @@ def dim_source(stg_trades: DataFrame) -> DataFrame:
 
 
 def dim_rule(stg_alerts: DataFrame) -> DataFrame:
-    """One row per rule_id: the attributes of its earliest alert (alert_ts, then id). An aggregation with
-    map-side combine, so a rule that fires a third of all alerts is still reduced in every task."""
-    first = F.min_by(
-        F.struct("rule_level", "rule_description"), F.struct(F.col("alert_ts"), F.col("id"))
-    )
-    return (
-        stg_alerts.where(F.col("rule_id").isNotNull())
-        .groupBy("rule_id")
-        .agg(first.alias("r"))
-        .select(
-            "rule_id", F.col("r.rule_level").alias("rule_level"), F.col("r.rule_description").alias("rule_description"),
-            severity_label(F.col("r.rule_level")).alias("severity_label"),
-        )
-    )
-
-
-def fct_trades(
-    stg_trades: DataFrame,
-    dates: DataFrame,
-    symbols: DataFrame,
-    sources: DataFrame,
-    *,
-    calendar: tuple[dt.date, dt.date] | None = None,
-    materialize_dims: bool = True,
-) -> DataFrame:
-    if materialize_dims:
-        symbols, sources = materialize(symbols, "dim_symbol"), materialize(sources, "dim_source")
-    if calendar is not None:
-        dates = calendar_join_side(dates, *calendar)
-    d = dates.select("date_day", "day_of_week", "day_name", "month", "quarter", "is_weekend")
-    t = stg_trades.withColumn("__d", F.to_date("entry_ts"))
-    out = (
-        t.join(d, t["__d"] == d["date_day"], "left")
-        .join(symbols.select("symbol", "asset_class"), "symbol", "left")
-        .join(sources.select("source", F.col("display_name").alias("source_display_name")), "source", "left")
-    )
-    cols = [c for c in stg_trades.columns] + [
-        "day_of_week", "day_name", "month", "quarter", "is_weekend", "asset_class", "source_display_name",
-    ]
-    return out.select(*cols)
-
-
-def fct_alerts(
-    stg_alerts: DataFrame,
-    dates: DataFrame,
-    rules: DataFrame,
-    *,
-    calendar: tuple[dt.date, dt.date] | None = None,
-    materialize_dims: bool = True,
-) -> DataFrame:
-    if materialize_dims:
-        rules = materialize(rules, "dim_rule")
-    if calendar is not None:
-        dates = calendar_join_side(dates, *calendar)
-    d = dates.select("date_day", "day_of_week", "day_name", "month", "quarter")
-    a = stg_alerts.withColumn("__d", F.to_date("alert_ts"))
-    out = a.join(d, a["__d"] == d["date_day"], "left").join(
-        rules.select("rule_id", "severity_label"), "rule_id", "left"
-    )
-    cols = [c for c in ("id", "alert_id", "alert_ts", "rule_id", "rule_level", "rule_description", "agent_name",
-                        "src_ip", "loaded_at") if c in stg_alerts.columns]
-    return out.select(*cols, "day_of_week", "day_name", "month", "quarter", "severity_label")
-
-
-def prepare_dimensions(
-    spark: SparkSession,
-    calendar_from: tuple[tuple[DataFrame, str], ...],
-    dims: dict[str, DataFrame],
-) -> tuple[tuple[dt.date, dt.date], dict[str, DataFrame]]:
-    """The calendar bounds and the materialized dimensions, as concurrent Spark jobs (they are independent; each
-    is small, so running them side by side saves their fixed cost, not cluster work)."""
-    with ThreadPoolExecutor(max_workers=len(dims) + 1) as pool:
-        cal = pool.submit(calendar_years, *calendar_from)
-        written = {name: pool.submit(materialize, df, name) for name, df in dims.items()}
-        return cal.result(), {name: f.result() for name, f in written.items()}
+    """One row per rule_id: the attributes of its earliest alert (alert_ts, then id; alerts without a time last). The
+    earliest time and then the smallest id are found by hash aggregations of numbers with map-side combine, so a rule
+    that fires a third of all alerts is reduced in every task; only the picked rows are joined back."""
+    alerts = stg_alerts.where(F.col("rule_id").isNotNull()).select("rule_id", "alert_ts", "id", "rule_level",
+                                                                   "rule_description")
+    times = alerts.groupBy(F.col("rule_id").alias("r")).agg(F.min("alert_ts").alias("first_ts"))
+    first = alerts.join(times, (F.col("rule_id") == F.col("r")) & F.col("alert_ts").eqNullSafe(F.col("first_ts")))
+    ids = first.groupBy(F.col("rule_id").alias("k")).agg(F.min("id").alias("first_id"))
+    picked = first.drop("r", "first_ts").join(ids, (F.col("rule_id") == F.col("k")) & (F.col("id") == F.col("first_id")))
+    return picked.select("rule_id", "rule_level", "rule_description", severity_label("rule_level").alias("severity_label"))
+
+
+TRADE_DIMS, ALERT_DIMS = ("date", "symbol", "source"), ("date", "rule")
+
+
+def fct_trades(stg_trades: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Trades with the attributes of the given (written) dimensions: `date`, `symbol`, `source`."""
+    out, more = stg_trades, []
+    if "date" in dims:
+        d = dims["date"].select("date_day", "day_of_week", "day_name", "month", "quarter", "is_weekend")
+        out = out.join(d, F.to_date("entry_ts") == F.col("date_day"), "left")
+        more += ["day_of_week", "day_name", "month", "quarter", "is_weekend"]
+    if "symbol" in dims:
+        out = out.join(dims["symbol"].select("symbol", "asset_class"), "symbol", "left")
+        more += ["asset_class"]
+    if "source" in dims:
+        out = out.join(dims["source"].select("source", F.col("display_name").alias("source_display_name")), "source", "left")
+        more += ["source_display_name"]
+    return out.select(*stg_trades.columns, *more)
+
+
+def fct_alerts(stg_alerts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Alerts with the attributes of the given (written) dimensions: `date`, `rule`."""
+    cols = ["id", "alert_id", "alert_ts", "rule_id", "rule_level", "rule_description", "agent_name", "src_ip", "loaded_at"]
+    out, more = stg_alerts, []
+    if "date" in dims:
+        d = dims["date"].select("date_day", "day_of_week", "day_name", "month", "quarter")
+        out = out.join(d, F.to_date("alert_ts") == F.col("date_day"), "left")
+        more += ["day_of_week", "day_name", "month", "quarter"]
+    if "rule" in dims:
+        out = out.join(dims["rule"].select("rule_id", "severity_label"), "rule_id", "left")
+        more += ["severity_label"]
+    return out.select(*cols, *more)
