@@ -417,21 +417,22 @@ def models_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- the daily run -------------------------------------------------------------------------------------------------
 
-def _daily(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Two daily runs over the same inputs (the second loads nothing new): model -> path of the second's tables."""
+def _daily(spark: SparkSession, sf_dir: str, days: int = 1) -> dict[str, str]:
+    """Daily runs over the same inputs (a second one loads nothing new): model -> path of the last run's tables."""
     from tidemark.plans import daily
 
     inputs = daily.Inputs(write_broker_files(spark, sf_dir), write_alert_lines(spark, sf_dir),
                           fx.benchmark_prices(spark, sf_dir), fx.ip_geo(spark, sf_dir))
     base = scratch_path(spark, "daily")
     paths = {}
-    for day in (dt.date(2024, 2, 1), dt.date(2024, 2, 2)):
-        paths = daily.run(spark, inputs, base, run_date=day, now=None, raise_on_failure=False).models
+    for day in range(days):
+        run_date = dt.date(2024, 2, 1) + dt.timedelta(days=day)
+        paths = daily.run(spark, inputs, base, run_date=run_date, raise_on_failure=False).models
     return paths
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_daily(spark, sf_dir)["mart_daily_pnl"])
+    return spark.read.parquet(_daily(spark, sf_dir, days=2)["mart_daily_pnl"])
 
 
 def daily_run_security(spark: SparkSession, sf_dir: str) -> DataFrame:

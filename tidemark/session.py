@@ -33,7 +33,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC (every timestamp rule of the marts is a UTC rule) and make sure a
     checkpoint directory exists. The cluster's `spark.checkpoint.dir` is used when set."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_root(spark)
     return spark
 
