@@ -13,10 +13,12 @@ table's row count needs a listing or a scan.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -56,6 +58,19 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(column + "="))
 
 
+def counter() -> Observation:
+    return Observation(f"rows_{uuid.uuid4().hex}")
+
+
+def counted(rows: Observation) -> int:
+    """The rows counted while they were written. A plan that turns out to be empty is optimised away together with
+    its counter, which then has no row to return."""
+    try:
+        return int(rows.get.get("n", 0) or 0)
+    except Py4JJavaError:
+        return 0
+
+
 def last_load(spark: SparkSession, path: str) -> LoadStats | None:
     """The newest entry of the load table (one row per load)."""
     fs, p = _fs_path(spark, f"{path}__loads")
@@ -115,28 +130,29 @@ def keyed_append(
     previous = last_load(spark, path)
     load_id = previous.load_id + 1 if previous else 1
     before = previous.rows_after if previous else 0
-    staged = materialize(batch.withColumn(POSITION, F.monotonically_increasing_id()), "batch")
+    seen, new = counter(), counter()
+    staged = materialize(batch.observe(seen, F.count(F.lit(1)).alias("n"))
+                         .withColumn(POSITION, F.monotonically_increasing_id()), "batch")
     firsts = first_per_key(staged, keys, order_by)
     if previous and previous.rows_after:
         # The table grows every day, the batch does not: find the batch's keys in the table with a semi-join
         # whose small side is the batch (broadcast when its size allows, so the table is streamed, not
         # shuffled), then drop those hits from the batch.
         look = list(dict.fromkeys(([prune_col] if prune_col else []) + list(keys)))
-        hits = spark.read.parquet(path).select(*look).join(staged.select(*look), look, "left_semi")
+        stored = spark.read.schema(staged.select(*look).schema).parquet(path)      # the columns of the lookup alone
+        hits = stored.join(staged.select(*look), look, "left_semi")
         firsts = firsts.join(hits, look, "left_anti")
     firsts = firsts.drop(POSITION)
     if surrogate:
         firsts = _numbered(firsts, before, surrogate)
-    rows = firsts.withColumns({
+    rows = firsts.observe(new, F.count(F.lit(1)).alias("n")).withColumns({
         "loaded_at": F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"),
         LOAD_ID: F.lit(load_id),
     })
     # Rebalanced on the partition column: a day's rows come together in few files, a large day is split.
     rows = rows.hint("rebalance", *([prune_col] if prune_col else []))
     rows.write.mode("append").partitionBy(*([prune_col] if prune_col else []), LOAD_ID).parquet(path)
-    # both counts come from the footers of the files just written
-    attempted = staged.count()
-    inserted = spark.read.schema(rows.schema).parquet(path).where(F.col(LOAD_ID) == load_id).count()
+    attempted, inserted = counted(seen), counted(new)
     stats = LoadStats(load_id, attempted, inserted, attempted - inserted, before, before + inserted)
     stats_frame(spark, [stats]).coalesce(1).write.mode("append").parquet(f"{path}__loads")
     return stats

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed_load import POSITION, first_per_key, partition_values, table_exists
+from tidemark.operators.keyed_load import POSITION, counted, counter, first_per_key, partition_values, table_exists
 from tidemark.session import materialize
 
 BATCH, DAY = "batch_id", "day"
@@ -88,11 +88,12 @@ def snapshot(df: DataFrame, base: str, prefix: str, run_date: dt.date | None = N
     """Daily snapshot `<base>/raw/<prefix>/run_date=<date>`; a rerun on the same day replaces it. An empty frame is
     not written and leaves an earlier snapshot of the day as it is."""
     run_date = run_date or dt.date.today()
-    out = f"{base.rstrip('/')}/raw/{prefix}/run_date={run_date.isoformat()}"
-    if df.isEmpty():
-        return None
-    df.write.mode("overwrite").parquet(out)
-    return out
+    table = f"{base.rstrip('/')}/raw/{prefix}"
+    seen = counter()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("run_date", F.lit(run_date))
+    # dynamic: only the days that the rows hold are replaced, so none of them if there are no rows
+    (rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("run_date").parquet(table))
+    return f"{table}/run_date={run_date.isoformat()}" if counted(seen) else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
