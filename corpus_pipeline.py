@@ -18,16 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, language_id, mixing, ngram_join, token_files
 from tidemark.llm.queries import END_ID, MAX_REPETITION, table
+from tidemark.llm.workers import reachable
 from tidemark.session import materialize
 
-LANGUAGE_SCORE = 0.5
+LANGUAGE_SCORE = 0.25    # lower than any text of a learned language gets; clean short texts come down to 0.33
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return language_id.keep(docs, language_id.fit(docs), LANGUAGE_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -40,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return token_files.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, quality_grades, quality_rules, secret_scan,
                           token_counts, token_files, toxicity)
+from tidemark.llm.workers import reachable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
