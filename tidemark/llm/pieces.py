@@ -23,8 +23,8 @@ import pyarrow.compute as pc
 
 from tidemark.llm.arrow_words import NON_SPACE, buffers
 
-SLICE = 6 << 20          # bytes of text encoded together
-KNOWN = 800_000          # distinct pieces that a Python worker remembers before it starts anew
+SLICE = 2 << 20          # bytes of text encoded together
+KNOWN = 300_000          # distinct pieces that a Python worker remembers before it starts anew
 BATCH = 1 << 18          # bytes of pieces given to the library at once (an encoding takes some hundred times that)
 
 
