@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes each result as Parquet in the shared
 folder and reads it back as the next stage's documents. All stages but the last return the columns of documents.
 
-1. language_id: documents without a determined language (no letter, or a score under LANGUAGE_SCORE) go.
+1. language_id: documents without a letter, or in none of the languages learned from the labelled rows (other languages,
+   encoded data, letter noise: more than ODDEST units from the learned texts), go.
 2. near_duplicates: of each group of documents linked by 4-word shingles at a similarity of 0.85 the one with the
    smallest id stays. (The n-gram join's own contract; five words and 0.8 hold where no contract says otherwise.)
 3. decontaminate: documents with a word inside a ten-word benchmark window go.
@@ -21,12 +22,12 @@ from tidemark.llm.queries import END_ID, MAX_REPETITION, table
 from tidemark.llm.workers import reachable
 from tidemark.session import materialize
 
-LANGUAGE_SCORE = 0.25    # lower than any text of a learned language gets; clean short texts come down to 0.33
+ODDEST = 8.0             # language_id's units; see the README for labelled rows and noise on either side
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reachable(spark)
-    return language_id.keep(docs, language_id.fit(docs), LANGUAGE_SCORE)
+    return language_id.keep(docs, language_id.fit(docs), least=0.0, oddest=ODDEST)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

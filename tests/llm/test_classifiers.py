@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tidemark.llm import language_id, quality_grades, toxicity
 from tidemark.llm.queries import QUERIES
@@ -60,6 +61,25 @@ def test_language_three_in_a_family(make_docs):
     assert np.mean([r.lang_pred == want[r.doc_id] for r in got]) > 0.97
 
 
+NOISE = ["kissa on talossa lasten kanssa ja he juovat maitoa koska on kylmä päivä",
+         "wszystkie dzieci bawią się w ogrodzie, ponieważ dzisiaj jest ładna pogoda",
+         "все дети играют в саду, потому что сегодня хорошая погода", "今天天气很好,孩子们都在花园里玩",
+         "T2ZnZXIgd2FsayB0aGUgZG9nIHRvIHRoZSBwYXJrLCBoZSBpcyBoYXBweSB0aGVyZSBhbmQgcGxheXM=",
+         "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08",
+         "qzxv kjwq pvbx wqjz xkcd vvzq jjxw zpqk bqxj wvkz", "x" * 400]
+
+
+def test_pipeline_keeps_learned_languages_only(spark, make_docs):
+    learned = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    noise = make_docs([(-1 - i, t) for i, t in enumerate(NOISE)])
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, learned.union(noise), SF).collect()}
+    assert not any(i < 0 for i in kept)
+    rows = learned.select("doc_id", "text").collect()
+    assert len(kept) >= 0.999 * len(rows)
+    short = [r.doc_id for r in rows if len(r.text or "") < 40 and any(c.isalpha() for c in r.text or "")]
+    assert len(short) > 5 and kept.issuperset(short)
+
+
 def test_toxicity_held_out(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = QUERIES["op8_toxicity"](spark, SF).collect()

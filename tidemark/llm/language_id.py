@@ -6,10 +6,18 @@ words, hashed, as shares of the text. The family level is a set of one-versus-re
 more); a language without relatives among the learned ones is its own family. `score` is the product of the
 probabilities (logistic of the margins) along the chosen path.
 
+`score` compares the learned languages with each other only, so it says nothing of texts in none of them; `oddity`
+does. Of each trigram of a text it takes the log of its probability in the learned texts (the languages weigh the same)
+against one that is equal for all trigrams; the mean over the text, pulled to the usual mean of its language by PULL
+trigrams so that a short text is not condemned for little, is compared with the means of the learned texts, each without
+its own part in the probabilities: the distance under the median of the language, in units of the 95 % quantile of that
+distance among all learned texts. Texts in unlearned languages, encoded data and letter noise are many units away.
+
 Learning: rows with a language and a letter whose crc32(doc_id) mod 5 is not 0, about `sample` rows of each language at
 most, drawn by hash.
 
-Odd cases: a text that is null or has no letter gets `und` and score 0; with no labelled rows every text does; with
+Odd cases: next to learned texts that are all alike any other text is odd; a text that is null or has no letter gets
+`und` and score 0; with no labelled rows every text does; with
 one language learned it is predicted with score 1; rows whose language is null are not learned from; repeated rows
 count as often as they occur.
 """
@@ -34,6 +42,9 @@ SAMPLE = 800             # labelled rows learned from, per language at most (by
 SPLIT = 5                # rows whose crc32 mod SPLIT is 0 are held out
 PART = 1 << 20           # bytes of a long text counted at once
 UNDETERMINED = "und"
+UNSEEN = 0.01            # of a text's trigrams, expected to be any at all
+PULL = 8                 # trigrams
+LEAST_SPREAD = 0.1       # the unit, at least: a few learned texts may be all alike
 LETTER = re.compile(r"[^\W\d_]")
 
 # fixed values: families of closely related languages (ISO 639-1)
@@ -72,15 +83,45 @@ _PLAIN[~NON_SPACE] = 0x20
 _PLAIN[[c for c in range(0x80) if not chr(c).isalpha()]] = 0x20
 
 
-def profile(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(features, square roots of their shares) of a whole text."""
+def profile(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(features, square roots of their shares, number of trigrams) of a whole text."""
     counts = np.zeros(1 << BITS, np.int64)
     for at in range(0, len(raw), PART):
         counts += np.bincount(trigrams(raw[max(0, at - 2): at + PART])[min(at, 2):], minlength=1 << BITS)
     counts[0] = 0
     index = np.flatnonzero(counts)
     count = counts[index]
-    return index, np.sqrt(count / max(count.sum(), 1))
+    return index, np.sqrt(count / max(count.sum(), 1)), int(count.sum())
+
+
+def _evidence(p: np.ndarray) -> np.ndarray:
+    return np.log((1 - UNSEEN) * np.maximum(p, 0) * (1 << BITS) + UNSEEN)
+
+
+@dataclass
+class Familiar:
+    """What the learned texts are made of, and how far from that a text is as a rule."""
+    evidence: np.ndarray                 # of each feature
+    level: np.ndarray                    # of each language: median of its texts' means
+    spread: float                        # 95 % quantile of the distances down from there
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], n: np.ndarray, y: np.ndarray, languages: int) -> Familiar:
+        p = np.zeros(1 << BITS)
+        part = 1 / (languages * np.bincount(y, minlength=languages))        # of each row, by its language
+        for (index, value), k in zip(rows, y):
+            p[index] += part[k] * np.square(value, dtype=np.float64)
+        mean = np.zeros(len(rows))
+        for j, ((index, value), k) in enumerate(zip(rows, y)):
+            share = np.square(value, dtype=np.float64)
+            mean[j] = share @ _evidence(p[index] - part[k] * share)
+        level = np.array([np.median(mean[y == k]) for k in range(languages)])
+        down = cls(_evidence(p), level, 1.0).oddity(mean, n, y)
+        return cls(_evidence(p), level, max(float(np.quantile(down, 0.95)), LEAST_SPREAD))
+
+    def oddity(self, mean: np.ndarray, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Of texts of the given mean evidence, numbers of trigrams and languages."""
+        return n / (n + PULL) * (self.level[lang] - mean) / self.spread
 
 
 @dataclass
@@ -91,6 +132,7 @@ class Model:
     bias: np.ndarray
     pairs: list[tuple[int, int]]         # of each machine after the family machines: the languages it separates
     scale: np.ndarray                    # of the logistic of each machine's margin
+    familiar: Familiar
 
     def predict(self, shares_dot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language index, score) of rows of machine sums."""
@@ -137,14 +179,15 @@ def _machine(x: Rows, y: np.ndarray, size: int, steps: int = 80) -> tuple[np.nda
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
-            index, value = [], []
+            index, value, size = [], [], []
             for text in part.column("text"):
-                i, v = profile(np.frombuffer(text.as_py().encode(), np.uint8))
+                i, v, n = profile(np.frombuffer(text.as_py().encode(), np.uint8))
                 index.append(i.astype(np.int32))
                 value.append(v.astype(np.float32))
+                size.append(n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))],
-                names=["lang", "index", "value"])
+                [part.column("lang"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32())),
+                 pa.array(size, pa.int64())], names=["lang", "index", "value", "n"])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -158,13 +201,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id").cast("string")), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1, sample / n) * (1 << 30)))])
     drawn = rows.where(draw < F.try_element_at(share, F.col("lang")))
-    got = drawn.select("text", "lang").mapInArrow(_features, "lang string, index array<int>, value array<float>")
+    got = drawn.select("text", "lang").mapInArrow(_features, "lang string, index array<int>, value array<float>, n long")
     table = got.toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     if not langs:
         return None
     y = np.array([langs.index(x) for x in table.column("lang").to_pylist()])
     rows_ = [(i.values.to_numpy(), v.values.to_numpy()) for i, v in zip(table.column("index"), table.column("value"))]
+    familiar = Familiar.of(rows_, table.column("n").to_numpy(), y, len(langs))
     groups: dict[str, list[int]] = {}
     for k, lang in enumerate(langs):
         groups.setdefault(FAMILY_OF.get(lang, lang), []).append(k)
@@ -179,28 +223,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         own = np.flatnonzero((y == a) | (y == b))
         machines.append(_machine(Rows([rows_[i] for i in own]), np.where(y[own] == a, 1.0, -1.0), size))
     if not machines:
-        return Model(langs, families, np.zeros((size, 0)), np.zeros(0), pairs, np.zeros(0))
+        return Model(langs, families, np.zeros((size, 0)), np.zeros(0), pairs, np.zeros(0), familiar)
     w, b, s = zip(*machines)
-    return Model(langs, families, np.stack(w, axis=1), np.array(b), pairs, np.array(s))
+    return Model(langs, families, np.stack(w, axis=1), np.array(b), pairs, np.array(s), familiar)
 
 
-def score_batch(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndarray]:
-    """(language, score) of every text of a column, read whole."""
+def score_batch(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, oddity) of every text of a column, read whole."""
     data, offsets = buffers(column)
     n = len(column)
     if model is None:
-        return [UNDETERMINED] * n, np.zeros(n)
+        return [UNDETERMINED] * n, np.zeros(n), np.zeros(n)
     sums = np.zeros((n, model.weights.shape[1]))
+    mean, size = np.zeros(n), np.zeros(n)
     for i in range(n):
-        index, value = profile(data[offsets[i]: offsets[i + 1]])
+        index, value, size[i] = profile(data[offsets[i]: offsets[i + 1]])
         sums[i] = value @ model.weights[index]
+        mean[i] = np.square(value) @ model.familiar.evidence[index]
     lang, score = model.predict(sums)
+    odd = model.familiar.oddity(mean, size, lang)
     letters = _letters(data, offsets)
     unclear = np.flatnonzero(letters < 0)         # no ASCII letter, but bytes over 127: ask each text
     texts = column.take(pa.array(unclear)).to_pylist()
     letters[unclear] = [bool(LETTER.search(t or "")) for t in texts]
     names = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(lang, letters)]
-    return names, np.where(letters > 0, score, 0.0)
+    return names, np.where(letters > 0, score, 0.0), odd
 
 
 _ASCII_LETTER = np.zeros(256, np.int64)
@@ -225,7 +272,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                lang, score = score_batch(shared.value, part.column("text"))
+                lang, score, _ = score_batch(shared.value, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                     names=["doc_id", "held_out", "lang_pred", "score"])
@@ -236,15 +283,17 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
-def keep(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents, all columns kept, whose language is determined with a score of `least` or more."""
+def keep(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str = "text",
+         oddest: float = np.inf) -> DataFrame:
+    """The documents, all columns kept, whose language is determined with a score of `least` or more and which are at
+    most `oddest` units away from the learned texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_col):
-                lang, score = score_batch(shared.value, part.column(text_col))
-                stays = [k != UNDETERMINED and s >= least for k, s in zip(lang, score)]
+                lang, score, odd = score_batch(shared.value, part.column(text_col))
+                stays = [k != UNDETERMINED and s >= least and o <= oddest for k, s, o in zip(lang, score, odd)]
                 yield part.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
