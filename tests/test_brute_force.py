@@ -39,8 +39,8 @@ def test_running_sum_and_peak_equal_single_window(spark):
 
 
 def test_running_sum_over_many_ranges(spark):
-    t = spark.range(0, 6000, 1, 40).select("id", (F.col("id") % 7).cast("decimal(20,8)").alias("x"))
-    got = running_aggregate(t, ["id"], {"c": "x"}, {"p": "c"}, partitions=2100)
+    t = spark.range(0, 6000, 1, 8).select("id", (F.col("id") % 7).cast("decimal(20,8)").alias("x"))
+    got = running_aggregate(t, ["id"], {"c": "x"}, {"p": "c"}, partitions=600)
     last = got.agg(F.max("c"), F.max("p"), F.count("*")).first()
     assert (last[0], last[1], last[2]) == (sum(i % 7 for i in range(6000)),) * 2 + (6000,)
 
@@ -77,3 +77,24 @@ def test_running_sum_on_decimal_key(spark):
     got = {r.id: r.c for r in running_aggregate(t, ["pnl_usd", "id"], {"c": "pnl_usd"}, partitions=4).collect()}
     w = Window.orderBy("pnl_usd", "id").rowsBetween(Window.unboundedPreceding, 0)
     assert got == {r.id: r.c for r in t.withColumn("c", F.sum("pnl_usd").over(w)).collect()}
+
+
+def test_running_values_within_groups_split_a_hot_group(spark):
+    t = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 11).alias("g"),
+        (F.col("id") % 13).alias("at"), "id", (F.col("id") * 37 % 101).alias("x"))
+    for n in (1, 4, 40):
+        got = running_aggregate(t, ["g", "at", "id"], {"c": "x"}, xors={"h": "x"}, within=["g"], partitions=n)
+        w = Window.partitionBy("g").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+        want = t.withColumn("c", F.sum("x").over(w)).withColumn("h", F.bit_xor("x").over(w))
+        assert sorted(map(tuple, got.select("id", "c", "h").collect())) == sorted(
+            map(tuple, want.select("id", "c", "h").collect()))
+    assert running_aggregate(t.limit(0), ["g", "id"], {"c": "x"}, within=["g"], partitions=4).count() == 0
+
+
+def test_a_hot_instant_is_cut_into_ranges(spark):
+    from tidemark.operators.running import RANGE_ID, ranged
+
+    t = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("at"))
+    sizes = [r["count"] for r in ranged(t, ["at", "id"], 12).groupBy(RANGE_ID).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 500
