@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, quality_grades, quality_rules, secret_scan,
+from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, prefix_trie, quality_grades, quality_rules, secret_scan,
                           token_counts, token_files, toxicity)
 from tidemark.llm.workers import reachable
 
@@ -66,6 +66,10 @@ def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades.predict(docs, quality_grades.fit(docs, rated))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_quality_rules, op4_secret_scan,
                                    op5_mix_sources, op6_token_files, op7_ngram_join, op8_toxicity, op9_language_id,
-                                   op10_quality_grades)}
+                                   op10_quality_grades, op11_prefix_trie)}

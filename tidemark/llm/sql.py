@@ -169,4 +169,49 @@ SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(b, 0) A
 FROM docs LEFT JOIN named USING (rid)
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_secret_scan": OP4, "op5_mix_sources": OP5}
+# CRC-32 bit by bit (reflected polynomial 0xEDB88320); the subtree of a node is found through the prefixes of its
+# nodes' smallest conversations.
+OP11 = r"""
+WITH told AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id
+                              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base FROM told GROUP BY conv_id),
+bits AS (
+    SELECT conv_id, [4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda x: list_transform(range(8), lambda i: (ascii(x)::BIGINT >> i::INTEGER) & 1))) AS bs FROM sizes),
+hashes AS (
+    SELECT conv_id, xor(4294967295::BIGINT, list_reduce(bs, lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) % 9 AS h
+    FROM bits),
+plans AS (
+    SELECT s.conv_id, s.n, s.base, h, least(h, coalesce(b.n, 0)) AS k
+    FROM sizes s JOIN hashes USING (conv_id) LEFT JOIN sizes b ON b.conv_id = s.base),
+turns AS (
+    SELECT p.conv_id, t.pos, role, text FROM plans p JOIN told t ON t.conv_id = p.base WHERE t.pos <= h
+    UNION ALL
+    SELECT p.conv_id, t.pos - h + k, role, text FROM plans p JOIN told t USING (conv_id) WHERE t.pos > h),
+keyed AS (
+    SELECT conv_id, pos, CAST(strlen(text) AS BIGINT) AS bytes,
+           string_agg(sha256(concat(strlen(role), ':', role, text)), '') OVER (PARTITION BY conv_id ORDER BY pos) AS path
+    FROM turns
+    UNION ALL SELECT conv_id, 0, 0, '' FROM sizes),
+prefixes AS (SELECT conv_id, pos, bytes, path, max(pos) OVER (PARTITION BY conv_id) AS ends FROM keyed),
+nodes AS (
+    SELECT path, pos, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) * (count(*) - 1) AS saving,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends = pos), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, pos),
+kids AS (
+    SELECT left(path, (pos - 1) * 64) AS path, count(*) AS n FROM nodes WHERE pos > 0 GROUP BY ALL),
+known AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+below AS (
+    SELECT p.path, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(w.saving) AS saved_tokens
+    FROM known w JOIN prefixes p ON p.conv_id = w.conv_id AND p.pos <= w.pos GROUP BY p.path)
+SELECT v.conv_id, CAST(v.pos AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs,
+       CAST(v.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM known v JOIN below USING (path) LEFT JOIN nodes u ON v.pos > 0 AND u.path = left(v.path, (v.pos - 1) * 64)
+"""
+
+SQL = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_secret_scan": OP4, "op5_mix_sources": OP5,
+       "op11_prefix_trie": OP11}
