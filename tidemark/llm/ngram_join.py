@@ -44,32 +44,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_words import GOLDEN, NON_SPACE, U64, buffers, mix, ngrams, slices, words
+from tidemark.llm import shingles
+from tidemark.llm.arrow_words import U64
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
 WORDS = 4                # words of a shingle
+PERCENT = 85
 HOT = 32                 # classes with a shingle in their low parts, over which it is hot
-BITMAP = 1 << 26         # bits
-SALTS = mix(np.array([1, 2], U64))
 
 
 # ---- sets ------------------------------------------------------------------------------------------------------
 
 def prefix_size(n):
     """p(n), for numpy integers and for columns."""
-    return n - _ceil(85 * n, 100) + 1
-
-
-def _ceil(a, b: int):
-    if isinstance(a, Column):
-        return F.floor((a + (b - 1)) / F.lit(float(b))).cast("long")      # exact: a is far below 2**53
-    return -(-a // b)
+    return n - shingles.ceil_div(PERCENT * n, 100) + 1
 
 
 def needed(n: Column, m: Column) -> Column:
     """a(n, m)."""
-    return _ceil(85 * (n + m), 185)
+    return shingles.needed(n, m, PERCENT)
 
 
 def low_size(n: np.ndarray) -> np.ndarray:
@@ -77,105 +71,25 @@ def low_size(n: np.ndarray) -> np.ndarray:
     return np.minimum(n, p + p // 4 + 8)
 
 
-def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(document, shingle) of a text column: distinct, ordered by both."""
-    data, offsets = buffers(column)
-    h, doc, _, _ = words(data, offsets, NON_SPACE)
-    g, at = ngrams(h, doc, WORDS)
-    docs, shingles = [doc[at]], [g]
-    count = np.bincount(doc, minlength=len(column))
-    first = np.cumsum(count) - count
-    for n in range(1, WORDS):                        # short texts: all their words are one shingle
-        own = np.flatnonzero(count == n)
-        if len(own):
-            short, _ = ngrams(h[(first[own][:, None] + np.arange(n)).ravel()], np.repeat(own, n), n)
-            docs.append(own)
-            shingles.append(short)
-    doc, g = np.concatenate(docs), np.concatenate(shingles).view(np.int64)
-    order = np.lexsort((g, doc))
-    doc, g = doc[order], g[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], g[new]
-
-
-def _sets(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(slice, sizes, first digest, second digest, first place of each set, shingles)."""
-    for part in slices(batch, "text"):
-        doc, g = shingle_sets(part.column("text"))
-        n = np.bincount(doc, minlength=part.num_rows).astype(np.int64)
-        first = np.cumsum(n) - n
-        d = []
-        for salt in (0, 1):
-            total = np.concatenate([[U64(0)], np.cumsum(mix(g.view(U64) ^ SALTS[salt]), dtype=U64)])
-            d.append(mix(total[first + n] - total[first] + n.astype(U64) * GOLDEN).view(np.int64))
-        yield part, n, d[0], d[1], first, g
-
-
-def _lists(values: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.Array:
-    own = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    borders = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(borders), pa.array(values[own]))
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.xxhash64(F.col(id_col)).alias("id_hash"))
-
-
 def _members(rows: DataFrame) -> DataFrame:
-    """doc_id, n, d1, d2 of every row."""
+    """doc_id, n, d1, d2, home (a hash of the row's id) and low (its smallest shingles) of every row, in one pass over
+    the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, n, d1, d2, _, _ in _sets(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, (n, d1, d2))],
-                                                 names=["doc_id", "n", "d1", "d2"])
+            for part, n, d1, d2, first, g in shingles.sets(batch, WORDS):
+                low = np.where(n > 0, low_size(np.maximum(n, 1)), 0)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *map(pa.array, (n, d1, d2)), part.column("home"), shingles.lists(g, first, low)],
+                    names=["doc_id", "n", "d1", "d2", "home", "low"])
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint")
-
-
-def _low_parts(rows: DataFrame) -> DataFrame:
-    """d1, d2, n, home (a hash of the row's id), low (its smallest shingles) of every row with a shingle."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, n, d1, d2, first, g in _sets(batch):
-                rb = pa.RecordBatch.from_arrays(
-                    [*map(pa.array, (d1, d2, n)), part.column("id_hash"), _lists(g, first, low_size(n))],
-                    names=["d1", "d2", "n", "home", "low"])
-                yield rb.filter(pa.array(n > 0))
-    return rows.mapInArrow(run, "d1 bigint, d2 bigint, n bigint, home bigint, low array<bigint>")
-
-
-# ---- bitmaps ---------------------------------------------------------------------------------------------------
-
-def _bits(spark, bits: int, values: DataFrame):
-    """A broadcast bitmap of hashes, `bits` bits: built by tasks in pieces of 4 KB, at most bits / 8 bytes in all."""
-    slot = F.shiftrightunsigned(F.col("h"), 64 - (bits.bit_length() - 1))
-    pieces = (values.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("piece")).collect())
-    bitmap = np.zeros(bits // 8 + 4096, np.uint8)
-    for r in pieces:            # bucket 1 holds slots 1 to 32768, bucket 0 slot 0 alone
-        at = (r["bucket"] - 1) * 4096
-        piece = np.frombuffer(bytes(r["piece"]), np.uint8)
-        if at >= 0:
-            bitmap[at: at + len(piece)] |= piece
-    return spark.sparkContext.broadcast(bitmap)
-
+    return rows.select("doc_id", "text", "home").mapInArrow(
+        run, f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, low array<bigint>")
 
-def _has(bitmap: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    slot = (h.view(U64) >> U64(64 - (bits.bit_length() - 1))).astype(np.int64) - 1
-    return (slot < 0) | ((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
 
-
-def _bitmap_size(count: int) -> int:
-    """A power of two of bits, 32 per value, at most BITMAP."""
-    return min(BITMAP, 1 << max(16, (32 * count).bit_length()))
-
-
-def _low_rows(classes: DataFrame, shingles: DataFrame) -> DataFrame:
-    """vid, n, low_n, pos, s for the low parts' shingles that are among `shingles` (column s)."""
-    bits = _bitmap_size(shingles.count())
-    shared = _bits(classes.sparkSession, bits, shingles.select(F.xxhash64("s").alias("h")))
+def _low_rows(classes: DataFrame, among: DataFrame) -> DataFrame:
+    """vid, n, low_n, pos, s for the low parts' shingles that are among `among` (column s)."""
+    bits = shingles.bitmap_size(among.count())
+    shared = shingles.bits(classes.sparkSession, bits, among.select(F.xxhash64("s").alias("h")))
     # the bitmap is of a hash of s, since low shingles are small numbers
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,14 +97,14 @@ def _low_rows(classes: DataFrame, shingles: DataFrame) -> DataFrame:
             own = pc.list_parent_indices(batch.column("low")).to_numpy(zero_copy_only=False)
             lens = pc.list_value_length(batch.column("low")).to_numpy(zero_copy_only=False).astype(np.int64)
             pos = np.arange(len(s)) - np.repeat(np.cumsum(lens) - lens, lens)
-            hit = np.flatnonzero(_has(shared.value, bits, _xxhash64(s)))
+            hit = np.flatnonzero(shingles.has(shared.value, bits, _xxhash64(s)))
             own = own[hit]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vid").take(pa.array(own)), batch.column("n").take(pa.array(own)), pa.array(lens[own]),
                  pa.array(pos[hit]), pa.array(s[hit])], names=["vid", "n", "low_n", "pos", "s"])
 
     rows = classes.select("vid", "n", "low").mapInArrow(run, "vid bigint, n bigint, low_n bigint, pos bigint, s bigint")
-    return rows.join(shingles, "s")
+    return rows.join(among, "s")
 
 
 def _xxhash64(s: np.ndarray) -> np.ndarray:
@@ -209,42 +123,10 @@ def _xxhash64(s: np.ndarray) -> np.ndarray:
     return h
 
 
-def _whole_sets(rows: DataFrame, classes: DataFrame, vids: DataFrame) -> DataFrame:
-    """vid, n, shingles of the classes in `vids`, from one document of each."""
-    spark = rows.sparkSession
-    wanted = materialize(classes.select("vid", "d1", "d2", "home").join(vids, "vid"), "wanted")
-    mark = F.col("d1").bitwiseXOR(F.col("home"))
-    bits = _bitmap_size(wanted.count())
-    bitmap = _bits(spark, bits, wanted.select(F.xxhash64(mark).alias("h")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, n, d1, d2, first, g in _sets(batch):
-                home = part.column("id_hash").to_numpy(zero_copy_only=False)
-                hit = np.flatnonzero((n > 0) & _has(bitmap.value, bits, _xxhash64(d1 ^ home)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(d1[hit]), pa.array(d2[hit]), pa.array(home[hit]), _lists(g, first[hit], n[hit])],
-                    names=["d1", "d2", "home", "shingles"])
-
-    found = rows.mapInArrow(run, "d1 bigint, d2 bigint, home bigint, shingles array<bigint>")
-    found = found.join(wanted, ["d1", "d2", "home"])
-    return materialize(found.dropDuplicates(["vid"]).select("vid", F.size("shingles").cast("bigint").alias("n"), "shingles"),
-                       "whole_sets")
-
-
 # ---- the product -------------------------------------------------------------------------------------------------
 
 def _near_in_size(n: Column, m: Column) -> Column:
-    return 100 * F.least(n, m) >= 85 * F.greatest(n, m)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
-    one = sets.select(F.col("vid").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("vid").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b")
-    overlap = F.size(F.array_intersect("x", "y"))
-    return both.where(overlap >= needed(F.size("x"), F.size("y"))).select("a", "b")
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
 def _ranks(rows: DataFrame, hot_places: DataFrame) -> DataFrame:
@@ -282,12 +164,12 @@ def _dense_links(sets: DataFrame) -> DataFrame:
     parts = materialize(table.select("vid").distinct().select("vid", F.col("vid").alias("label")), "dense_parts")
     links = None
     for rows in (lambda: table.join(parts, "vid"), lambda: _outside_largest(table.join(parts, "vid"))):
-        new = materialize(_verified(_middle_pairs(rows()), sets), "dense_links")
+        new = materialize(shingles.verified(_middle_pairs(rows()), sets, PERCENT), "dense_links")
         links = new if links is None else materialize(links.unionByName(new), "dense_links")
         labels = components(links)
         parts = materialize(parts.select("vid").join(labels.withColumnRenamed("v", "vid"), "vid", "left")
                             .select("vid", F.coalesce("label", "vid").alias("label")), "dense_parts")
-    return links.unionByName(_verified(_cross_pairs(table.join(parts, "vid")), sets))
+    return links.unionByName(shingles.verified(_cross_pairs(table.join(parts, "vid")), sets, PERCENT))
 
 
 def _middle_pairs(rows: DataFrame) -> DataFrame:
@@ -360,8 +242,8 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     prefixes = prefixes.where(F.col("rank") < prefix_size(F.col("n")))
     pairs = materialize(_sparse_pairs(prefixes), "sparse_pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("vid")).unionByName(dense).distinct()
-    sets = _whole_sets(rows, classes, ends)
-    links = _verified(pairs, sets)
+    sets = shingles.whole_sets(rows, classes, ends, WORDS)
+    links = shingles.verified(pairs, sets, PERCENT)
     if not dense.isEmpty():
         dense_sets = sets.join(dense, "vid", "left_semi")
         links = links.unionByName(_dense_links(dense_sets))
@@ -369,33 +251,19 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         missing = mixed.select(F.col("b").alias("vid")).distinct().join(sets.select("vid"), "vid", "left_anti")
         missing = materialize(missing, "missing")
         if not missing.isEmpty():
-            sets = sets.unionByName(_whole_sets(rows, classes, missing))
-        links = links.unionByName(_verified(mixed, sets))
+            sets = sets.unionByName(shingles.whole_sets(rows, classes, missing, WORDS))
+        links = links.unionByName(shingles.verified(mixed, sets, PERCENT))
     return links
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row; d1, d2 (digest of the set) and label (of the component, null
     for an empty set), which tell components apart even if ids repeat or are null."""
-    rows = _rows(docs, id_col, text_col)
+    rows = shingles.rows_of(docs, id_col, text_col)
     members = materialize(_members(rows), "members")
-    classes = _low_parts(rows).dropDuplicates(["d1", "d2"])
+    classes = members.where("n > 0").select("d1", "d2", "n", "home", "low").dropDuplicates(["d1", "d2"])
     classes = materialize(classes.withColumn("vid", F.monotonically_increasing_id()), "classes")
-    labels = components(_links(rows, classes))
-    # smallest id of each class, then of each component, then back to the rows
-    least = members.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"))
-    named = (least.join(classes.select("d1", "d2", "vid"), ["d1", "d2"])
-             .join(labels.withColumnRenamed("v", "vid"), "vid", "left")
-             .select("d1", "d2", "class_id", F.coalesce("label", "vid").alias("label")))
-    named = materialize(named, "class_labels")
-    components_ = named.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    per_class = materialize(named.join(components_, "label").select("d1", "d2", "component_id", "label"),
-                            "class_components")
-    with_set = members.where("n > 0").join(per_class, ["d1", "d2"])
-    without = members.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn(
-        "label", F.lit(None).cast("bigint"))
-    cols = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "d1", "d2", "label"]
-    return with_set.select(*cols).unionByName(without.select(*cols))
+    return shingles.with_components(members, classes, components(_links(rows, classes)))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,7 +292,7 @@ def _one_by_one(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -
                       F.coalesce(F.col(text_col), F.lit("")).alias("t")).dropDuplicates(["i", "t"])
     row = materialize(row, "odd_rows")
     own = _members(row.select(F.struct("i", "t").alias("doc_id"), F.col("t").alias("text"),
-                              F.lit(0).cast("bigint").alias("id_hash")))
+                              F.lit(0).cast("bigint").alias("home")))
     component = found.where("n_shingles > 0").select("d1", "d2", "component_id", "label").distinct()
     own = own.select("doc_id.i", "doc_id.t", "n", "d1", "d2").join(component, ["d1", "d2"], "left")
     own = own.where((F.col("n") == 0) | F.col("i").eqNullSafe(F.col("component_id")))

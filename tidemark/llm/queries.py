@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, prefix_trie, quality_grades, quality_rules, secret_scan,
-                          token_counts, token_files, toxicity)
+from tidemark.llm import (decontaminate, language_id, mixing, ngram_join, odd_sketch, phrases, prefix_trie,
+                          quality_grades, quality_rules, secret_scan, token_counts, token_files, toxicity)
 from tidemark.llm.workers import reachable
 
 
@@ -70,6 +70,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf_dir, "conversations"))
 
 
+def op12_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_quality_rules, op4_secret_scan,
                                    op5_mix_sources, op6_token_files, op7_ngram_join, op8_toxicity, op9_language_id,
-                                   op10_quality_grades, op11_prefix_trie)}
+                                   op10_quality_grades, op11_prefix_trie, op12_odd_sketch, op13_phrases)}

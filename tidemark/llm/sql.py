@@ -213,5 +213,35 @@ SELECT v.conv_id, CAST(v.pos AS BIGINT) AS depth, u.conv_id AS parent_conv_id, C
 FROM known v JOIN below USING (path) LEFT JOIN nodes u ON v.pos > 0 AND u.path = left(v.path, (v.pos - 1) * 64)
 """
 
+# Every phrase of one to four words as a list, counted; HUGEINT arithmetic is exact.
+OP13 = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)),
+places AS (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS size)),
+counts AS (SELECT lang, list_slice(ws, i, i + size - 1) AS g, size, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE size > 1 AND f >= 30),
+cuts AS (SELECT lang, g, size, f, unnest(range(1, size)) AS k FROM candidates),
+scores AS (
+    SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, k, (CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+                JOIN counts y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, c.size)),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+starts AS (SELECT lang, g, size, f, inner_size, unnest(range(1, size - inner_size + 2)) AS i
+           FROM candidates, (SELECT unnest([2, 3]) AS inner_size) WHERE inner_size < size),
+longer AS (SELECT lang, list_slice(g, i, i + inner_size - 1) AS g, max(f) AS f FROM starts GROUP BY ALL),
+kept AS (
+    SELECT s.*, array_to_string(s.g, ' ') AS phrase FROM lowest s LEFT JOIN longer b ON b.lang = s.lang AND b.g = s.g
+    WHERE b.f IS NULL OR 100 * b.f < 80 * s.a)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 SQL = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_secret_scan": OP4, "op5_mix_sources": OP5,
-       "op11_prefix_trie": OP11}
+       "op11_prefix_trie": OP11, "op13_phrases": OP13}
