@@ -123,7 +123,7 @@ for _name in (
     "lake_versions", "lake_compact", "quality_report", "model_checks", "run_summary", "stream_alert_ingest",
     "stream_alerts_daily", "check_not_null", "check_unique", "check_in_set", "check_between", "check_columns",
     "check_row_count", "models_run", "empty_source", "union_sources", "quality_three_runs", "stream_parse_errors",
-    "daily_run", "daily_run_security", "daily_run_cross_domain",
+    "daily_run", "daily_run_security", "daily_run_cross_domain", "daily_run_empty",
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)

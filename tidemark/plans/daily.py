@@ -31,6 +31,7 @@ class Inputs:
 @dataclass(frozen=True)
 class Result:
     loads: dict[str, keyed_load.LoadStats]
+    rows: dict[str, int]                                              # of each loaded table after the run
     versions: dict[str, int | None]
     checks: DataFrame
     models: dict[str, str]
@@ -45,7 +46,8 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_date: dt.date | None
     raw = {name: f"{base}/raw/{name}" for name in ("trades", "alerts", "prices")}
 
     clean = cleaning.validate_trades(broker_csv.read_brokers(spark, inputs.brokers), decimal_pnl=True)
-    snapshot = lake.snapshot(cleaning.typed_trades(clean), f"{base}/exports", "trades", run_date)
+    typed = cleaning.typed_trades(clean)
+    snapshot = lake.snapshot(typed, f"{base}/exports", "trades", run_date)
     lines = alert_json.read_lines(spark, inputs.alert_lines)
     cutoff = alert_json.lookback_cutoff(lookback_hours, now) if lookback_hours is not None else None
     alerts = alert_json.alerts_from_lines(lines, cutoff).withColumn("day", alert_json.alert_day())
@@ -58,7 +60,10 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_date: dt.date | None
                                               surrogate="id")
     loads["prices"] = keyed_load.keyed_append(spark, raw["prices"], inputs.prices, ("date", "symbol"), now)
 
-    tables = {name: keyed_load.read_table(spark, path) for name, path in raw.items()}
+    # tables exist with their declared columns from the first run, whatever was delivered
+    schemas = {"trades": keyed_load.table_schema(typed, "id"), "alerts": keyed_load.table_schema(alerts, "id"),
+               "prices": keyed_load.table_schema(inputs.prices)}
+    tables = {name: keyed_load.read_table(spark, path, schemas[name]) for name, path in raw.items()}
     versions = {}
     for name, ts in (("trades", "entry_ts"), ("alerts", "timestamp"), ("prices", "date")):
         if name in loads and loads[name].inserted:
@@ -80,4 +85,5 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_date: dt.date | None
             .coalesce(1).write.mode("append").parquet(f"{base}/published")
     elif raise_on_failure:
         raise quality.QualityFailed("model checks failed")
-    return Result(loads, versions, report, models, ok)
+    rows = {name: loads[name].rows_after if name in loads else tables[name].count() for name in raw}
+    return Result(loads, rows, versions, report, models, ok)

@@ -326,13 +326,18 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams (ST1, ST2) --------------------------------------------------------------------------------------
 
 def _stream_input(spark: SparkSession, sf_dir: str) -> str:
-    """Two syncs of alert text, one after the other, as the files of one folder."""
+    """Four syncs of alert text, one file each, one after the other. Every seventh line is held back: those of day 20
+    come with the third sync and those of day 30 with the fourth, less than 24 hours late; those of the first five days
+    come with the fourth, weeks late."""
     lines = fx.alert_lines(spark, sf_dir)
     ev = fx.table(spark, sf_dir, "events").select("event_id", F.dayofmonth("ts").alias("dom"))
-    tagged = lines.join(ev, "event_id")
+    held = F.col("event_id") % 7 == 3
+    sync = (F.when(held & ((F.col("dom") <= 5) | (F.col("dom") == 30)), 4).when(held & (F.col("dom") == 20), 3)
+            .when(F.col("dom") <= 10, 1).when(F.col("dom") <= 20, 2).otherwise(3))
+    tagged = lines.join(ev, "event_id").withColumn("sync", sync)
     path = scratch_path(spark, "alert_sync")
-    for cond in (F.col("dom") <= 15, F.col("dom") > 15):
-        tagged.where(cond).select("line").write.mode("append").text(path)
+    for number in range(1, 5):
+        tagged.where(F.col("sync") == number).select("line").coalesce(1).write.mode("append").text(path)
     return path
 
 
@@ -346,7 +351,7 @@ def stream_parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alert_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_input(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream_alerts"), scratch_path(spark, "stream_alerts_ckpt")
-    alert_stream.ingest_alerts(spark, src, out, ckpt, max_files_per_trigger=8)
+    alert_stream.ingest_alerts(spark, src, out, ckpt, max_files_per_trigger=1)
     return keyed_load.read_table(spark, out).select(*alert_json.ALERT_COLUMNS)
 
 
@@ -441,3 +446,22 @@ def daily_run_security(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_run_cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_daily(spark, sf_dir)["mart_cross_domain"])
+
+
+def daily_run_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days: on the first neither broker nor alert file is delivered, on the second all are. Rows per loaded table
+    after each day."""
+    from tidemark.plans import daily
+
+    brokers, lines = write_broker_files(spark, sf_dir), write_alert_lines(spark, sf_dir)
+    nowhere = scratch_path(spark, "not_delivered")
+    missing = [(f"{nowhere}/{source}", source, types) for _, source, types in brokers]
+    base = scratch_path(spark, "daily_empty")
+    out = None
+    for day, (files, text) in enumerate(((missing, f"{nowhere}/alerts"), (brokers, lines)), start=1):
+        inputs = daily.Inputs(files, text, fx.benchmark_prices(spark, sf_dir), fx.ip_geo(spark, sf_dir))
+        ran = daily.run(spark, inputs, base, run_date=dt.date(2024, 2, day), raise_on_failure=False)
+        for name, rows in ran.rows.items():
+            one = spark.createDataFrame([(day, name, rows)], "run int, table string, rows long")
+            out = one if out is None else out.unionByName(one)
+    return out

@@ -1,11 +1,11 @@
 """Alert ingest as Structured Streaming.
 
 The alert file is refreshed every 15 minutes; as a stream, each sync lands as a new file in a directory. Lines
-are parsed with the batch parser, repeated alerts are dropped while the watermark keeps their state, and each
-micro-batch goes through the keyed load in `foreachBatch`, so the table stays unique on `alert_id` even for
-repeats beyond the watermark and for batches replayed after a failure. Spark's de-duplication operators do not
-drop rows older than the watermark (checked: no row counted as dropped), so lateness is the batch job's
-look-back rule applied per micro-batch.
+are parsed with the batch parser and aggregated by (time, alert_id) under a watermark: the aggregation's state drops
+repeats, and alerts older than the watermark are late and really dropped (a de-duplication operator would let them
+pass: its key has no time that could be late). Each micro-batch goes through the keyed load in `foreachBatch` under its
+own name, so the table stays unique on `alert_id` for repeats whose state is gone, and a micro-batch that is replayed
+after a failure is counted once, whether it died before, between or after its rows and its entry.
 
 The daily counts are an aggregation by day; `complete` mode rewrites the (small, one row per day and level)
 result each batch.
@@ -50,10 +50,10 @@ def ingest_alerts(
 ) -> None:
     """Run the incremental ingest over everything available now, then stop.
 
-    `lookback_hours` applies the batch job's rule to each micro-batch: alerts older than the batch's processing
-    time minus that many hours are dropped (NULL times are kept). Within the stream, repeats of an `alert_id` are
-    dropped while the watermark keeps their state; every micro-batch is then loaded with the keyed load, so a
-    repeat that arrives after its state expired, or a batch replayed after a failure, inserts nothing.
+    `lateness`: alerts older than the newest time seen in earlier micro-batches minus this are dropped (the watermark
+    that Spark applies to late rows is the one before the last micro-batch). `lookback_hours` applies the batch job's
+    rule to each micro-batch as well: alerts older than the batch's processing time minus that many hours are dropped.
+    Alerts without a time have no place on either clock: they go straight to the keyed load.
     """
     from tidemark.operators.keyed_load import keyed_append
 
@@ -61,16 +61,18 @@ def ingest_alerts(
     if lookback_hours is not None:
         cutoff = F.current_timestamp() - F.make_dt_interval(hours=F.lit(lookback_hours))
         stream = stream.where(F.col("timestamp").isNull() | (F.col("timestamp") >= cutoff))
-    # Alerts without a time have no place on the watermark's clock: they go straight to the keyed load.
+    rest = [c for c in ALERT_COLUMNS if c not in ("timestamp", "alert_id")]
     timed = (stream.where(F.col("timestamp").isNotNull()).withWatermark("timestamp", lateness)
-             .dropDuplicatesWithinWatermark(["alert_id"]))
+             .groupBy("timestamp", "alert_id").agg(F.first(F.struct(*rest)).alias("alert"))
+             .select("alert_id", "timestamp", "alert.*").select(*ALERT_COLUMNS))
     stream = timed.unionByName(stream.where(F.col("timestamp").isNull()))
 
-    def sink(batch: DataFrame, _batch_id: int) -> None:
+    def sink(batch: DataFrame, batch_id: int) -> None:
         # partitioned by the alert's day, so each micro-batch looks up only the days it touches
-        keyed_append(spark, table_path, batch.withColumn("day", alert_day()), ("alert_id",), prune_col="day")
+        keyed_append(spark, table_path, batch.withColumn("day", alert_day()), ("alert_id",), prune_col="day",
+                     batch_name=f"{checkpoint}#{batch_id}")
 
-    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
