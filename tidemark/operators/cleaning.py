@@ -12,18 +12,22 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import EXACT
 
-# Timestamp layouts accepted besides the ISO forms that a plain cast reads; each row is parsed on its own.
-TIMESTAMP_FORMATS: Sequence[str] = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ssXXX", "MM/dd/yyyy HH:mm", "MM/dd/yyyy HH:mm:ss",
+# Timestamp layouts accepted besides the ISO forms that a plain cast reads, told apart by their shape; each row is parsed
+# on its own, and by one layout.
+SLASHED: Sequence[tuple[str, str]] = (
+    (r"^\d\d/\d\d/\d{4} \d\d:\d\d$", "MM/dd/yyyy HH:mm"), (r"^\d\d/\d\d/\d{4} \d\d:\d\d:\d\d$", "MM/dd/yyyy HH:mm:ss"),
 )
 
 REASON_PNL, REASON_TIME, REASON_ID = "non_numeric_pnl", "invalid_timestamps", "blank_trade_id"
 
 
-def parse_timestamp(c: str | F.Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> F.Column:
-    col = F.col(c) if isinstance(c, str) else c
-    text = F.trim(col.cast("string"))
-    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+def parse_timestamp(c: str | F.Column) -> F.Column:
+    """Timestamp text by the one layout of its shape; NULL for anything else."""
+    text = F.trim((F.col(c) if isinstance(c, str) else c).cast("string"))
+    slashed = F.when(F.lit(False), F.lit(None).cast("timestamp"))
+    for shape, layout in SLASHED:
+        slashed = slashed.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout)))
+    return F.when(text.contains("/"), slashed).otherwise(F.try_to_timestamp(text))
 
 
 # Numbers as text: digits with an optional sign, point and exponent, or infinity; no type suffixes, no hexadecimal.
@@ -50,11 +54,12 @@ def typed_trades(df: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
-    return df.withColumns({
-        "pnl_usd": number("pnl_usd", EXACT if decimal_pnl else "double"),
-        "entry_ts": parse_timestamp("entry_ts"),
-        "exit_ts": parse_timestamp("exit_ts"),
-    })
+    """P&L and timestamps read once: inline() of one struct is an operator of its own, so no filter on the results is
+    pushed below it to parse them a second time."""
+    rest = [c for c in df.columns if c not in ("pnl_usd", "entry_ts", "exit_ts")]
+    typed = F.struct(number("pnl_usd", EXACT if decimal_pnl else "double").alias("pnl_usd"),
+                     parse_timestamp("entry_ts").alias("entry_ts"), parse_timestamp("exit_ts").alias("exit_ts"))
+    return df.select(*rest, F.inline(F.array(typed))).select(*df.columns)
 
 
 def _rules(decimal_pnl: bool) -> tuple[F.Column, F.Column, F.Column]:
@@ -73,8 +78,7 @@ def with_reject_reason(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
 
 
 def validate_trades(df: DataFrame, decimal_pnl: bool = False) -> DataFrame:
-    """Rows that pass every rule, with typed P&L and timestamps. A flat conjunction rather than a test on the
-    reason label: the optimizer pushes it into the scan's join as is, and each parse is evaluated once."""
+    """Rows that pass every rule, with typed P&L and timestamps."""
     bad_pnl, bad_ts, bad_id = _rules(decimal_pnl)
     return _typed(df, decimal_pnl).where(~bad_pnl & ~bad_ts & ~bad_id)
 

@@ -12,27 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt"
 # White space of any kind at either end of a line.
 SPACE_AROUND = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
-# rule.id and rule.level occur as text or as numbers; read both as text and cast.
-LINE_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("rule", T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("level", T.StringType()),
-        T.StructField("description", T.StringType()),
-    ])),
-    T.StructField("agent", T.StructType([T.StructField("name", T.StringType())])),
-    T.StructField("data", T.StructType([
-        T.StructField("srcip", T.StringType()),
-        T.StructField("src_ip", T.StringType()),
-    ])),
-    T.StructField("full_log", T.StringType()),
-    T.StructField(CORRUPT, T.StringType()),
-])
-
 ALERT_COLUMNS = ("alert_id", "timestamp", "rule_id", "rule_level", "rule_description", "agent_name", "src_ip",
                  "full_log", "raw")
 
@@ -71,43 +53,53 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _parsed(lines: DataFrame, value: str) -> DataFrame:
+    """Every trimmed line with one Variant: an array of the line and the line's own hash. The parser stops after a first
+    complete value, so the hash stands where it belongs only if the line is exactly one value."""
+    text = F.regexp_replace(F.col(value), SPACE_AROUND, "")
+    tail = F.xxhash64("__line")
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col("__line"), F.lit(","), tail.cast("string"), F.lit("]")))
+    # inline() keeps the parse in one place: a filter on the result is not pushed below it and evaluated again
+    return (lines.select(text.alias("__line"))
+            .select(F.inline(F.array(F.struct(F.col("__line"), tail.alias("__tail"), whole.alias("__json"))))))
+
+
+def _field(path: str) -> F.Column:
+    """A field as text; rule.id and rule.level occur as text or as numbers. NULL if missing or null."""
+    return F.try_variant_get("__json", f"$[0].{path}", "string")
+
+
+def _not_object(name: str) -> F.Column:
+    """Whether the field is there, and neither null nor an object."""
+    kind = F.schema_of_variant(F.try_variant_get("__json", f"$[0].{name}", "variant"))
+    return F.coalesce(~kind.startswith("OBJECT") & (kind != "VOID"), F.lit(False))
+
+
 def classify(lines: DataFrame, value: str = "value") -> DataFrame:
     """Every line with its parse status (`blank`, `error`, `ok`) and, for `ok`, the alert columns."""
-    text = F.regexp_replace(F.col(value), SPACE_AROUND, "")
-    j = F.from_json(text, LINE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-                                        "allowSingleQuotes": "false"})
-    # strict: the whole line is one JSON object. The parsers stop after a first complete value, so the line is tried
-    # inside an array (of one element) and inside an object, where nothing may follow it.
-    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    field = F.try_parse_json(F.concat(F.lit('{"line":'), text, F.lit("}")))
-    whole = (text.startswith("{") & array.isNotNull() & F.try_variant_get(array, "$[1]", "variant").isNull()
-             & field.isNotNull())
-    parsed = lines.select(text.alias("__line"), j.alias("j"), whole.alias("__whole"))
-    ts_raw = F.col("j.timestamp")
-    ts = F.try_to_timestamp(ts_raw)
-    rule_id_text = F.col("j.rule.id")
-    status = (
-        F.when(F.col("__line") == "", "blank")
-        .when(~F.col("__whole") | F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull(), "error")
-        .when(ts_raw.isNotNull() & (ts_raw != "") & ts.isNull(), "error")
-        .otherwise("ok")
-    )
-    src = F.coalesce(F.when(F.col("j.data.srcip") != "", F.col("j.data.srcip")), F.col("j.data.src_ip"))
-    alert_id = F.md5(F.concat(
-        F.coalesce(ts_raw, F.lit("")), F.coalesce(rule_id_text, F.lit("None")), F.coalesce(F.col("j.full_log"), F.lit(""))
-    ))
-    return parsed.select(
+    read = F.col("__line").startswith("{") & (F.try_variant_get("__json", "$[1]", "bigint") == F.col("__tail"))
+    nested = _not_object("rule") | _not_object("agent") | _not_object("data")
+    parsed = _parsed(lines, value).select(
+        "__line", (F.coalesce(read, F.lit(False)) & ~nested).alias("__read"), _field("timestamp").alias("ts"),
+        _field("rule.id").alias("rule_id"), _field("rule.level").alias("level"), _field("rule.description").alias("rule"),
+        _field("agent.name").alias("agent"), _field("data.srcip").alias("srcip"), _field("data.src_ip").alias("src_ip"),
+        _field("full_log").alias("log"))
+    ts = F.try_to_timestamp("ts")
+    status = (F.when(F.col("__line") == "", "blank").when(~F.col("__read"), "error")
+              .when((F.col("ts") != "") & ts.isNull(), "error").otherwise("ok"))
+    alert_id = F.md5(F.concat(F.coalesce("ts", F.lit("")), F.coalesce("rule_id", F.lit("None")), F.coalesce("log", F.lit(""))))
+    return parsed.select(F.inline(F.array(F.struct(
         status.alias("status"),
         alert_id.alias("alert_id"),
         ts.alias("timestamp"),
-        rule_id_text.try_cast("int").alias("rule_id"),
-        F.col("j.rule.level").try_cast("int").alias("rule_level"),
-        F.coalesce(F.col("j.rule.description"), F.lit("")).alias("rule_description"),
-        F.coalesce(F.col("j.agent.name"), F.lit("")).alias("agent_name"),
-        src.alias("src_ip"),
-        F.coalesce(F.col("j.full_log"), F.lit("")).alias("full_log"),
+        F.col("rule_id").try_cast("int").alias("rule_id"),
+        F.col("level").try_cast("int").alias("rule_level"),
+        F.coalesce("rule", F.lit("")).alias("rule_description"),
+        F.coalesce("agent", F.lit("")).alias("agent_name"),
+        F.coalesce(F.when(F.col("srcip") != "", F.col("srcip")), F.col("src_ip")).alias("src_ip"),
+        F.coalesce("log", F.lit("")).alias("full_log"),
         F.col("__line").alias("raw"),
-    )
+    ))))
 
 
 def alerts_from_lines(lines: DataFrame, cutoff: dt.datetime | None = None, value: str = "value") -> DataFrame:
