@@ -124,6 +124,8 @@ for _name in (
     "stream_alerts_daily", "check_not_null", "check_unique", "check_in_set", "check_between", "check_columns",
     "check_row_count", "models_run", "empty_source", "union_sources", "quality_three_runs", "stream_parse_errors",
     "daily_run", "daily_run_security", "daily_run_cross_domain", "daily_run_empty",
+    "incremental_daily_pnl", "incremental_trades_rollup", "incremental_alerts_daily", "incremental_alert_top_sources",
+    "incremental_alerts_rollup",
 ):
     register(_name)(getattr(sc, _name))
 register("validate_trades")(sc.validated_trades)

@@ -2,8 +2,8 @@
 
 Order of a run: read and validate the broker rows, write the day's snapshot, load trades (typed, with surrogate ids
 and the load time), alerts and prices into their keyed tables, append the new rows to the lake, check the loaded
-tables, build the models from them into a folder of the run, and only if the checks and the models' own column tests
-pass name that folder as the published one. Every step reads what the step before has written.
+tables, bring the partial aggregates up to date with the new loads, build the models into a folder of the run, and only
+if the checks and the models' own column tests pass name that folder as the published one. Every step reads what the step before has written.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning, keyed_load
-from tidemark.plans import pipeline, quality
+from tidemark.plans import incremental, pipeline, quality
 from tidemark.sources import alert_json, broker_csv, lake
 
 
@@ -75,8 +75,13 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_date: dt.date | None
     # M9 groups trades by their attributes: its key must be unique, as the load guarantees
     keys = quality.run_suite(tables["trades"].select(F.struct("trade_id", "source").alias("key")), "trade_key",
                              (quality.Check("unique", "key"),))
+    # marts that are merges of partial aggregates read the new load alone
+    incremental.update(spark, raw, f"{base}/partials")
+    kept_up = {model: incremental.read(spark, f"{base}/partials", name, tables[source]) for model, name, source in (
+        ("mart_daily_pnl", "daily_pnl", "trades"), ("mart_iceberg_trades", "trades_rollup", "trades"),
+        ("mart_iceberg_alerts", "alerts_rollup", "alerts"))}
     models = pipeline.build_models(spark, tables["trades"], tables["alerts"], tables["prices"], inputs.ip_geo,
-                                   f"{base}/warehouse/run_date={run_date.isoformat()}")
+                                   f"{base}/warehouse/run_date={run_date.isoformat()}", kept_up=kept_up)
     tests = pipeline.model_tests(spark, models)
     report = checks.drop("skipped").unionByName(keys.drop("skipped")).unionByName(tests)
     ok = report.where(~F.col("success")).isEmpty()

@@ -465,3 +465,42 @@ def daily_run_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
             one = spark.createDataFrame([(day, name, rows)], "run int, table string, rows long")
             out = one if out is None else out.unionByName(one)
     return out
+
+
+# ---- marts kept up load by load --------------------------------------------------------------------------------------
+
+def _kept_up(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The mart after two loads of its source's table, with its partials brought up to date after each: first the rows
+    of even days, then all rows (so the second load has days before, between and after those of the first)."""
+    from tidemark.plans import incremental
+
+    mart = incremental.marts()[name]
+    rows, keys, ts = ((fx.trades(spark, sf_dir), TRADE_KEYS, "entry_ts") if mart.source == "trades"
+                      else (fx.alerts(spark, sf_dir), ("id",), "timestamp"))
+    rows = rows.drop("loaded_at")
+    table, base = scratch_path(spark, f"raw_{mart.source}"), scratch_path(spark, "partials")
+    even = F.coalesce(F.dayofmonth(ts) % 2 == 0, F.lit(False))
+    for batch in (rows.where(even), rows):
+        keyed_load.keyed_append(spark, table, batch, keys)
+        incremental.update(spark, {"trades": table, "alerts": table}, base, only=(name,))
+    return incremental.read(spark, base, name, keyed_load.read_table(spark, table))
+
+
+def incremental_daily_pnl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, "daily_pnl")
+
+
+def incremental_trades_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, "trades_rollup")
+
+
+def incremental_alerts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, "alerts_daily")
+
+
+def incremental_alert_top_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, "alert_top_sources")
+
+
+def incremental_alerts_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, "alerts_rollup")
