@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 from fractions import Fraction
-from math import comb
+from math import comb, exp, lgamma, log, log1p
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,27 +30,50 @@ def test_measures(make_docs):
     texts += [None, "", " \n\t\n", "a b c d e", "a b c d e a b c d e", "x " * 5, "x " * 6, "l\nl\n \nl\r\nl", "a b " * 4000,
               "q" * 50000, "a\x0bb\x0cc d"]
     docs = make_docs([(i, t, "en") for i, t in enumerate(texts)]).withColumnRenamed("n_chars", "words")
-    got = {x[0]: tuple(x)[2:] for x in q.measures(docs).collect()}
+    got = {x[0]: tuple(x)[3:] for x in q.measures(docs).collect()}
     for i, t in enumerate(texts):
         n = brute(t)
         assert got[i] == (n[0], n[1], n[2], n[3], n[4], n[5]), (i, t)
 
 
 def test_binomial_tail(spark):
-    cases = [(0, 5, 0.1), (3, 50, 0.02), (50, 50, 0.3), (2, 3000, 0.002), (120, 9000, 0.01), (25, 40, 0.5)]
+    cases = [(0, 5, 0.1), (3, 50, 0.07), (50, 50, 0.3), (2, 3000, 0.002), (60, 9000, 0.01), (25, 40, 0.5)]
     for k, n, p in cases:
         x = Fraction(p)
-        want = float(sum(comb(n, j) * x**j * (1 - x) ** (n - j) for j in range(k + 1)))
-        got = spark.range(1).select(q.binomial_tail(F.lit(k).cast("bigint"), F.lit(n).cast("bigint"), p)).first()[0]
-        assert got == pytest.approx(min(want, 1.0), rel=1e-9)
+        want = float(sum(comb(n, j) * x**j * (1 - x) ** (n - j) for j in range(k + 1))) if k < n * p else 1.0
+        assert tail(spark, k, n, p) == pytest.approx(min(want, 1.0), rel=1e-9)
 
 
-def test_terms_beyond_are_bounded_from_above(spark, monkeypatch):
-    monkeypatch.setattr(q, "TERMS", 5)
-    k, n, p = 30, 4000, 0.01
-    want = sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
-    got = spark.range(1).select(q.binomial_tail(F.lit(k).cast("bigint"), F.lit(n).cast("bigint"), p)).first()[0]
-    assert want <= got <= 1.5 * want
+def tail(spark, k, n, p):
+    long = lambda x: F.lit(x).cast("bigint")
+    return spark.range(1).select(q.binomial_tail(long(k), long(n), F.lit(p))).first()[0]
+
+
+def test_binomial_tail_of_large_strata(spark):
+    for k, n, p in ((19_000, 10_000_000, 0.002), (119_500, 10_000_000, 0.012)):
+        top = lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(p) + (n - k) * log1p(-p)
+        term, total = 1.0, 1.0
+        for i in range(1, k + 1):                # every term, none left out
+            term *= (k - i + 1) / (n - k + i) * ((1 - p) / p)
+            total += term
+        assert tail(spark, k, n, p) == pytest.approx(exp(top) * total, rel=1e-6)
+
+
+def test_production_parameters_admit_a_cutoff_of_symbols(spark, make_docs):
+    good = "some quite ordinary words in a line of a text here"
+    junk = "### $$$ ### $$$ ### $$$ words *** &&& ||| <<< >>>"
+    rows = [(i, junk if i % 9 == 0 else f"{good} {i}", "abcd"[i % 4]) for i in range(2400)]
+    labels = spark.createDataFrame([(i, int(i % 9 > 0), 0) for i in range(2400)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in q.judge(make_docs(rows), labels).where("kept").collect()}
+    assert kept == {i for i in range(2400) if i % 9}
+    assert abs(sum(q.WEIGHTS.values()) - 1) < 1e-12 and set(q.WEIGHTS) == set(q.RULES)
+
+
+def test_a_repeated_holdout_is_one_trial(spark, make_docs):
+    good, junk = "some quite ordinary words in a line of a text here", "### $$$ ### $$$ ### $$$ words *** &&& ||| <<< >>>"
+    docs = make_docs([(1, good, "en")] * 4000 + [(2, junk, "en")])
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert q.judge(docs, labels).where("kept").count() == 4001
 
 
 def labelled(make_docs, spark, bad_share):

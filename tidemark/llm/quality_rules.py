@@ -4,9 +4,10 @@ Rules compare a ratio of a text (per thousand) with a cutoff: symbols to word ch
 words in repeated five-word windows to all words, and the mean word length, too long or too short. Which cutoffs may
 be used is decided on labelled documents of good quality, the holdouts, by stratum (language): a cutoff that rejects k
 of n of them is admitted if the exact binomial tail P(X <= k), X ~ Bin(n, a), is at most the error allowed, that is if
-the exact (Clopper-Pearson) upper bound of the false rejection rate is at most a. `RISK` is shared out equally among
-the rules, so all rules together reject at most that share of a stratum's good documents, and the allowed error
-`ERROR` is shared among all strata and rules (Bonferroni). Along a rule the cutoffs, fixed beforehand, are tested from
+the exact (Clopper-Pearson) upper bound of the false rejection rate is at most a. `RISK` is shared out among the rules by
+`WEIGHTS`, so all rules together reject at most that share of a stratum's good documents, and the allowed error `ERROR`
+is shared among all strata and, by the same weights, rules (weighted Bonferroni). A holdout is a document, an id and its
+text, however many rows repeat it: the bound needs independent trials. Along a rule the cutoffs, fixed beforehand, are tested from
 the loosest to the strictest up to the first that fails (fixed-sequence testing, which needs no further correction);
 the last one admitted is used. A stratum with too few holdouts gets no cutoff, and its documents only the base rules.
 
@@ -30,9 +31,11 @@ from tidemark.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
 WINDOW = 5               # words
-RISK = 0.01              # of rejecting a good document, in each stratum, all rules together
+RISK = 0.02              # of rejecting a good document, in each stratum, all rules together
 ERROR = 0.05             # probability that any admitted cutoff breaks its share of RISK
-TERMS = 10_000           # of a binomial tail that are summed; what lies beyond is bounded from above
+# The shares of both that each rule gets: they add up to 1, so the sums hold. Symbols come first: a text of signs is the
+# commonest kind of junk, and one rule with a large share admits a cutoff where five with equal ones admit none.
+WEIGHTS = {"symbols": 0.6, "dup_lines": 0.1, "repeat_words": 0.1, "long_words": 0.1, "short_words": 0.1}
 
 # rule -> (numerator, denominator, cutoffs from loose to strict); a text fails over the cutoff, per thousand.
 # A negative numerator turns a rule into "at least": -mean > -2000 is a mean under two characters.
@@ -53,11 +56,11 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines of every row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("stratum"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "stratum", F.regexp_count("text", F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
+    rows = rows.select("doc_id", "stratum", F.xxhash64("text").alias("text_hash"), F.regexp_count("text", F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
                        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
                        F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("lines"))
     rows = rows.select(
-        "doc_id", "stratum", "n_symbols", "words", F.size("words").cast("bigint").alias("n_words"),
+        "doc_id", "stratum", "text_hash", "n_symbols", "words", F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"))
@@ -73,7 +76,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     covered = F.transform("again", lambda p, i: F.least(
         F.lit(WINDOW), F.coalesce(F.get(F.col("again"), i + 1) - p, F.lit(WINDOW))).cast("bigint"))
     rows = rows.withColumn("n_repeat_words", F.coalesce(_exact_sum(covered), F.lit(0).cast("bigint")))
-    return rows.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return rows.select("doc_id", "stratum", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        "n_lines")
 
 
@@ -95,18 +98,17 @@ def _ln_factorial(n: Column) -> Column:
         (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series)
 
 
-def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Bin(n, p), 0 <= k <= n: the top term, times a sum of ratios downwards."""
-    top = F.exp(_ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k)
-                + k * math.log(p) + (n - k) * math.log1p(-p))
+def binomial_tail(k: Column, n: Column, p: Column) -> Column:
+    """P(X <= k) for X ~ Bin(n, p), 0 <= k <= n: the top term, times a sum of ratios downwards until the terms vanish (ten
+    standard deviations below the mean). 1 from the mean upwards, where the tail is a half at least."""
+    top = F.exp(_ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k) + k * F.log(p) + (n - k) * F.log1p(-p))
     ratio = lambda i: (k - i + 1) / (n - k + i) * ((1 - p) / p)
     start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
     step = lambda a, i: F.struct((a["term"] * ratio(i)).alias("term"), (a["sum"] + a["term"] * ratio(i)).alias("sum"))
-    steps = F.when(k > 0, F.sequence(F.lit(1).cast("bigint"), F.least(k, F.lit(TERMS).cast("bigint"))))
+    last = F.least(k, (64 + F.ceil(10 * F.sqrt(n * p))).cast("bigint"))
+    steps = F.when((k > 0) & (k < n * p), F.sequence(F.lit(1).cast("bigint"), last))
     done = F.aggregate(F.coalesce(steps, F.array().cast("array<bigint>")), start, step)
-    beyond = F.when(k > TERMS, F.when(ratio(F.lit(TERMS + 1)) < 1, done["term"] * ratio(F.lit(TERMS + 1))
-                                      / (1 - ratio(F.lit(TERMS + 1)))).otherwise(F.lit(math.inf))).otherwise(0.0)
-    return F.least(F.lit(1.0), top * (done["sum"] + beyond))
+    return F.when(k < n * p, F.least(F.lit(1.0), top * done["sum"])).otherwise(1.0)
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
@@ -114,17 +116,20 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     """stratum, rule, cutoff (the strictest admitted), n_holdout, n_rejected, for every stratum and rule with one."""
     good = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id"))
             .agg(F.max(label_col).alias("good")).where("good = 1").select("doc_id"))
-    holdouts = measured.where(~base_failed()).join(good, "doc_id")
+    # one trial per document: rows that repeat an id and its text are no further evidence
+    holdouts = measured.where(~base_failed()).join(good, "doc_id").dropDuplicates(["doc_id", "text_hash"])
     tested = [(r, j, c) for r, (_, _, cs) in RULES.items() for j, c in enumerate(cs)]
     counts = holdouts.groupBy("stratum").agg(
         F.count("*").alias("n"),
         *[F.count_if(exceeds(r, F.lit(c))).alias(f"k{i}") for i, (r, _, c) in enumerate(tested)])
     counts = materialize(counts, "holdout_counts")               # a row per stratum
-    share = error / max(1, counts.count() * len(RULES))
+    strata = max(1, counts.count())
     cells = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(j).alias("j"), F.lit(c).alias("cutoff"),
                                F.col(f"k{i}").alias("k")) for i, (r, j, c) in enumerate(tested)])
     rows = counts.select("stratum", "n", F.explode(cells).alias("x")).select("stratum", "n", "x.*")
-    admitted = rows.withColumn("ok", binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= share)
+    weight = F.create_map(*[F.lit(x) for pair in WEIGHTS.items() for x in pair])[F.col("rule")]
+    rows = rows.withColumns({"p": risk * weight, "share": error * weight / F.lit(strata)})
+    admitted = rows.withColumn("ok", binomial_tail(F.col("k"), F.col("n"), F.col("p")) <= F.col("share"))
     first_bad = F.coalesce(F.min(F.when(~F.col("ok"), F.col("j"))), F.lit(1 << 20)).alias("bad")
     limit = admitted.groupBy(F.col("stratum").alias("s"), F.col("rule").alias("r")).agg(first_bad)
     inside = admitted.join(limit, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("rule") == F.col("r"))

@@ -97,25 +97,25 @@ lines AS (
     FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
 measures AS (
-    SELECT d.rid, doc_id, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    SELECT d.rid, doc_id, lang, text, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
            len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
            coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines
     FROM docs d LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measures),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING max(quality) = 1),
-holdouts AS (SELECT j.* FROM judged j JOIN good USING (doc_id) WHERE NOT base_failed),
+holdouts AS (SELECT DISTINCT ON (doc_id, text) j.* FROM judged j JOIN good USING (doc_id) WHERE NOT base_failed),
 grid(rule, j, cutoff) AS (VALUES {_GRID}),
+weights(rule, weight) AS (VALUES {", ".join(f"('{r}', CAST({w} AS DOUBLE))" for r, w in quality_rules.WEIGHTS.items())}),
 counted AS (
     SELECT lang, rule, j, cutoff, count(*) AS n, count(*) FILTER (CASE {_VALUE} END) AS k
     FROM holdouts, grid GROUP BY ALL),
 allowed AS (
-    SELECT {quality_rules.ERROR} / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang FROM holdouts))
-                                             * {len(quality_rules.RULES)}) AS share,
-           CAST({quality_rules.RISK} AS DOUBLE) / {len(quality_rules.RULES)} AS p),
+    SELECT rule, {quality_rules.ERROR} * weight / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang FROM holdouts))) AS share,
+           {quality_rules.RISK} * weight AS p FROM weights),
 tails AS (
     SELECT lang, rule, j, cutoff, share, sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1)
                                                  + x * ln(p) + (n - x) * ln(1 - p))) AS tail
-    FROM (SELECT *, unnest(range(k + 1)) AS x FROM counted, allowed) GROUP BY ALL),
+    FROM (SELECT *, unnest(range(k + 1)) AS x FROM counted JOIN allowed USING (rule)) GROUP BY ALL),
 bad AS (SELECT lang, rule, min(j) FILTER (tail > share) AS first_bad FROM tails GROUP BY ALL),
 cuts AS (
     SELECT t.lang, t.rule, arg_max(cutoff, j) AS cutoff
