@@ -98,3 +98,31 @@ def test_a_hot_instant_is_cut_into_ranges(spark):
     t = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("at"))
     sizes = [r["count"] for r in ranged(t, ["at", "id"], 12).groupBy(RANGE_ID).count().collect()]
     assert len(sizes) == 12 and max(sizes) < 2 * 500
+
+
+def test_descriptions_split_a_hot_bucket_without_adaptive_execution(spark):
+    from tidemark.operators.interval import SALTS, window_descriptions
+
+    half = 30 * 60 * 1_000_000
+    kw = dict(trade_key="id", trade_ts="entry_ts", alert_key="id", alert_ts="timestamp", alert_desc="rule_description",
+              half_width_micros=half)
+    trades, alerts = _skewed_trades(spark), _skewed_alerts(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")       # the segments are shuffled as large ones would be
+    try:
+        found = window_descriptions(trades, alerts, **kw)
+        got = {tuple(r) for r in found.distinct().collect()}
+        # the rows of the hot bucket lie in many tasks of the join
+        hot = trades.where(F.col("entry_ts") == F.lit(HOT)).select("id")
+        tasks = found.select("id", F.spark_partition_id().alias("task")).join(F.broadcast(hot), "id").distinct()
+        spread = {r.task: r["count"] for r in tasks.groupBy("task").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tl = [(r.id, r.entry_ts) for r in trades.select("id", "entry_ts").collect()]
+    al = [(r.timestamp, r.rule_description) for r in alerts.select("timestamp", "rule_description").collect()
+          if r.timestamp is not None and r.rule_description is not None]
+    delta = dt.timedelta(microseconds=half)
+    assert got == {(i, d) for i, ts in tl for at, d in al if abs(at - ts) <= delta}
+    assert SALTS >= 8 and len(spread) == 8 and max(spread.values()) < 0.4 * sum(spread.values())

@@ -28,6 +28,10 @@ from tidemark.operators.running import running_aggregate
 _LO, _ALERT, _HI = 0, 1, 2
 
 
+HOT_SHARE = 200
+SALTS = 64               # shares of a hot bucket's trades
+
+
 def _micros(ts: str) -> F.Column:
     return F.unix_micros(F.col(ts))
 
@@ -114,8 +118,17 @@ def window_descriptions(
     t = trades.where(F.col(trade_ts).isNotNull()).select(
         F.col(trade_key).alias("__tk"), _micros(trade_ts).alias("__pos")
     ).withColumn("__b", _bucket(F.col("__pos"), h))
+    # A bucket with over 1 / HOT_SHARE of the trades (there are HOT_SHARE such buckets at most) is split: its trades over
+    # SALTS shares by key, its segments, of which there are few, copied to each.
+    sizes = t.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    total = sizes.agg(F.sum("__n")).scalar()
+    hot = F.broadcast(sizes.where(F.col("__n") * HOT_SHARE > total).select("__b", F.lit(True).alias("__hot")))
+    t = t.join(hot, "__b", "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("__tk"), F.lit(SALTS))).otherwise(0).cast("int"))
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    segs = segs.join(hot, "__b", "left").withColumn("__salt", F.explode(copies)).drop("__hot")
     return (
-        t.join(segs, "__b")
+        t.drop("__hot").join(segs, ["__b", "__salt"])
         .where((F.col("__pos") >= F.col("__lo") - h) & (F.col("__pos") <= F.col("__hi") + h))
         .select(F.col("__tk").alias(trade_key), F.col("__desc").alias("__desc"))
     )
