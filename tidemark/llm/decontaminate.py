@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import ALPHANUMERIC, buffers, ngrams, slices, words
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 SPAN = 10                                                   # words of a window
@@ -116,7 +117,7 @@ def _item_prints(items: DataFrame) -> DataFrame:
                 [pa.array(out["item"], pa.string()), pa.array(out["span"], pa.int32()),
                  pa.array(out["print"], pa.int64()), pa.array(out["context"], pa.list_(pa.string())),
                  pa.array(out["place"], pa.int32())], names=list(out))
-    return items.mapInArrow(run, "item string, span int, print bigint, context array<string>, place int")
+    return items.mapInArrow(trimmed(run), "item string, span int, print bigint, context array<string>, place int")
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +165,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     spans = sorted(r["span"] for r in known.select("span").distinct().collect())    # SPAN values at most
     keyed = _keyed(docs, id_col, text_col)
     id_type = keyed.schema["doc_id"].dataType.simpleString()
-    made = keyed.mapInArrow(_fingerprints(spans), PRINT_SCHEMA.format("doc_id", id_type))
+    made = keyed.mapInArrow(trimmed(_fingerprints(spans)), PRINT_SCHEMA.format("doc_id", id_type))
     marked = materialize(
         made.join(known.withColumn("shared", F.lit(True)), ["span", "print"], "left")
         .where((F.col("span") == 0) | F.col("shared")).drop("shared"), "shared_prints")
@@ -175,7 +176,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
             .groupBy("key").agg(F.collect_list(F.struct("at", "span", "context", "place", "items")).alias("hits")))
     texts = keyed.join(hit_docs, "key", "left_semi").select("key", "text").join(hits, "key")
     # rows of one id and text share a key and a result: one of them is enough
-    result = (texts.mapInArrow(_extend, "key bigint, n_hit bigint, items array<string>")
+    result = (texts.mapInArrow(trimmed(_extend), "key bigint, n_hit bigint, items array<string>")
               .groupBy("key").agg(F.max("n_hit").alias("n_hit"), F.max("items").alias("items")))
     return (per_doc.join(result, "key", "left")
             .select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),

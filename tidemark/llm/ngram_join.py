@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import shingles
 from tidemark.llm.arrow_words import U64
 from tidemark.llm.components import components
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 WORDS = 4                # words of a shingle
@@ -83,7 +84,7 @@ def _members(rows: DataFrame) -> DataFrame:
                     names=["doc_id", "n", "d1", "d2", "home", "low"])
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "text", "home").mapInArrow(
-        run, f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, low array<bigint>")
+        trimmed(run), f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, low array<bigint>")
 
 
 def _low_rows(classes: DataFrame, among: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def _low_rows(classes: DataFrame, among: DataFrame) -> DataFrame:
                 [batch.column("vid").take(pa.array(own)), batch.column("n").take(pa.array(own)), pa.array(lens[own]),
                  pa.array(pos[hit]), pa.array(s[hit])], names=["vid", "n", "low_n", "pos", "s"])
 
-    rows = classes.select("vid", "n", "low").mapInArrow(run, "vid bigint, n bigint, low_n bigint, pos bigint, s bigint")
+    rows = classes.select("vid", "n", "low").mapInArrow(trimmed(run), "vid bigint, n bigint, low_n bigint, pos bigint, s bigint")
     return rows.join(among, "s")
 
 

@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import RANGE_ID, ranged, running_aggregate
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 BLOCK = 4096             # turns that share one row of the lengths' table
@@ -131,7 +132,7 @@ def _digests(ends: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[*key, "ends_sha256"])
 
     ordered = chunks.repartition(*key).sortWithinPartitions(*key, RANGE_ID).select(*key, "chunk")
-    return ordered.mapInArrow(run, "depth bigint, p1 bigint, p2 bigint, ends_sha256 string")
+    return ordered.mapInArrow(trimmed(run), "depth bigint, p1 bigint, p2 bigint, ends_sha256 string")
 
 
 def _nodes(prefixes: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -260,7 +261,7 @@ def _ranked_whole(arcs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(out, names=["id", *WEIGHTS])
 
     small = arcs.select("id", "pred", "next", *WEIGHTS).coalesce(1)
-    return small.mapInArrow(run, "id struct<c:bigint,d:bigint,k:int>, " + ", ".join(f"{w} bigint" for w in WEIGHTS))
+    return small.mapInArrow(trimmed(run), "id struct<c:bigint,d:bigint,k:int>, " + ", ".join(f"{w} bigint" for w in WEIGHTS))
 
 
 def rank(arcs: DataFrame, rest: int = REST) -> DataFrame:

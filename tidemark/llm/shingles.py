@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import GOLDEN, NON_SPACE, U64, buffers, mix, ngrams, slices, words
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 BITMAP = 1 << 26         # bits
@@ -126,7 +127,7 @@ def whole_sets(rows: DataFrame, classes: DataFrame, vids: DataFrame, size: int)
                     [pa.array(d1[hit]), pa.array(d2[hit]), part.column("home").take(pa.array(hit)),
                      lists(g, first[hit], n[hit])], names=["d1", "d2", "home", "shingles"])
 
-    found = rows.select("home", "text").mapInArrow(run, "d1 bigint, d2 bigint, home bigint, shingles array<bigint>")
+    found = rows.select("home", "text").mapInArrow(trimmed(run), "d1 bigint, d2 bigint, home bigint, shingles array<bigint>")
     found = found.join(wanted, ["d1", "d2", "home"])
     return materialize(found.dropDuplicates(["vid"]).select("vid", F.size("shingles").cast("bigint").alias("n"), "shingles"),
                        "whole_sets")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 ARROW_BATCH = "4m"       # bytes of an Arrow batch, where the session has left Spark's 64 MB
@@ -28,3 +33,23 @@ def reachable(spark: SparkSession) -> SparkSession:
     for name, value in FREEING.items():
         environment.setdefault(name, value)
     return spark
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`run` for mapInArrow; when a task is done, its worker, which Spark keeps for later tasks and stages, gives the
+    memory it has freed back to the system."""
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return whole
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
+    if trim:
+        trim(0)
