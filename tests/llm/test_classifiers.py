@@ -140,3 +140,29 @@ def test_grades_odd_rows(spark, make_docs):
     assert len(got) == len(ODD) and all(r.p_2 <= r.p_1 for r in got)
     model = quality_grades.fit(docs, rated.limit(0))
     assert quality_grades.predict(docs, model).count() == len(ODD)
+
+
+def test_a_repeated_id_gives_one_sample_row(spark):
+    from tidemark.llm.linear import one_per_id
+
+    rows = spark.range(6000, numPartitions=4).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 7 ELSE id END AS doc_id", "CASE WHEN id % 3 = 1 THEN 'same' ELSE concat('t', id) END AS text",
+        "1 AS label")
+    got = one_per_id(rows)
+    assert got.columns == rows.columns and got.count() == 2001
+    assert "partial_min" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_tables_and_no_language(spark, make_docs):
+    from tidemark.llm import language_id, quality_grades, toxicity
+
+    docs = make_docs([(i, "words of some kind here" if i else "123 --", None) for i in range(8)])
+    assert language_id.fit(docs) is None
+    assert sorted(r.doc_id for r in language_id.keep(docs, None).collect()) == list(range(1, 8))
+    none = docs.limit(0)
+    clash = none.withColumn("score", none.text).withColumn("label", none.doc_id).withColumn("grade", none.doc_id)
+    rated = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert language_id.keep(clash, None).columns == clash.columns
+    assert language_id.predict(clash, None).count() == 0
+    assert toxicity.predict(clash, toxicity.fit(clash, rated)).count() == 0
+    assert quality_grades.predict(clash, quality_grades.fit(clash, quality_grades.ratings(rated))).count() == 0

@@ -35,3 +35,19 @@ def test_run_is_the_stages(spark):
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     rows = out.orderBy("start").collect()
     assert rows[0].start == 0 and all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
+
+
+def test_empty_table_and_clashing_columns(spark, make_docs, tmp_path):
+    import corpus_pipeline
+
+    sf_dir = str(tmp_path)
+    extra = "doc_id long, text string, lang string, source string, n_chars long, vid long, label string, n_tokens string"
+    make_docs([], extra).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([("q", "one two three four five six seven eight nine ten")], "item_id string, text string").write.parquet(
+        f"{sf_dir}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, sf_dir)
+        assert got.count() == 0, name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == docs.columns, name

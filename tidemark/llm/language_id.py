@@ -18,8 +18,9 @@ most, drawn by hash.
 
 Odd cases: next to learned texts that are all alike any other text is odd; a text that is null or has no letter gets
 `und` and score 0; with no labelled rows every text does; with
-one language learned it is predicted with score 1; rows whose language is null are not learned from; repeated rows
-count as often as they occur.
+one language learned it is predicted with score 1; rows whose language is null are not learned from; of rows that
+share a doc_id one is learned from; an empty table gives no rows; columns other than id, text and language are not
+read, whatever their names (`keep` hands them through).
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import _LOWER, NON_SPACE, U64, buffers, mix, slices
-from tidemark.llm.linear import Rows, adam, crc_mod, sigmoid
+from tidemark.llm.linear import Rows, adam, crc_mod, one_per_id, sigmoid
+from tidemark.llm.workers import trimmed
 
 BITS = 15
 SAMPLE = 800             # labelled rows learned from, per language at most (by hash, about)
@@ -200,8 +202,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id").cast("string")), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1, sample / n) * (1 << 30)))])
-    drawn = rows.where(draw < F.try_element_at(share, F.col("lang")))
-    got = drawn.select("text", "lang").mapInArrow(_features, "lang string, index array<int>, value array<float>, n long")
+    drawn = one_per_id(rows.where(draw < F.try_element_at(share, F.col("lang"))))       # however many rows an id has
+    got = drawn.select("text", "lang").mapInArrow(trimmed(_features), "lang string, index array<int>, value array<float>, n long")
     table = got.toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     if not langs:
@@ -280,13 +282,16 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).alias("doc_id"), (crc_mod(id_col, SPLIT) == 0).alias("held_out"),
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(trimmed(run), f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
 def keep(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str = "text",
          oddest: float = np.inf) -> DataFrame:
     """The documents, all columns kept, whose language is determined with a score of `least` or more and which are at
-    most `oddest` units away from the learned texts."""
+    most `oddest` units away from the learned texts. Without a model (no row had a language) nothing tells a document
+    from the rest, and all with a letter stay."""
+    if model is None:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,4 +301,4 @@ def keep(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str
                 stays = [k != UNDETERMINED and s >= least and o <= oddest for k, s, o in zip(lang, score, odd)]
                 yield part.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -10,7 +10,8 @@ Results: `expected_grade` = sum of the tail probabilities, `p_1` ... `p_K` the t
 Ratings: `labels` grades a document 0 (poor), 1 (good but toxic), 2 (good and clean); of several ratings the lowest
 counts; a null rating is left out. Learned from rows whose crc32(doc_id) mod 5 is not 0, about `sample` of them, drawn
 by hash. A text without words has x = 0. With no ratings, or a single grade, every text gets that grade's rates.
-Scoring reads whole texts; repeated rows each get a row.
+Scoring reads whole texts; repeated rows each get a row, and of rows that share a doc_id one is learned from. An empty
+table gives no rows; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import _LOWER, GOLDEN, NON_SPACE, U64, buffers, mix, slices, words
-from tidemark.llm.linear import Rows, adam, bounded, crc_mod, sigmoid
+from tidemark.llm.linear import Rows, adam, bounded, crc_mod, one_per_id, sigmoid
+from tidemark.llm.workers import trimmed
 
 BITS = 16
 SAMPLE = 5000
@@ -98,9 +100,9 @@ def fit(docs: DataFrame, rated: DataFrame, grades: int = GRADES, id_col: str = "
     """`rated`: doc_id, grade (0 to grades - 1), a row per document."""
     drawn = bounded(rated.where(crc_mod("doc_id", SPLIT) != 0), "doc_id", sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # about `sample` ids: small enough to send to every task
-    got = (texts.join(F.broadcast(drawn), "doc_id").select("grade", "text")
-           .mapInArrow(_sample_rows, "grade int, index array<int>, value array<float>").toArrow())
+    # about `sample` ids, small enough to send to every task, and one text of each, however many rows an id has
+    got = (one_per_id(texts.join(F.broadcast(drawn), "doc_id")).select("grade", "text")
+           .mapInArrow(trimmed(_sample_rows), "grade int, index array<int>, value array<float>").toArrow())
     y = got.column("grade").to_numpy().astype(np.int64)
     size, n = 1 << BITS, max(len(y), 1)
     tails = np.array([((y >= k).sum() + 0.5) / (n + 1) for k in range(1, grades)])
@@ -153,6 +155,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), (crc_mod(id_col, SPLIT) == 0).alias("held_out"),
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, expected_grade double, "
+    scored = rows.mapInArrow(trimmed(run), f"doc_id {id_type}, held_out boolean, expected_grade double, "
                                   + ", ".join(f"{x} double" for x in names))
     return scored.withColumn("selected", F.col("p_1") >= cut)

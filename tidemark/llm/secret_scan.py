@@ -1,7 +1,7 @@
 """Operator 4, secret scans over a trigram inverted index.
 
 `build_index` writes postings (trigram, document key) of the lower-cased texts, for the trigrams that the rules ask
-for (a rule set fixes them; its digest names the index). Each rule's regex gives a Boolean trigram query
+for (a rule set fixes them; the index is made anew for every call). Each rule's regex gives a Boolean trigram query
 (`regex_trigrams.py`); postings are intersected by document, and only documents that satisfy a rule's query are read
 again and matched with its regex. Rules without a mandatory trigram scan all texts.
 

@@ -10,7 +10,8 @@ move the score, so neutral mentions stay unmarked.
 Learning: labelled documents whose crc32(doc_id) mod 3 is not 1, at most about `sample` of them. A document with
 several labels counts as toxic if any says so; null labels are left out. A text of a third kind of label or without
 labels at all scores the share of toxic rows (0 if there are none). Scoring reads whole texts; null and empty texts
-get the score of no features; repeated rows each get a row.
+get the score of no features; repeated rows each get a row, and of rows that share a doc_id one is learned from. An
+empty table gives no rows; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import _LOWER, ALPHANUMERIC, GOLDEN, U64, buffers, mix, slices, words
-from tidemark.llm.linear import Rows, adam, bounded, crc_mod, sigmoid
+from tidemark.llm.linear import Rows, adam, bounded, crc_mod, one_per_id, sigmoid
+from tidemark.llm.workers import trimmed
 
 BITS = 20
 SAMPLE = 10000           # labelled rows learned from
@@ -127,9 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     known = labelled(labels, label_col, id_col).where(F.col("label").isin(0, 1) & (crc_mod("doc_id", SPLIT) != HELD))
     drawn = bounded(known, "doc_id", sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # a row per document id at most, and about `sample` of them: small enough to send to every task
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("text", "label")
-    got = rows.mapInArrow(_sample_rows, "label int, own array<int>, swapped boolean, other array<int>").toArrow()
+    # about `sample` ids, small enough to send to every task, and one text of each, however many rows an id has
+    rows = one_per_id(texts.join(F.broadcast(drawn), "doc_id")).select("text", "label")
+    got = rows.mapInArrow(trimmed(_sample_rows), "label int, own array<int>, swapped boolean, other array<int>").toArrow()
     y = got.column("label").to_numpy().astype(np.float64)
     rate = float(y.mean()) if len(y) else 0.0
     if rate in (0.0, 1.0):
@@ -185,5 +187,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), (crc_mod(id_col, SPLIT) == HELD).alias("held_out"),
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double")
+    scored = rows.mapInArrow(trimmed(run), f"doc_id {id_type}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
