@@ -22,6 +22,7 @@ TEXTS = [
     "café au lait à l'été naïve", "é ́x < ̸", "a b　c d \u0085 e",
     "<|endoftext|> x<|endoftext|>y <|startoftext|>z < |endoftext|>", "1234 56 7 ٣٤ ²",
     "!!! *** ??", "\U0001f600 \U0001f468‍\U0001f469 text", "ab" * 3000, "word " * 4000, "x" + " " * 500 + "y",
+    "a.b,c;d:e!f?g\"h(i)j-k/l", "it's-that/'s('ll)\"'re don't.'s x.'s-'d (I'm)'m", "a.\u0338 b/\u0301c -\u0301a(\u0338b",
     "\x00\x01 \x7f", "中文 日本語 text", "İstanbul ΣΣ ẞ",
 ]
 
@@ -30,6 +31,19 @@ def whole(path, text):
     return LIBRARY[path].encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_pieces_end_at_marks(path):
+    import random
+
+    r = random.Random(6)
+    texts = ["".join(r.choice("ab'sltTLé1 .,;:!?\"()-/|<>_\u0301\u0338\n") for _ in range(r.randint(1, 40))) for _ in range(3000)]
+    encoder = pieces.Encoder(path)
+    assert encoder.marks
+    ids, counts = encoder.encode(pa.array(texts))
+    want = [whole(path, t) for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_pieces_equal_whole_texts(path):
     column = pa.array(TEXTS * 2, pa.string())

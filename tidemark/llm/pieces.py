@@ -7,12 +7,15 @@ Two kinds of tokenizer, told apart by their JSON:
 - white space dropped (a Split that removes what its pattern leaves out): every ASCII white space ends a piece;
 - byte-level with a leading space (" word"): a piece begins at a single space between two non-space characters
   (printable ASCII or U+00C0-U+00FF); a run of spaces and any other white space stays inside a piece.
-Special strings hold no white space, so cuts never fall into one.
+Both split runs of letters from runs of other signs, so a piece also ends between an ASCII letter and one of MARKS, on
+either side (no apostrophe: contractions; nothing that composes with a letter). Special strings hold neither white space
+nor MARKS (else there are no such cuts), so cuts never fall into one.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 from collections.abc import Iterator
@@ -24,13 +27,14 @@ import pyarrow.compute as pc
 from tidemark.llm.arrow_words import NON_SPACE, buffers
 
 SLICE = 2 << 20          # bytes of text encoded together
-KNOWN = 300_000          # distinct pieces that a Python worker remembers before it starts anew
+KNOWN = 6 << 20          # bytes of distinct pieces that a Python worker remembers before it starts anew
+MARKS = b'.,;:!?"()-/'
 BATCH = 1 << 18          # bytes of pieces given to the library at once (an encoding takes some hundred times that)
 
 
 @functools.lru_cache(maxsize=4)
 def load(path: str):
-    """(tokenizer, whether white space is dropped)."""
+    """(tokenizer, whether white space is dropped, whether pieces end at MARKS)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
@@ -42,7 +46,10 @@ def load(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return tokenizer, drops
+    letters_apart = any(k.get("type") == "ByteLevel" and k.get("use_regex")
+                        or "[\\p{L}]+" in str(k.get("pattern", {}).get("Regex")) for k in kinds.get("pretokenizers", [kinds]))
+    marks = letters_apart and not any(chr(m) in t["content"] for t in described["added_tokens"] for m in MARKS)
+    return tokenizer, drops, marks
 
 
 _PRINTABLE = np.zeros(256, dtype=bool)
@@ -51,19 +58,30 @@ _TRAILING = np.zeros(256, dtype=bool)
 _TRAILING[0x80:0xC0] = True
 
 
-def cuts(data: np.ndarray, drops: bool) -> np.ndarray:
-    """Places (byte indexes over 0) at which a piece may begin."""
+_LETTER, _MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_MARK[[*MARKS]] = True
+
+
+def cuts(data: np.ndarray, drops: bool, marks: bool = False) -> np.ndarray:
+    """Whether a piece may begin at each byte."""
+    begins = np.zeros(len(data), dtype=bool)
     if len(data) < 3:
-        return np.zeros(0, np.int64)
+        return begins
     if drops:
         solid = NON_SPACE[data]
-        return np.flatnonzero(solid[1:] & ~solid[:-1]) + 1
-    space = data == 0x20
-    space[[0, -1]] = False
-    at = np.flatnonzero(space)
-    before, after = data[at - 1], data[at + 1]
-    wide_before = _TRAILING[before] & (data[np.maximum(at - 2, 0)] == 0xC3)
-    return at[(_PRINTABLE[before] | wide_before) & (_PRINTABLE[after] | (after == 0xC3))]
+        begins[1:] = solid[1:] & ~solid[:-1]
+    else:
+        space = data == 0x20
+        space[[0, -1]] = False
+        at = np.flatnonzero(space)
+        before, after = data[at - 1], data[at + 1]
+        wide_before = _TRAILING[before] & (data[np.maximum(at - 2, 0)] == 0xC3)
+        begins[at[(_PRINTABLE[before] | wide_before) & (_PRINTABLE[after] | (after == 0xC3))]] = True
+    if marks:
+        letter, mark = _LETTER[data], _MARK[data]
+        begins[1:] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    return begins
 
 
 @functools.lru_cache(maxsize=2)
@@ -76,7 +94,7 @@ class Encoder:
     """Ids or lengths of the texts of slices."""
 
     def __init__(self, path: str, lengths_only: bool = False):
-        self.tokenizer, self.drops = load(path)
+        self.tokenizer, self.drops, self.marks = load(path)
         self.lengths_only = lengths_only
         self._forget()
 
@@ -98,7 +116,7 @@ class Encoder:
             else:
                 own = [e.ids for e in encoded]
                 lengths.extend(map(len, own))
-                ids.append(np.fromiter((i for x in own for i in x), np.uint32))
+                ids.append(np.fromiter(itertools.chain.from_iterable(own), np.uint32, sum(map(len, own))))
             at = to
         return np.array(lengths, np.int64), ids
 
@@ -107,8 +125,7 @@ class Encoder:
         data, offsets = buffers(column)
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        border = np.zeros(len(data), dtype=bool)
-        border[cuts(data, self.drops)] = True
+        border = cuts(data, self.drops, self.marks)
         border[offsets[:-1][offsets[:-1] < len(data)]] = True
         begin = np.flatnonzero(border)
         edges = np.append(begin, len(data)).astype(np.int64)
@@ -116,7 +133,7 @@ class Encoder:
                                         [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
         coded = strings.dictionary_encode()
         distinct = coded.dictionary.cast(pa.string())
-        if len(self.known) > KNOWN:
+        if self.known.nbytes > KNOWN:
             self._forget()
         where = pc.index_in(distinct, self.known)
         new = distinct.filter(pc.is_null(where))

@@ -2,7 +2,8 @@
 
 Slices of batches hold equal bytes, and texts are split at safe boundaries (see `pieces.py`), so neither a long text
 nor a run of long rows decides a task's memory. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows each get
-their own row; columns other than the id and the text are not read. No shuffle.
+their own row; columns other than the id and the text are not read. A text without a safe boundary is one piece, encoded
+whole: its encoding takes some hundred times its bytes. An empty table gives no rows. No shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import by_bytes, encoder
+from tidemark.llm.workers import trimmed
 
 LIMIT = 2048             # tokens over which a document is marked
 
@@ -31,5 +33,5 @@ def count(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
+    counted = rows.mapInArrow(trimmed(run), f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

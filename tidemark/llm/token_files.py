@@ -13,7 +13,9 @@ The container is Parquet with binary columns, since Spark can commit, retry and
 document is its segment's start (a prefix sum over segment sizes) plus `select` on `ends`.
 
 Odd cases: a null text is empty (its document is the end id alone); rows of one doc_id stand in the order of their
-text's hash, then text; repeated rows are written each; columns other than the id and the text are not read.
+text's hash, then text; repeated rows are written each; columns other than the id and the text are not read; an empty
+table gives no segment and no rows. A segment holds whole documents, so a single text of over 2 GB of ids (2**30 at two
+bytes) does not fit into its binary column and fails the job.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import elias_fano
 from tidemark.llm.pieces import by_bytes, encoder
+from tidemark.llm.workers import trimmed
 from tidemark.session import scratch_path
 
 SEGMENT = 1 << 21        # ids after which a segment is closed
@@ -85,7 +88,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    ordered.select("doc_id", "text").mapInArrow(run, SCHEMA).write.parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(trimmed(run), SCHEMA).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -118,7 +121,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                      pa.array(begins), pa.array(ends - begins), pa.array(crc)],
                     names=["shard", "segment", "doc_id", "offset", "n_tokens", "ids_crc32"])
 
-    rows = table.mapInArrow(run, "shard int, segment int, doc_id bigint, offset bigint, n_tokens bigint, "
+    rows = table.mapInArrow(trimmed(run), "shard int, segment int, doc_id bigint, offset bigint, n_tokens bigint, "
                                  "ids_crc32 bigint")
     return (rows.join(starts, ["shard", "segment"])
             .select("doc_id", (F.col("segment_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"))
