@@ -9,9 +9,9 @@ its piece: the count of a phrase is that of the windows below its node in the tr
    pair, is burst over several leaves by its next words. The cuts only decide the balance, never a count.
 2. Containers. A task keeps a container of counted windows per language and leaf: sorted blocks, in which equal windows
    are one entry. A container of over BURST entries merges its blocks, so repeated windows collapse. When a task holds
-   over LIMIT entries, its largest containers are spilled whole, as sorted runs, until half is left.
+   over LIMIT entries, its largest containers are spilled whole, each as one sorted run, until half is left.
 3. Merge. The runs (compressed columns of word ids and counts) go to the task of their leaf in one exchange and are merged
-   there; counts of prefixes of two to four words follow from the sorted windows. A prefix that a cut passes through is
+   there; counts of prefixes of one to four words follow from the sorted windows. A prefix that a cut passes through is
    counted on both sides, so every leaf also returns the prefixes of its first and last window, whatever their count,
    and a small aggregation adds these up. All others are final in their leaf, and those below LEAST end there.
 4. Scores. Every candidate is cut after each word and looks up both parts; candidates inside a longer one of nearly
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_words import _LOWER, U64, buffers, slices, words
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 LEAST = 30               # occurrences of a candidate
@@ -160,6 +161,22 @@ def merged(blocks: list[Block]) -> Block:
     return Block(names, ids, count)
 
 
+def merged_runs(runs: list[bytes]) -> Block:
+    """`merged` of packed blocks, of which one is unpacked at a time."""
+    names = np.unique(np.concatenate([Block.unpacked(r).names for r in runs]))
+    columns, counts = [[] for _ in range(LONGEST)], []
+    while runs:
+        block = Block.unpacked(runs.pop())
+        place = np.concatenate([[0], np.searchsorted(names, block.names) + 1]).astype(np.uint32)
+        for column, own in zip(columns, block.ids):
+            column.append(place[own])
+        counts.append(block.count.astype(np.uint32 if block.count.max(initial=0) < 1 << 32 else np.int64))
+    for i in range(LONGEST):
+        columns[i] = np.concatenate(columns[i])
+    ids, count = _counted(columns, np.concatenate(counts).astype(np.int64), len(names))
+    return Block(names, ids, count)
+
+
 class Trie:
     """Containers of counted windows by (language, leaf)."""
 
@@ -187,11 +204,11 @@ class Trie:
                 return
             blocks = self.held.pop((lang, leaf))
             self.size -= sum(map(len, blocks))
-            for block in blocks:
-                yield lang, leaf, block.packed()
+            yield lang, leaf, merged(blocks).packed()
 
 
-RUNS = "lang string, lang_id bigint, word_id bigint, word string, n bigint, leaf int, run binary"
+RUNS = "word_id bigint, word string, lang_id bigint, leaf int, run binary"
+KNOWN = 1 << 22          # word ids whose spelling a task remembers having given
 
 
 def _spellings(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Array:
@@ -202,9 +219,9 @@ def _spellings(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Array:
 
 
 def _runs(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
-    """Word counts (lang, lang_id, word_id, word, n) and sorted runs (lang_id, leaf, run) in one pass over the texts."""
+    """Spellings (word_id, word; about once a task) and sorted runs (lang_id, leaf, run) in one pass over the texts."""
     names = [c.split()[0] for c in RUNS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
 
     def frame(length: int, /, **known) -> pa.RecordBatch:
         of = lambda v, t: v if isinstance(v, pa.Array) else pa.array(v, t)
@@ -212,20 +229,20 @@ def _runs(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
             [of(known[c], t) if c in known else pa.nulls(length, t) for c, t in zip(names, kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(cuts)
+        trie, spelled = Trie(cuts), np.zeros(0, U64)
         for batch in batches:
             for part in slices(batch, "text"):
                 lang_of = part.column("lang_id").to_numpy(zero_copy_only=False)
-                spelled = part.column("lang").to_pylist()
                 h, doc, s, e, data, same = _cut(part)
                 for lang in np.unique(lang_of):
                     mine = np.flatnonzero(lang_of[doc] == lang)
                     if not len(mine):
                         continue
-                    found, first, inverse, n = np.unique(h[mine], return_index=True, return_inverse=True, return_counts=True)
-                    yield frame(len(found), lang=[spelled[doc[mine[0]]]] * len(found), lang_id=np.full(len(found), lang),
-                                word_id=found.view(np.int64), word=_spellings(data, s[mine[first]], e[mine[first]]),
-                                n=n.astype(np.int64))
+                    found, first, inverse = np.unique(h[mine], return_index=True, return_inverse=True)
+                    new = ~np.isin(found, spelled, assume_unique=True)
+                    yield frame(int(new.sum()), word_id=found[new].view(np.int64),
+                                word=_spellings(data, s[mine[first[new]]], e[mine[first[new]]]))
+                    spelled = np.union1d(spelled if len(spelled) < KNOWN else spelled[:0], found)
                     windows = _columns((inverse + 1).astype(np.uint32), same[mine])
                     ids, count = _counted(windows, None, len(found))
                     trie.insert(int(lang), Block(found, ids, count))
@@ -237,7 +254,7 @@ def _runs(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
         for lang, leaf, blob in trie.spilled(left):
             yield frame(1, lang_id=[lang], leaf=[leaf], run=[blob])
 
-    return rows.select("text", "lang", "lang_id").mapInArrow(run, RUNS)
+    return rows.select("text", "lang_id").mapInArrow(trimmed(run), RUNS)
 
 
 def _leaf_cuts(rows: DataFrame, leaves: int) -> list[tuple]:
@@ -258,7 +275,7 @@ def _leaf_cuts(rows: DataFrame, leaves: int) -> list[tuple]:
                 yield pa.RecordBatch.from_arrays([lang, *(pa.array(c[at].view(np.int64)) for c in columns)],
                                                  names=["lang_id", *IDS])
 
-    found = some.select("text", "lang_id").mapInArrow(run, "lang_id bigint, " + ", ".join(f"{w} bigint" for w in IDS)).collect()
+    found = some.select("text", "lang_id").mapInArrow(trimmed(run), "lang_id bigint, " + ", ".join(f"{w} bigint" for w in IDS)).collect()
     mask = (1 << 64) - 1
     found = sorted((r[0], *(x & mask for x in r[1:])) for r in found)
     picked = [found[i * len(found) // leaves] for i in range(1, leaves)] if found else []
@@ -266,16 +283,18 @@ def _leaf_cuts(rows: DataFrame, leaves: int) -> list[tuple]:
 
 
 def _phrase_counts(runs: DataFrame, leaves: int) -> DataFrame:
-    """lang_id, w1..w4 (0: none) and f of the phrases of two to LONGEST words with f >= LEAST."""
+    """lang_id, w1..w4 (0: none) and f of the phrases of one to LONGEST words with f >= LEAST, and of the empty phrase,
+    whose f is the number of words."""
     out = ["lang_id", *IDS, "f"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[Block]] = {}
+        held: dict[int, list[bytes]] = {}               # packed, until their language's turn
         for batch in batches:
             for lang, blob in zip(batch.column("lang_id").to_pylist(), batch.column("run")):
-                held.setdefault(lang, []).append(Block.unpacked(blob.as_py()))
+                held.setdefault(lang, []).append(blob.as_py())
         for lang in sorted(held):
-            block = merged(held.pop(lang))
+            block = merged_runs(held.pop(lang))
+            yield frame(lang, np.zeros((LONGEST, 1), np.int64), block.count.sum(keepdims=True))
             new = np.zeros(len(block), bool)
             new[0] = True
             for d in range(LONGEST):
@@ -286,15 +305,16 @@ def _phrase_counts(runs: DataFrame, leaves: int) -> DataFrame:
                 keep[[0, -1]] = True                           # a cut may pass through the first and the last
                 keep &= block.ids[d][at] > 0
                 at, f = at[keep], f[keep]
-                if d and len(at):
-                    names = np.concatenate([[U64(0)], block.names])
-                    cols = [names[block.ids[i][at]].view(np.int64) if i <= d else np.zeros(len(at), np.int64)
-                            for i in range(LONGEST)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), lang)), *map(pa.array, cols), pa.array(f)], names=out)
+                names = np.concatenate([[U64(0)], block.names])
+                yield frame(lang, [names[block.ids[i][at]].view(np.int64) if i <= d else np.zeros(len(at), np.int64)
+                                   for i in range(LONGEST)], f)
+
+    def frame(lang: int, columns, f: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(f), lang)), *map(pa.array, columns), pa.array(f)], names=out)
 
     parts = runs.where("leaf is not null").select("leaf", "lang_id", "run").repartitionById(leaves, F.col("leaf"))
-    found = parts.select("lang_id", "run").mapInArrow(run, ", ".join(f"{c} bigint" for c in out))
-    return found.groupBy("lang_id", *IDS).agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST)
+    found = parts.select("lang_id", "run").mapInArrow(trimmed(run), ", ".join(f"{c} bigint" for c in out))
+    return found.groupBy("lang_id", *IDS).agg(F.sum("f").alias("f")).where((F.col("f") >= LEAST) | (F.col("w1") == 0))
 
 
 # ---- scores --------------------------------------------------------------------------------------------------------
@@ -327,9 +347,8 @@ def _scored(phrases: DataFrame, singles: DataFrame) -> DataFrame:
     asked = phrases.select("lang_id", *[F.col(w).alias(f"c{w}") for w in IDS], "len", F.col("f").alias("a"), F.explode(parts).alias("p"))
     asked = asked.select("lang_id", *[f"c{w}" for w in IDS], "len", "a", "p.k", "p.side",
                          *[F.col(f"p.x{i + 1}").alias(w) for i, w in enumerate(IDS)])
-    known = phrases.select(*keys, F.col("f").alias("part_f")).unionByName(singles.select(
-        "lang_id", F.col("word_id").alias("w1"), *[F.lit(0).cast("bigint").alias(w) for w in IDS[1:]], F.col("n").alias("part_f")))
-    met = _lookup(materialize(asked, "cuts"), materialize(known, "known"), keys)
+    known = phrases.unionByName(singles).select(*keys, F.col("f").alias("part_f"))
+    met = _lookup(materialize(asked, "cuts"), known, keys)
     f = lambda k, side: F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("part_f")))
     wide = met.groupBy("lang_id", *[F.col(f"c{w}").alias(w) for w in IDS], "len", "a").agg(
         *[f(k, side).alias(f"{name}{k}") for k in range(1, LONGEST) for side, name in ((0, "l"), (1, "r"))])
@@ -351,12 +370,13 @@ def _without_inner(scored: DataFrame, phrases: DataFrame) -> DataFrame:
     return met.where(F.col("longer").isNull() | (100 * F.col("longer") < INSIDE * F.col("a"))).drop("longer")
 
 
-def _named(kept: DataFrame, singles: DataFrame) -> DataFrame:
+def _named(kept: DataFrame, spellings: DataFrame) -> DataFrame:
     """The candidates with their phrase as text."""
     keys = ["lang_id", *IDS]
     word = F.posexplode(F.filter(F.array(*IDS), lambda w: w != 0)).alias("pos", "word_id")
     asked = materialize(kept.select(*keys, word), "phrase_words")
-    spelled = _lookup(asked, singles.select("lang_id", "word_id", "word"), ["lang_id", "word_id"])
+    few = spellings.join(asked.select("word_id").distinct(), "word_id").dropDuplicates(["word_id"])
+    spelled = _lookup(asked, materialize(few, "spelled"), ["word_id"])
     at = lambda i: F.max(F.when(F.col("pos") == i, F.col("word")))
     phrase = spelled.groupBy(*keys).agg(F.concat_ws(" ", *[at(i) for i in range(LONGEST)]).alias("phrase"))
     return kept.join(phrase, keys)
@@ -367,19 +387,19 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: i
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
     rows = rows.withColumns({"lang_id": F.xxhash64("lang"), "mark": F.monotonically_increasing_id()})
-    leaves = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    leaves = 3 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))     # small enough to merge in memory
     runs = materialize(_runs(rows, _leaf_cuts(rows, leaves)), "runs")
-    single = runs.where("leaf is null").groupBy("lang", "lang_id", "word_id", "word").agg(F.sum("n").alias("n"))
-    single = materialize(single, "words")
-    total = single.groupBy("lang", "lang_id").agg(F.sum("n").alias("total"))
-    singles = single.where(F.col("n") >= LEAST)
     size = sum((F.when(F.col(w) != 0, 1).otherwise(0) for w in IDS), F.lit(0))
-    phrases = materialize(_phrase_counts(runs, leaves).withColumn("len", size), "phrases")
+    counts = materialize(_phrase_counts(runs, leaves).withColumn("len", size), "counts")
+    phrases, singles = counts.where("len > 1"), counts.where("len = 1")
+    langs = rows.groupBy("lang", "lang_id").agg(F.count("*").alias("texts")).select("lang", "lang_id")
+    total = counts.where("len = 0").select("lang_id", F.col("f").alias("total")).join(langs, "lang_id")
     kept = materialize(_without_inner(_scored(phrases, singles), phrases), "kept")
     share = F.pmod(F.xxhash64(*IDS), F.lit(SALTS))
     best = [F.desc("score"), F.desc("a")]
     high = kept.withColumn("share", share).withColumn("rank", F.rank().over(Window.partitionBy("lang_id", "share").orderBy(*best)))
-    named = _named(materialize(high.where(F.col("rank") <= top).drop("rank"), "high"), singles)
+    named = _named(materialize(high.where(F.col("rank") <= top).drop("rank"), "high"),
+                   runs.where("word_id is not null").select("word_id", "word"))
     order = [*best, "phrase"]
     first = named.withColumn("rank", F.row_number().over(Window.partitionBy("lang_id", "share").orderBy(*order))).where(F.col("rank") <= top)
     last = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang_id").orderBy(*order))).where(F.col("rank") <= top)
