@@ -40,9 +40,10 @@ def brute(rows, words=2, percent=80):
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
 
-@pytest.mark.parametrize("seed,large", [(1, 64), (2, 4)])
+@pytest.mark.parametrize("seed,large", [(1, 64), (2, 2)])
 def test_equals_brute_force(spark, make_docs, monkeypatch, seed, large):
     monkeypatch.setattr(odd_sketch, "LARGE", large)
+    monkeypatch.setattr(odd_sketch, "BLOCK", 16)
     rows = corpus(seed)
     got = odd_sketch.join(make_docs(rows)).select(*COLUMNS).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
@@ -66,6 +67,28 @@ def test_template_group_does_not_link(spark, make_docs):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_blocks_find_the_pairs_that_pass():
+    r = np.random.default_rng(2)
+    label, n = r.integers(0, 4, 300), r.integers(80, 110, 300)
+    base = r.integers(0, 1 << 62, 16).astype(np.uint64)
+    sketch = np.tile(base, (300, 1))
+    for row in sketch:
+        for bit in r.choice(1024, r.integers(0, 90), replace=False):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    own = r.integers(0, 3, 300)
+    near = lambda i, j: (label[i] != label[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
+                         and int(np.bitwise_count(sketch[i] ^ sketch[j]).sum()) <= odd_sketch.MOST)
+    got = set()
+    for first in range(3):
+        for second in range(first, 3):
+            mine = np.flatnonzero((own == first) | (own == second))
+            a, b = odd_sketch._near_within(own[mine], first, second, label[mine], n[mine], sketch[mine])
+            pairs = {tuple(sorted((int(mine[i]), int(mine[j])))) for i, j in zip(a, b)}
+            assert not pairs & got
+            got |= pairs
+    assert got == {(i, j) for i in range(300) for j in range(i + 1, 300) if near(i, j)} and got
+
+
 def test_sketch_counts_bound_and_follow_the_similarity():
     r = np.random.default_rng(1)
     for share, least, most in ((0.95, 0, 60), (0.8, 10, odd_sketch.MOST), (0.3, odd_sketch.MOST, 2 * 128)):

@@ -13,14 +13,17 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
    so a large group of near copies costs pairs in proportion to its size. Candidates pass the odd sketch if the count is
    at most MOST bits: a pair at 0.8 exceeds that (56 of 128 samples differing, 25.6 expected) once in 1e8. What passes is
    checked on the whole sets; links give components.
-4. Rest. In a bucket that still holds several components, classes outside its largest one meet all classes of other
-   components. Buckets of over LARGE classes (texts that share a template but do not link) are cut finer first, by
-   pairs of such buckets that a class is in: a pair must share two bands, or one smaller bucket, which a pair at 0.8
-   misses once in 1e6. Pairs already compared are left out.
+4. Rest. In a bucket that still holds several components, classes of different components are compared: in buckets of up
+   to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (texts that
+   share a template) by blocks. A large bucket is dealt into blocks of about BLOCK classes, every two blocks meet in a
+   task, and their sketches are compared as a matrix: only pairs that pass the sketch become rows. The comparisons of a
+   bucket grow with the square of its size, a few nanoseconds each, its rows by its size times its blocks. Pairs already
+   compared are left out.
 5. Every link is confirmed on the whole sets; components of all links by contraction (`components.py`).
 
-Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches (128 bytes) of candidate pairs, and whole sets of
-classes that pass the sketch. No pair of classes already in one component is ever made, but for the pivots.
+Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches (128 bytes) of classes in candidate pairs or mixed
+large buckets, and whole sets of classes that pass the sketch. No pair of classes already in one component is ever made,
+but for the pivots.
 
 Odd cases: null and word-less texts have an empty set, link with nothing and are their own component; a text of one word
 has that word as its one shingle; rows of equal sets are in one component; repeated rows each get a row; rows without a
@@ -40,6 +43,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import shingles
 from tidemark.llm.arrow_words import GOLDEN, U64, mix
 from tidemark.llm.components import components
+from tidemark.llm.workers import trimmed
 from tidemark.session import materialize
 
 WORDS, PERCENT = 2, 80
@@ -47,7 +51,8 @@ SAMPLES, BAND = 128, 4
 BANDS = SAMPLES // BAND
 BITS = 1024              # of an odd sketch
 MOST = 110               # differing bits of a candidate, at most
-LARGE = 64               # classes of a bucket that is cut finer
+LARGE = 8                # classes of a bucket over which it is compared by blocks
+BLOCK = 512              # classes of a block
 ROWS = 2048              # sets whose sketches are built together
 
 _SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=U64) * GOLDEN)
@@ -106,7 +111,7 @@ def _signatures(rows: DataFrame) -> DataFrame:
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "text", "home").mapInArrow(
-        run, f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, bands array<bigint>, sketch array<bigint>")
+        trimmed(run), f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, bands array<bigint>, sketch array<bigint>")
 
 
 # ---- candidates ----------------------------------------------------------------------------------------------------
@@ -155,18 +160,67 @@ def _cross_pairs(rows: DataFrame, key: str) -> DataFrame:
     return met.select(*_ordered("vid", "other")).distinct()
 
 
-def _rest_pairs(cells: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket, or two buckets if these are large."""
+def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of two blocks (or of one) in different components, near in size and by their sketches."""
+    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+    found = [(np.zeros(0, np.int64),) * 2]
+    for at in range(0, len(left), 64):
+        x = left[at: at + 64]
+        most = np.maximum(n[x][:, None], n[right])
+        fits = (label[x][:, None] != label[right]) & (100 * np.minimum(n[x][:, None], n[right]) >= PERCENT * most)
+        if first == second:
+            fits &= x[:, None] < right
+        i, j = np.nonzero(fits)
+        for part in range(0, len(i), 1 << 16):
+            a, b = x[i[part: part + (1 << 16)]], right[j[part: part + (1 << 16)]]
+            near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64) <= MOST
+            found.append((a[near], b[near]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of large buckets (rows: band, vid, label, size) that pass the sketch, by blocks."""
+    columns = ["vid", "label", "n", "own"]
+    rows = rows.join(classes.select("vid", "n", "sketch"), "vid")
+    blocks = shingles.ceil_div(F.col("size"), BLOCK)
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("vid", "band"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.select("band", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), *columns, "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None                                   # the rows of the last block pair, which may go on
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if table.num_rows:
+                keys = np.stack([table.column(c).to_numpy() for c in ("band", "first", "second")])
+                cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+                yield from compared(table, keys, [0, *cuts.tolist()])
+                held = table.slice(int(cuts[-1]) if len(cuts) else 0)
+        if held is not None:
+            keys = np.stack([held.column(c).to_numpy() for c in ("band", "first", "second")])
+            yield from compared(held, keys, [0, held.num_rows])
+
+    def compared(table: pa.Table, keys: np.ndarray, cuts: list[int]) -> Iterator[pa.RecordBatch]:
+        vid, label, n, own = (table.column(c).to_numpy() for c in columns)
+        flat = table.column("sketch").combine_chunks()
+        sketch = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64).view(U64)
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            to = slice(low, high)
+            a, b = _near_within(own[to], keys[1, low], keys[2, low], label[to], n[to], sketch[to])
+            a, b = vid[to][a], vid[to][b]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    met = rows.repartition("band", "first", "second").sortWithinPartitions("band", "first", "second")
+    return met.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
+
+
+def _rest_pairs(cells: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket."""
     named = cells.join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
     rows = materialize(_several(named, "band"), "mixed_buckets")
-    large = rows.where(F.col("size") > LARGE)
-    of = F.sort_array(F.collect_list("band"))
-    twice = F.flatten(F.transform(F.col("of"), lambda x, i: F.transform(
-        F.slice("of", i + 2, F.size("of")), lambda y: F.xxhash64(x, y))))
-    finer = large.groupBy("vid", "label").agg(of.alias("of")).where(F.size("of") > 1)
-    finer = _several(finer.select("vid", "label", F.explode(twice).alias("both")), "both")
-    pairs = _cross_pairs(rows.where(F.col("size") <= LARGE), "band").unionByName(_cross_pairs(finer, "both")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    small = _cross_pairs(rows.where(F.col("size") <= LARGE), "band")
+    large = _block_pairs(rows.where(F.col("size") > LARGE).select("band", "vid", "label", "size"), classes)
+    return small.unionByName(large).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -186,7 +240,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     tried = materialize(_pivot_pairs(cells), "pivot_pairs")
     links = _confirmed(tried, rows, classes)
     labels = components(links).withColumnRenamed("v", "vid")
-    rest = materialize(_rest_pairs(cells, labels, tried), "rest_pairs")
+    rest = materialize(_rest_pairs(cells, classes, labels, tried), "rest_pairs")
     if not rest.isEmpty():
         links = links.unionByName(_confirmed(rest, rows, classes))
         labels = components(links).withColumnRenamed("v", "vid")
