@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -139,3 +140,22 @@ def test_token_files_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
     assert sorted(map(tuple, token_files.write_and_read(docs, BYTES, 2).collect())) == expected_files(rows, 2)
+
+
+def test_new_pieces_go_to_the_library_in_few_strings():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder, r = pieces.Encoder(path), random.Random(4)
+    given, library = [], coder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, strings, **options):
+            given.append(len(strings))
+            return library.encode_batch_fast(strings, **options)
+
+    word = lambda: "".join(r.choice("abcdeéÉß×'<|>*19") for _ in range(r.randint(1, 9)))
+    texts = [" ".join(word() for _ in range(300)) for _ in range(20)] + ["", " a", "a <|endoftext|> b", "\u00a0 x y z\u00e9 z"]
+    coder.tokenizer = Counting()
+    ids, counts = coder.encode(pa.array(texts))
+    whole = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == [i for own in whole for i in own] and counts.tolist() == [len(own) for own in whole]
+    assert sum(given) < 200
