@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import elias_fano, pieces, token_counts, token_files
+from tidemark.llm import arrow_words, elias_fano, pieces, token_counts, token_files, workers
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 LIBRARY = {p: Tokenizer.from_file(p) for p in (WORDS, BYTES)}
@@ -159,3 +159,7 @@ def test_new_pieces_go_to_the_library_in_few_strings():
     whole = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for own in whole for i in own] and counts.tolist() == [len(own) for own in whole]
     assert sum(given) < 200
+
+
+def test_worker_slices_are_small():
+    assert arrow_words.SLICE <= 1 << 20 and arrow_words.CHUNK < arrow_words.SLICE and workers.ARROW_BATCH == "2m"

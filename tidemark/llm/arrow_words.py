@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21          # bytes hashed at once
-SLICE = 1 << 22          # bytes of text per slice of a record batch (at least one row)
+CHUNK = 1 << 19          # bytes hashed at once
+SLICE = 1 << 20          # bytes of text per slice of a record batch (at least one row)
 
 U64 = np.uint64
 

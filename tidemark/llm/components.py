@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
         number += 1
         near = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = near.unionByName(near.select("a", F.col("a").alias("b")))
-        first = F.min_by("b", F.xxhash64(F.lit(number), F.col("b")))
+        first = F.min_by("b", F.xxhash64(F.lit(str(number)), F.col("b")))     # a text, so rounds share their code
         joins = materialize(near.groupBy("a").agg(first.alias("to")).where("to != a"), "joins")
         to = lambda c: joins.select(F.col("a").alias(c), F.col("to").alias(f"{c}_to"))
         renamed = edges.join(to("a"), "a", "left").join(to("b"), "b", "left").select(
