@@ -102,3 +102,22 @@ def test_sketch_counts_bound_and_follow_the_similarity():
         samples = int((low[:, 0] != low[:, 1]).sum())
         assert differ <= 2 * samples and abs(samples / 128 - (1 - share)) < 0.17
         assert least <= differ <= most
+
+
+def test_parities_drop_pairs_that_cannot_link_and_keep_those_that_do():
+    r = np.random.default_rng(3)
+    for n, both in ((300, 267), (300, 268), (1200, 1067), (300, 225), (900, 690)):
+        common = mix(r.integers(0, 1 << 62, both).astype(np.uint64))
+        x, y = (np.concatenate([common, mix(r.integers(0, 1 << 62, n - both).astype(np.uint64))]) for _ in range(2))
+        parity = odd_sketch.parities(np.concatenate([x, y]).view(np.int64), np.array([0, n])).view(np.uint64)
+        allowed = odd_sketch._allowed(np.array([n, n]), parity, np.array([0]), np.array([1]))
+        assert allowed.tolist() == [100 * both >= 80 * (2 * n - both)]
+
+
+def test_pivot_pairs_of_a_large_group_are_few_a_class(spark):
+    r = random.Random(6)
+    cells = [(vid, band, r.randrange(3)) for vid in r.sample(range(10 ** 6), 200) for band in range(32)]
+    cells = spark.createDataFrame([(vid, 10 * band + part) for vid, band, part in cells], "vid long, band long")
+    pairs = odd_sketch._pivot_pairs(cells).collect()
+    assert 200 <= len(pairs) <= odd_sketch.PIVOTS * 200
+    assert len({v for p in pairs for v in p}) == 200

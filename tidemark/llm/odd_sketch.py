@@ -6,12 +6,15 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
 1. One pass over the texts: SAMPLES minima of keyed hashes of each set; BANDS bands of BAND minima each, hashed; and the
    odd sketch, BITS parity bits: every sample (its number and minimum) flips the bit that its hash names. Two sketches
    differ in at most two bits for every sample in which the sets differ, so the population count of their exclusive-or
-   is a lower bound on twice the number of differing samples, and a sharp one: few samples collide in a bit.
+   is a lower bound on twice the number of differing samples, and a sharp one: few samples collide in a bit. Likewise the
+   set's own parity, where every shingle flips a bit: it differs in at most as many bits as shingles are in one set only,
+   and two linked sets have at most a ninth of n + m of those, so this second bound loses no link.
 2. Bands. Classes of one band value are a bucket. At a similarity of 0.8 a pair shares a band with probability
    1 - (1 - 0.8**4)**32, all but 5e-8; more similar pairs are surer.
-3. Pivots. Every class of a bucket is paired with the bucket's smallest and largest class number (numbers are random),
-   so a large group of near copies costs pairs in proportion to its size. Candidates pass the odd sketch if the count is
-   at most MOST bits: a pair at 0.8 exceeds that (56 of 128 samples differing, 25.6 expected) once in 1e8. What passes is
+3. Pivots. A bucket's pivots are its smallest and largest class number (numbers are random); every class is paired with
+   the PIVOTS of its buckets' pivots that it shares most bands with, so a large group of near copies costs a few pairs a
+   class. Candidates pass the odd sketch if the count is
+   at most MOST bits: a pair at 0.8 exceeds that (56 of 128 samples differing, 25.6 expected) once in 1e8, and if the parities allow it. What passes is
    checked on the whole sets; links give components.
 4. Rest. In a bucket that still holds several components, classes of different components are compared: in buckets of up
    to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (texts that
@@ -21,7 +24,7 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
    compared are left out.
 5. Every link is confirmed on the whole sets; components of all links by contraction (`components.py`).
 
-Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches (128 bytes) of classes in candidate pairs or mixed
+Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches and parities (128 bytes each) of classes in candidate pairs or mixed
 large buckets, and whole sets of classes that pass the sketch. No pair of classes already in one component is ever made,
 but for the pivots.
 
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import shingles
@@ -51,6 +54,7 @@ SAMPLES, BAND = 128, 4
 BANDS = SAMPLES // BAND
 BITS = 1024              # of an odd sketch
 MOST = 110               # differing bits of a candidate, at most
+PIVOTS = 4               # of a class
 LARGE = 8                # classes of a bucket over which it is compared by blocks
 BLOCK = 512              # classes of a block
 ROWS = 2048              # sets whose sketches are built together
@@ -83,8 +87,16 @@ def odd_sketches(least: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8).reshape(n, BITS), axis=1).view(np.int64)
 
 
+def parities(g: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(set, word of 64 bits): the parity of the shingles that fall on each bit; sets as in `minima`."""
+    own = np.repeat(np.arange(len(first)), np.diff(first, append=len(g)))
+    place = (mix(g.view(U64) ^ _SEEDS[0]) >> U64(64 - (BITS.bit_length() - 1))).astype(np.int64)
+    flips = np.bincount(place + own * BITS, minlength=len(first) * BITS)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(-1, BITS), axis=1).view(np.int64)
+
+
 def _signatures(rows: DataFrame) -> DataFrame:
-    """doc_id, n, d1, d2, home, bands and sketch of every row (the last two null for an empty set)."""
+    """doc_id, n, d1, d2, home, bands, sketch and parity of every row (the last three null for an empty set)."""
     def listed(values: np.ndarray) -> pa.Array:
         n, width = values.shape
         return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(values.ravel()))
@@ -98,20 +110,24 @@ def _signatures(rows: DataFrame) -> DataFrame:
     def signed(part, n, d1, d2, first, g, own) -> pa.RecordBatch:
         some = n[own] > 0
         bands, sketch = np.zeros((0, BANDS), np.int64), np.zeros((0, BITS // 64), np.int64)
+        parity = sketch
         if some.any():
             low = first[own][some][0]
             high = (first[own] + n[own])[some][-1]
             least = minima(g[low:high], first[own][some] - low)
             bands, sketch = band_hashes(least), odd_sketches(least)
+            parity = parities(g[low:high], first[own][some] - low)
         place = pa.array(np.where(some, np.cumsum(some) - 1, 0), mask=~some)
         slice_ = part.slice(own.start, own.stop - own.start)
         return pa.RecordBatch.from_arrays(
             [slice_.column("doc_id"), *(pa.array(x[own]) for x in (n, d1, d2)), slice_.column("home"),
-             listed(bands).take(place), listed(sketch).take(place)], names=["doc_id", "n", "d1", "d2", "home", "bands", "sketch"])
+             *(listed(x).take(place) for x in (bands, sketch, parity))],
+            names=["doc_id", "n", "d1", "d2", "home", "bands", "sketch", "parity"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "text", "home").mapInArrow(
-        trimmed(run), f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, bands array<bigint>, sketch array<bigint>")
+        trimmed(run), f"doc_id {id_type}, n bigint, d1 bigint, d2 bigint, home bigint, bands array<bigint>, "
+                      "sketch array<bigint>, parity array<bigint>")
 
 
 # ---- candidates ----------------------------------------------------------------------------------------------------
@@ -125,11 +141,12 @@ def _ordered(x: str, y: str) -> list[Column]:
 
 
 def by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) near in size whose sketches differ in MOST bits at most."""
-    one = classes.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
-    two = classes.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    """The pairs (a, b) near in size whose sketches differ in MOST bits at most and whose parities allow a link."""
+    one = classes.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("parity").alias("p"))
+    two = classes.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("parity").alias("q"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").where(_near_in_size(F.col("na"), F.col("nb")))
-    return both.where(differing("x", "y") <= MOST).select("a", "b")
+    allowed = (100 + PERCENT) * differing("p", "q") <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
+    return both.where((differing("x", "y") <= MOST) & allowed).select("a", "b")
 
 
 def differing(x: str, y: str) -> Column:
@@ -138,10 +155,13 @@ def differing(x: str, y: str) -> Column:
 
 
 def _pivot_pairs(cells: DataFrame) -> DataFrame:
-    """Every class of a bucket with the bucket's smallest and largest."""
+    """Every class with the smallest and largest of its buckets: the PIVOTS of them with which it shares most."""
     ends = cells.groupBy("band").agg(F.min("vid").alias("low"), F.max("vid").alias("high")).where("low < high")
     met = cells.join(ends, "band").select("vid", F.explode(F.array("low", "high")).alias("pivot")).where("vid != pivot")
-    return met.select(*_ordered("vid", "pivot")).distinct()
+    counted = met.repartition("vid").groupBy("vid", "pivot").agg(F.count("*").alias("shared"))
+    first = Window.partitionBy("vid").orderBy(F.desc("shared"), "pivot")
+    chosen = counted.withColumn("place", F.row_number().over(first)).where(F.col("place") <= PIVOTS)
+    return chosen.select(*_ordered("vid", "pivot")).distinct()
 
 
 def _several(rows: DataFrame, key: str) -> DataFrame:
@@ -178,14 +198,25 @@ def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch) ->
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def _allowed(n: np.ndarray, parity: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the parities of pairs allow a link."""
+    parts = [np.zeros(0, bool)]
+    for at in range(0, len(a), 1 << 16):
+        x, y = a[at: at + (1 << 16)], b[at: at + (1 << 16)]
+        differ = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+        parts.append((100 + PERCENT) * differ <= (100 - PERCENT) * (n[x] + n[y]))
+    return np.concatenate(parts)
+
+
 def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of large buckets (rows: band, vid, label, size) that pass the sketch, by blocks."""
     columns = ["vid", "label", "n", "own"]
-    rows = rows.join(classes.select("vid", "n", "sketch"), "vid")
+    rows = rows.join(classes.select("vid", "n", "sketch", "parity"), "vid")
     blocks = shingles.ceil_div(F.col("size"), BLOCK)
     rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("vid", "band"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), *columns, "sketch")
+    rows = rows.select("band", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), *columns,
+                       "sketch", "parity")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None                                   # the rows of the last block pair, which may go on
@@ -202,12 +233,13 @@ def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
     def compared(table: pa.Table, keys: np.ndarray, cuts: list[int]) -> Iterator[pa.RecordBatch]:
         vid, label, n, own = (table.column(c).to_numpy() for c in columns)
-        flat = table.column("sketch").combine_chunks()
-        sketch = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64).view(U64)
+        sketch, parity = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+                          .reshape(-1, BITS // 64).view(U64) for c in ("sketch", "parity"))
         for low, high in zip(cuts[:-1], cuts[1:]):
             to = slice(low, high)
             a, b = _near_within(own[to], keys[1, low], keys[2, low], label[to], n[to], sketch[to])
-            a, b = vid[to][a], vid[to][b]
+            allowed = _allowed(n[to], parity[to], a, b)
+            a, b = vid[to][a[allowed]], vid[to][b[allowed]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     met = rows.repartition("band", "first", "second").sortWithinPartitions("band", "first", "second")
