@@ -114,3 +114,26 @@ def test_trie_spills_and_bursts_without_losing_a_count(monkeypatch):
             assert leaf == sum(c <= (lang, *w) for c in cuts)
             have[(lang, *w)] += int(n)
     assert have == want
+
+
+def test_containers_and_names_do_not_grow_with_the_leaves():
+    r = np.random.default_rng(5)
+    words = np.unique(r.integers(1, 1 << 63, 500).astype(np.uint64))
+    cuts = sorted((int(k), *(int(x) for x in r.choice(words, 4))) for k in r.choice([7, 8, 9], 1000))
+    trie, want = phrases.Trie(cuts), Counter()
+    for lang in (7, 9, 7):
+        columns = phrases._columns(r.integers(1, len(words) + 1, 5000).astype(np.uint32), r.random(5000) < 0.8)
+        names = np.concatenate([[np.uint64(0)], words])
+        want.update((lang, *(int(names[c[i]]) for c in columns)) for i in range(5000))
+        trie.insert(lang, phrases.Block(words, *phrases._counted(columns, None, len(words))))
+    assert len(trie.held) <= 2 * (phrases.NODES + 1)
+    have = Counter()
+    for lang, leaf, blob in trie.spilled(0):
+        block = phrases.Block.unpacked(blob)
+        assert set(block.names) == {block.names[i - 1] for w in block.ids for i in w if i}
+        names = np.concatenate([[np.uint64(0)], block.names])
+        for i, n in enumerate(block.count):
+            w = tuple(int(names[c[i]]) for c in block.ids)
+            assert leaf == sum(c <= (lang, *w) for c in cuts)
+            have[(lang, *w)] += int(n)
+    assert have == want

@@ -7,9 +7,10 @@ its piece: the count of a phrase is that of the windows below its node in the tr
 1. Trie. A shallow trie over word ids (64-bit hashes, in their order) splits all windows into prefix partitions of about
    equal weight: its leaves are cut at quantiles of windows from a bounded sample of texts. A frequent first word, or word
    pair, is burst over several leaves by its next words. The cuts only decide the balance, never a count.
-2. Containers. A task keeps a container of counted windows per language and leaf: sorted blocks, in which equal windows
-   are one entry. A container of over BURST entries merges its blocks, so repeated windows collapse. When a task holds
-   over LIMIT entries, its largest containers are spilled whole, each as one sorted run, until half is left.
+2. Containers. A task keeps counted windows in hybrid containers, each of a language and a run of neighbouring leaves (about
+   NODES runs, however many leaves): sorted blocks, in which equal windows are one entry. A container of over BURST entries,
+   and over twice its first block, merges its blocks, so repeated windows collapse. When a task holds over LIMIT entries, its
+   largest containers are spilled whole, each as one sorted run a leaf, until half is left.
 3. Merge. The runs (compressed columns of word ids and counts) go to the task of their leaf in one exchange and are merged
    there; counts of prefixes of one to four words follow from the sorted windows. A prefix that a cut passes through is
    counted on both sides, so every leaf also returns the prefixes of its first and last window, whatever their count,
@@ -46,6 +47,7 @@ SALTS = 64
 HOT_SHARE = 200
 SAMPLED = 2000           # texts, about, from which the trie's leaves are cut
 PER_LEAF = 64            # sampled windows per leaf
+NODES = 32               # runs of leaves, about, that have a container of a task
 BURST = 1 << 18          # entries of a container
 LIMIT = 1 << 21          # entries that a task holds
 
@@ -100,10 +102,22 @@ def _counted(ids: list[np.ndarray], weight: np.ndarray | None, size: int) -> tup
         new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(order))) if weight is None else (
-        np.add.reduceat(weight[order], at) if len(at) else np.zeros(0, np.int64))
+        np.add.reduceat(weight[order], at, dtype=np.int64) if len(at) else np.zeros(0, np.int64))
     return [w[order[at]] for w in ids], count.astype(np.int64)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by sorting: for 64-bit hashes `np.unique` builds a table, which takes far longer."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def _narrow(count: np.ndarray) -> np.ndarray:
+    return count.astype(np.uint32 if count.max(initial=0) < 1 << 32 else np.int64)
+
+
 class Block:
     """Counted windows in order: columns of ids into a sorted list of word ids (0: none, i: the i-th), and counts."""
 
@@ -116,6 +130,27 @@ class Block:
     def part(self, low: int, high: int) -> Block:
         return Block(self.names, [w[low:high] for w in self.ids], self.count[low:high])
 
+    def tight(self) -> Block:
+        """The same with the names that occur alone."""
+        used = np.zeros(len(self.names) + 1, bool)
+        for w in self.ids:
+            used[w] = True
+        used[0] = False
+        place = np.cumsum(used, dtype=np.uint32)
+        return Block(self.names[used[1:]], [place[w] for w in self.ids], self.count)
+
+    def apart(self) -> Block:
+        """A copy that does not keep the whole of which this is a part in memory."""
+        return Block(self.names, [w.copy() for w in self.ids], _narrow(self.count))
+
+    def dealt(self, lang: int, cuts: list[tuple]) -> Iterator[tuple[int, Block]]:
+        """Its parts between the cuts that are this language's, with the number of cuts (of all) before each."""
+        first = sum(c[0] < lang for c in cuts)
+        edges = [0, *(self.place(c[1:]) for c in cuts if c[0] == lang), len(self)]
+        for i, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
+            if high > low:
+                yield first + i, self.part(low, high)
+
     def place(self, window: tuple) -> int:
         """How many windows stand before this one."""
         low, high = 0, len(self)
@@ -129,13 +164,11 @@ class Block:
         return low
 
     def packed(self) -> bytes:
-        used = np.unique(np.concatenate(self.ids)) if len(self) else np.zeros(0, np.uint32)
-        used = used[used > 0]
-        kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-        small = [np.where(w > 0, np.searchsorted(used, w) + 1, 0).astype(kind) for w in self.ids]
-        head = np.array([len(used), len(self), np.dtype(kind).itemsize], np.int64)
-        raw = b"".join([head.tobytes(), self.names[used - 1].tobytes(), *(w.tobytes() for w in small),
-                        self.count.astype(np.int64).tobytes()])
+        own = self.tight()
+        kind = np.uint16 if len(own.names) < 1 << 16 else np.uint32
+        head = np.array([len(own.names), len(own), np.dtype(kind).itemsize], np.int64)
+        raw = b"".join([head.tobytes(), own.names.tobytes(), *(w.astype(kind).tobytes() for w in own.ids),
+                        own.count.astype(np.int64).tobytes()])
         return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
     @staticmethod
@@ -152,7 +185,8 @@ class Block:
 def merged(blocks: list[Block]) -> Block:
     if len(blocks) == 1:
         return blocks[0]
-    names = np.unique(np.concatenate([b.names for b in blocks]))
+    blocks = [b.tight() for b in blocks]
+    names = _distinct(np.concatenate([b.names for b in blocks]))
     columns = []
     maps = [np.concatenate([[0], np.searchsorted(names, b.names) + 1]).astype(np.uint32) for b in blocks]
     for i in range(LONGEST):
@@ -163,48 +197,48 @@ def merged(blocks: list[Block]) -> Block:
 
 def merged_runs(runs: list[bytes]) -> Block:
     """`merged` of packed blocks, of which one is unpacked at a time."""
-    names = np.unique(np.concatenate([Block.unpacked(r).names for r in runs]))
+    names = _distinct(np.concatenate([Block.unpacked(r).names for r in runs]))
     columns, counts = [[] for _ in range(LONGEST)], []
     while runs:
         block = Block.unpacked(runs.pop())
         place = np.concatenate([[0], np.searchsorted(names, block.names) + 1]).astype(np.uint32)
         for column, own in zip(columns, block.ids):
             column.append(place[own])
-        counts.append(block.count.astype(np.uint32 if block.count.max(initial=0) < 1 << 32 else np.int64))
+        counts.append(_narrow(block.count))
     for i in range(LONGEST):
         columns[i] = np.concatenate(columns[i])
-    ids, count = _counted(columns, np.concatenate(counts).astype(np.int64), len(names))
+    ids, count = _counted(columns, np.concatenate(counts), len(names))
     return Block(names, ids, count)
 
 
 class Trie:
-    """Containers of counted windows by (language, leaf)."""
+    """Containers of counted windows by (language, node); a node is a run of neighbouring leaves."""
 
     def __init__(self, cuts: list[tuple]):
         self.cuts, self.held, self.size = cuts, {}, 0
+        self.step = max(1, -(-len(cuts) // NODES))
+        self.nodes = cuts[::self.step]                  # where nodes end
 
     def insert(self, lang: int, block: Block) -> None:
-        first = sum(c[0] < lang for c in self.cuts)
-        own = [c[1:] for c in self.cuts if c[0] == lang]
-        edges = [0, *(block.place(c) for c in own), len(block)]
-        for i, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
-            if high > low:
-                held = self.held.setdefault((lang, first + i), [])
-                held.append(block.part(low, high))
-                self.size += high - low
-                if len(held) > 1 and sum(map(len, held)) > BURST:
-                    self.size -= sum(map(len, held))
-                    held[:] = [merged(held)]
-                    self.size += len(held[0])
+        for node, part in block.dealt(lang, self.nodes):
+            held = self.held.setdefault((lang, node), [])
+            held.append(part.apart())
+            self.size += len(part)
+            total = sum(map(len, held))
+            if len(held) > 1 and total > max(BURST, 2 * len(held[0])):
+                held[:] = [merged(held)]
+                self.size += len(held[0]) - total
 
     def spilled(self, left: int) -> Iterator[tuple[int, int, bytes]]:
-        """Sorted runs of the largest containers, until at most `left` entries are held."""
-        for lang, leaf in sorted(self.held, key=lambda k: -sum(map(len, self.held[k]))):
+        """Sorted runs of the leaves of the largest containers, until at most `left` entries are held."""
+        for lang, node in sorted(self.held, key=lambda k: -sum(map(len, self.held[k]))):
             if self.size <= left:
                 return
-            blocks = self.held.pop((lang, leaf))
+            blocks = self.held.pop((lang, node))
             self.size -= sum(map(len, blocks))
-            yield lang, leaf, merged(blocks).packed()
+            first = max(0, (node - 1) * self.step + 1)
+            for leaf, part in merged(blocks).dealt(lang, self.cuts[first: node * self.step]):
+                yield lang, first + leaf, part.packed()
 
 
 RUNS = "word_id bigint, word string, lang_id bigint, leaf int, run binary"
@@ -239,10 +273,12 @@ def _runs(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
                     if not len(mine):
                         continue
                     found, first, inverse = np.unique(h[mine], return_index=True, return_inverse=True)
-                    new = ~np.isin(found, spelled, assume_unique=True)
+                    place = np.searchsorted(spelled, found)
+                    new = np.ones(len(found), bool)
+                    new[place < len(spelled)] = spelled[place[place < len(spelled)]] != found[place < len(spelled)]
                     yield frame(int(new.sum()), word_id=found[new].view(np.int64),
                                 word=_spellings(data, s[mine[first[new]]], e[mine[first[new]]]))
-                    spelled = np.union1d(spelled if len(spelled) < KNOWN else spelled[:0], found)
+                    spelled = np.insert(spelled, place[new], found[new]) if len(spelled) < KNOWN else found
                     windows = _columns((inverse + 1).astype(np.uint32), same[mine])
                     ids, count = _counted(windows, None, len(found))
                     trie.insert(int(lang), Block(found, ids, count))
