@@ -121,3 +121,65 @@ def test_pivot_pairs_of_a_large_group_are_few_a_class(spark):
     pairs = odd_sketch._pivot_pairs(cells).collect()
     assert 200 <= len(pairs) <= odd_sketch.PIVOTS * 200
     assert len({v for p in pairs for v in p}) == 200
+
+
+def family(n, own, seed):
+    """n texts of `own` words after 267 that all share."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    shared = [word() for _ in range(267)]
+    return [" ".join(shared + [word() for _ in range(own)]) for _ in range(n)]
+
+
+def test_forest_joins_what_all_edges_join():
+    r = np.random.default_rng(7)
+    for vertices, edges in ((1, 0), (40, 15), (40, 60), (60, 900)):
+        x, y = r.integers(0, vertices, (2, edges)) * 7
+        cost = r.integers(0, 20, edges)
+        least = {}
+
+        def find(v):
+            while least.get(v, v) != v:
+                v = least[v]
+            return v
+
+        total = 0
+        for e in np.argsort(cost, kind="stable"):
+            if find(x[e]) != find(y[e]):
+                least[find(x[e])] = find(y[e])
+                total += cost[e]
+        kept = odd_sketch._forest(x, y, cost)
+        trees = {v: find(v) for v in {*x.tolist(), *y.tolist()}}
+        assert len(kept) == len(set(kept.tolist())) == len(trees) - len(set(trees.values())) and cost[kept].sum() == total
+
+
+@pytest.mark.parametrize("own", [34, 33])
+def test_near_copies_of_a_large_bucket_are_few_rows(spark, make_docs, monkeypatch, own):
+    """300 shingles each, 34 of their own: 79.6 percent alike, and most pass the sketches; 33 of 299: 80.1, and all link."""
+    monkeypatch.setattr(odd_sketch, "BLOCK", 16)
+    monkeypatch.setattr(odd_sketch, "BLOCK_SET", 5000)
+    rows = list(enumerate(family(48, own, 8)))
+    rows += [(100 + i, rows[i][1] + " end") for i in range(0, 48, 6)] + [(200, " ".join(rows[0][1].split()[:-17] + rows[1][1].split()[-17:]))]
+    made = {}
+
+    def counted(rows, blocks, met, whole=odd_sketch._by_blocks):
+        out = whole(rows.cache(), blocks, met).cache()
+        made[met] = (out.count(), rows.withColumn("blocks", blocks).selectExpr("coalesce(sum(blocks), 0)").first()[0])
+        return out
+
+    monkeypatch.setattr(odd_sketch, "_by_blocks", counted)
+    got = odd_sketch.join(make_docs(rows)).select(*COLUMNS).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert all(out <= dealt for out, dealt in made.values())
+    assert own == 33 or {"forest", "ends", "links"} <= made.keys()
+
+
+def test_block_rows_of_one_bucket_do_not_grow_with_its_square(spark):
+    base = [(1 << 40) * k for k in range(16)]
+    rows = [(1, vid, vid, 100, base, base) for vid in range(200)]
+    rows = spark.createDataFrame(rows, "band long, vid long, label long, n long, sketch array<long>, parity array<long>")
+    for met, most in (("forest", 200 * 4), ("ends", 200)):
+        pairs = odd_sketch._by_blocks(rows, odd_sketch.F.lit(4).cast("bigint"), met).collect()
+        assert 199 <= len(pairs) <= most
+    linked = odd_sketch._by_blocks(rows.selectExpr("*", "array(vid % 2, 5L, 7L, 9L, 11L) shingles"), odd_sketch.F.lit(4).cast("bigint"), "links")
+    assert 198 <= linked.count() <= 200 * 4 and linked.where("(a - b) % 2 != 0").count() == 0

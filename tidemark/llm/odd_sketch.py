@@ -17,16 +17,20 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
    at most MOST bits: a pair at 0.8 exceeds that (56 of 128 samples differing, 25.6 expected) once in 1e8, and if the parities allow it. What passes is
    checked on the whole sets; links give components.
 4. Rest. In a bucket that still holds several components, classes of different components are compared: in buckets of up
-   to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (texts that
-   share a template) by blocks. A large bucket is dealt into blocks of about BLOCK classes, every two blocks meet in a
-   task, and their sketches are compared as a matrix: only pairs that pass the sketch become rows. The comparisons of a
-   bucket grow with the square of its size, a few nanoseconds each, its rows by its size times its blocks. Pairs already
-   compared are left out.
+   to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (near copies,
+   texts that share a template) by blocks. A large bucket is dealt into blocks of about BLOCK classes, every two blocks
+   meet in a task, and their sketches are compared as a matrix. First, of the pairs that pass, a least spanning forest of
+   the components in the two blocks becomes rows, the nearest pairs; what of these links is one component from then on.
+   Then, in the buckets that are still mixed, the classes that pass with another component's are met by blocks a second
+   time, now with their whole sets, and every pair that passes is decided there, unless its components are one by then;
+   a forest of the links becomes rows. The comparisons of a bucket grow with the square of its size (a few nanoseconds
+   each, some microseconds if they pass but do not link), its rows by its size times its blocks. Pairs that pass are
+   never rows.
 5. Every link is confirmed on the whole sets; components of all links by contraction (`components.py`).
 
-Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches and parities (128 bytes each) of classes in candidate pairs or mixed
-large buckets, and whole sets of classes that pass the sketch. No pair of classes already in one component is ever made,
-but for the pivots.
+Spark scale: shuffles carry band rows (16 bytes, 32 a class), sketches and parities (128 bytes each) of classes in
+candidate pairs or mixed large buckets, and whole sets of classes that pass the sketch. No pair of classes already in one
+component is ever made, but for the pivots.
 
 Odd cases: null and word-less texts have an empty set, link with nothing and are their own component; a text of one word
 has that word as its one shingle; rows of equal sets are in one component; repeated rows each get a row; rows without a
@@ -57,6 +61,7 @@ MOST = 110               # differing bits of a candidate, at most
 PIVOTS = 4               # of a class
 LARGE = 8                # classes of a bucket over which it is compared by blocks
 BLOCK = 512              # classes of a block
+BLOCK_SET = 1 << 18      # shingles of a block, about, where whole sets meet
 ROWS = 2048              # sets whose sketches are built together
 
 _SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=U64) * GOLDEN)
@@ -198,63 +203,151 @@ def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch) ->
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _allowed(n: np.ndarray, parity: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether the parities of pairs allow a link."""
-    parts = [np.zeros(0, bool)]
+def _parity_bits(parity: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits the parities of pairs differ in."""
+    parts = [np.zeros(0, np.int64)]
     for at in range(0, len(a), 1 << 16):
         x, y = a[at: at + (1 << 16)], b[at: at + (1 << 16)]
-        differ = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
-        parts.append((100 + PERCENT) * differ <= (100 - PERCENT) * (n[x] + n[y]))
+        parts.append(np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64))
     return np.concatenate(parts)
 
 
-def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of large buckets (rows: band, vid, label, size) that pass the sketch, by blocks."""
-    columns = ["vid", "label", "n", "own"]
-    rows = rows.join(classes.select("vid", "n", "sketch", "parity"), "vid")
-    blocks = shingles.ceil_div(F.col("size"), BLOCK)
+def _allowed(n: np.ndarray, parity: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the parities of pairs allow a link."""
+    return (100 + PERCENT) * _parity_bits(parity, a, b) <= (100 - PERCENT) * (n[a] + n[b])
+
+
+def _forest(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Places of the edges (x, y) that make a least spanning forest: in rounds, the first edge of every tree so far."""
+    order = np.argsort(cost, kind="stable")
+    names, ends = np.unique(np.concatenate([x[order], y[order]]), return_inverse=True)
+    left, right = ends[: len(x)], ends[len(x):]
+    rank, chosen = np.arange(len(x)), [np.zeros(0, np.int64)]
+    while len(apart := np.flatnonzero(left != right)):
+        left, right, rank = left[apart], right[apart], rank[apart]
+        first = np.full(len(names), len(left))
+        for own in (left, right):
+            mine = np.full(len(names), len(left))
+            mine[own[::-1]] = np.arange(len(own))[::-1]          # the last value given stays: the first edge
+            first = np.minimum(first, mine)
+        trees = np.flatnonzero(first < len(left))
+        picked = first[trees]
+        chosen.append(np.unique(rank[picked]))
+        to = np.arange(len(names))
+        to[trees] = left[picked] + right[picked] - trees
+        both = (to[to] == np.arange(len(names))) & (np.arange(len(names)) < to)     # two trees that pick one edge
+        to[both] = np.flatnonzero(both)
+        while (to != to[to]).any():
+            to = to[to]
+        left, right = to[left], to[right]
+    return order[np.concatenate(chosen)]
+
+
+def _linked(a: np.ndarray, b: np.ndarray, label: np.ndarray, sets: list[np.ndarray]) -> list[int]:
+    """Places of the pairs (a, b) that link by their whole, sorted sets, but those whose components are one by then."""
+    root = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    found = []
+    for at, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+        one, two = find(int(label[i])), find(int(label[j]))
+        if one != two:
+            x, y = sets[i], sets[j]
+            place = np.searchsorted(y, x)
+            overlap = int((y[np.minimum(place, len(y) - 1)] == x).sum())
+            if (100 + PERCENT) * overlap >= PERCENT * (len(x) + len(y)):
+                root[one] = two
+                found.append(at)
+    return found
+
+
+def _by_blocks(rows: DataFrame, blocks: Column, met: str) -> DataFrame:
+    """Buckets (rows: band, vid, label, n, sketch, parity; shingles) in blocks, every two of which meet in a task. Of the
+    pairs that pass, `met` is a `forest` of the components (a, b), the `ends` (a: band, b: vid), or the `links` (a, b)."""
+    columns = ["vid", "label", "n", "own", "sketch", "parity"] + ["shingles"] * (met == "links")
     rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("vid", "band"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), *columns,
-                       "sketch", "parity")
+    rows = rows.select("band", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None                                   # the rows of the last block pair, which may go on
+        held = []                                     # the rows of the last block pair, which may go on
         for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if table.num_rows:
-                keys = np.stack([table.column(c).to_numpy() for c in ("band", "first", "second")])
-                cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-                yield from compared(table, keys, [0, *cuts.tolist()])
-                held = table.slice(int(cuts[-1]) if len(cuts) else 0)
-        if held is not None:
-            keys = np.stack([held.column(c).to_numpy() for c in ("band", "first", "second")])
-            yield from compared(held, keys, [0, held.num_rows])
-
-    def compared(table: pa.Table, keys: np.ndarray, cuts: list[int]) -> Iterator[pa.RecordBatch]:
-        vid, label, n, own = (table.column(c).to_numpy() for c in columns)
+            if batch.num_rows:
+                keys = np.stack([batch.column(c).to_numpy() for c in ("band", "first", "second")])
+                cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+                for low, high in zip(cuts[:-1], cuts[1:]):
+                    if held and any(held[0].column(i)[0].as_py() != keys[i, low] for i in range(3)):
+                        yield compared(pa.Table.from_batches(held))
+                        held = []
+                    held.append(batch.slice(low, high - low))
+        if held:
+            yield compared(pa.Table.from_batches(held))
+
+    def compared(table: pa.Table) -> pa.RecordBatch:
+        band, first, second = (table.column(c)[0].as_py() for c in ("band", "first", "second"))
+        vid, label, n, own = (table.column(c).to_numpy() for c in columns[:4])
         sketch, parity = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
                           .reshape(-1, BITS // 64).view(U64) for c in ("sketch", "parity"))
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            to = slice(low, high)
-            a, b = _near_within(own[to], keys[1, low], keys[2, low], label[to], n[to], sketch[to])
-            allowed = _allowed(n[to], parity[to], a, b)
-            a, b = vid[to][a[allowed]], vid[to][b[allowed]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    met = rows.repartition("band", "first", "second").sortWithinPartitions("band", "first", "second")
-    return met.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
-
-
-def _rest_pairs(cells: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket."""
-    named = cells.join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
-    rows = materialize(_several(named, "band"), "mixed_buckets")
-    small = _cross_pairs(rows.where(F.col("size") <= LARGE), "band")
-    large = _block_pairs(rows.where(F.col("size") > LARGE).select("band", "vid", "label", "size"), classes)
+        a, b = _near_within(own, first, second, label, n, sketch)
+        allowed = _allowed(n, parity, a, b)
+        a, b = a[allowed], b[allowed]
+        cost = _parity_bits(parity, a, b) / (n[a] + n[b])
+        if met == "ends":
+            ends = vid[np.unique(np.concatenate([a, b]))]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), band, np.int64)), pa.array(ends)], names=["a", "b"])
+        if met == "links":
+            near = np.argsort(cost, kind="stable")
+            a, b = a[near], b[near]
+            shingles_ = table.column("shingles").combine_chunks()
+            edges, values = shingles_.offsets.to_numpy(), shingles_.values.to_numpy()
+            kept = _linked(a, b, label, [values[low:high] for low, high in zip(edges[:-1], edges[1:])])
+        else:
+            kept = _forest(label[a], label[b], cost)
+        a, b = vid[a[kept]], vid[b[kept]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    paired = rows.repartition("band", "first", "second").sortWithinPartitions("band", "first", "second")
+    return paired.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
+
+
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, vid, label, largest and size of the buckets (rows: band, vid) that hold several components."""
+    named = rows.select("band", "vid").join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
+    return _several(named, "band")
+
+
+def _sketched(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of large buckets with what is compared of them."""
+    large = mixed.where(F.col("size") > LARGE).select("band", "vid", "label", "size")
+    return large.join(classes.select("vid", "n", "sketch", "parity"), "vid")
+
+
+def _rest_pairs(mixed: DataFrame, classes: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of different components: all those of small buckets, a forest of the nearest of large ones."""
+    small = _cross_pairs(mixed.where(F.col("size") <= LARGE), "band")
+    large = _by_blocks(_sketched(mixed, classes), shingles.ceil_div(F.col("size"), BLOCK), "forest")
     return small.unionByName(large).distinct().join(tried, ["a", "b"], "left_anti")
 
 
+def _last_links(mixed: DataFrame, rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links of all pairs of different components in large buckets, confirmed where two blocks meet."""
+    mixed = materialize(_mixed(mixed.where(F.col("size") > LARGE), labels), "last_buckets")
+    sketched = _sketched(mixed, classes)
+    ends = _by_blocks(sketched, shingles.ceil_div(F.col("size"), BLOCK), "ends")
+    ends = materialize(ends.select(F.col("a").alias("band"), F.col("b").alias("vid")), "ends")
+    if ends.isEmpty():
+        return ends.select(F.col("band").alias("a"), F.col("vid").alias("b"))
+    whole = shingles.whole_sets(rows, classes, ends.select("vid").distinct(), WORDS).select("vid", "shingles")
+    own = sketched.drop("size").join(ends, ["band", "vid"])
+    sizes = own.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("shingled"))
+    blocks = F.greatest(shingles.ceil_div(F.col("size"), BLOCK), shingles.ceil_div(F.col("shingled"), BLOCK_SET))
+    return materialize(_by_blocks(own.join(sizes, "band").join(whole, "vid"), blocks, "links"), "last_links")
+
+
 def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     likely = materialize(by_sketch(pairs, classes), "likely_pairs")
     ends = likely.select(F.explode(F.array("a", "b")).alias("vid")).distinct()
@@ -272,9 +365,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     tried = materialize(_pivot_pairs(cells), "pivot_pairs")
     links = _confirmed(tried, rows, classes)
     labels = components(links).withColumnRenamed("v", "vid")
-    rest = materialize(_rest_pairs(cells, classes, labels, tried), "rest_pairs")
+    mixed = materialize(_mixed(cells, labels), "mixed_buckets")
+    rest = materialize(_rest_pairs(mixed, classes, tried), "rest_pairs")
     if not rest.isEmpty():
         links = links.unionByName(_confirmed(rest, rows, classes))
         labels = components(links).withColumnRenamed("v", "vid")
+    last = _last_links(mixed, rows, classes, labels)
+    if not last.isEmpty():
+        links = links.unionByName(last)
+        labels = components(links).withColumnRenamed("v", "vid")
     found = shingles.with_components(members, classes, labels.withColumnRenamed("vid", "v"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
