@@ -20,10 +20,10 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
    to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (near copies,
    texts that share a template) by blocks. A large bucket is dealt into blocks of about BLOCK classes, every two blocks
    meet in a task, and their sketches are compared as a matrix. First, of the pairs that pass, a least spanning forest of
-   the components in the two blocks becomes rows, the nearest pairs; what of these links is one component from then on.
-   Then, in the buckets that are still mixed, the classes that pass with another component's are met by blocks a second
-   time, now with their whole sets, and every pair that passes is decided there, unless its components are one by then;
-   a forest of the links becomes rows. The comparisons of a bucket grow with the square of its size (a few nanoseconds
+   the components in the two blocks becomes rows, the nearest pairs, with the classes of all that pass; what of these
+   links is one component from then on. Then those classes alone, in the buckets where they still differ, are met by
+   blocks again: who still passes with another component's, and, now with their whole sets, who links. Every pair that
+   passes is decided there, unless its components are one by then; a forest of the links becomes rows. The comparisons of a bucket grow with the square of its size (a few nanoseconds
    each, some microseconds if they pass but do not link), its rows by its size times its blocks. Pairs that pass are
    never rows.
 5. Every link is confirmed on the whole sets; components of all links by contraction (`components.py`).
@@ -60,7 +60,7 @@ BITS = 1024              # of an odd sketch
 MOST = 110               # differing bits of a candidate, at most
 PIVOTS = 4               # of a class
 LARGE = 8                # classes of a bucket over which it is compared by blocks
-BLOCK = 512              # classes of a block
+BLOCK = 2048             # classes of a block
 BLOCK_SET = 1 << 18      # shingles of a block, about, where whole sets meet
 ROWS = 2048              # sets whose sketches are built together
 
@@ -185,9 +185,11 @@ def _cross_pairs(rows: DataFrame, key: str) -> DataFrame:
     return met.select(*_ordered("vid", "other")).distinct()
 
 
-def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of two blocks (or of one) in different components, near in size and by their sketches."""
-    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch,
+                 part: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of two blocks (or of one) in different components, near in size and by their sketches; `part`:
+    of these rows of the first block."""
+    left, right = np.flatnonzero(own == first)[part], np.flatnonzero(own == second)
     found = [(np.zeros(0, np.int64),) * 2]
     for at in range(0, len(left), 64):
         x = left[at: at + 64]
@@ -196,8 +198,8 @@ def _near_within(own: np.ndarray, first: int, second: int, label, n, sketch) ->
         if first == second:
             fits &= x[:, None] < right
         i, j = np.nonzero(fits)
-        for part in range(0, len(i), 1 << 16):
-            a, b = x[i[part: part + (1 << 16)]], right[j[part: part + (1 << 16)]]
+        for to in range(0, len(i), 1 << 16):
+            a, b = x[i[to: to + (1 << 16)]], right[j[to: to + (1 << 16)]]
             near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64) <= MOST
             found.append((a[near], b[near]))
     return tuple(np.concatenate(c) for c in zip(*found))
@@ -243,10 +245,9 @@ def _forest(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     return order[np.concatenate(chosen)]
 
 
-def _linked(a: np.ndarray, b: np.ndarray, label: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Places of the pairs (a, b) that link by their whole, sorted sets, but those whose components are one by then."""
-    root = {}
-
+def _linked(a: np.ndarray, b: np.ndarray, label: np.ndarray, sets: list[np.ndarray], root: dict[int, int]) -> list[int]:
+    """Places of the pairs (a, b) that link by their whole, sorted sets, but those whose components are one by then, as
+    `root` tells, which is kept up."""
     def find(v: int) -> int:
         while (up := root.get(v, v)) != v:
             root[v] = v = root.get(up, up)
@@ -267,7 +268,7 @@ def _linked(a: np.ndarray, b: np.ndarray, label: np.ndarray, sets: list[np.ndarr
 
 def _by_blocks(rows: DataFrame, blocks: Column, met: str) -> DataFrame:
     """Buckets (rows: band, vid, label, n, sketch, parity; shingles) in blocks, every two of which meet in a task. Of the
-    pairs that pass, `met` is a `forest` of the components (a, b), the `ends` (a: band, b: vid), or the `links` (a, b)."""
+    pairs that pass, `met` is the `ends` (band, a), a `forest` of the components (a, b) and the ends, or the `links` (a, b)."""
     columns = ["vid", "label", "n", "own", "sketch", "parity"] + ["shingles"] * (met == "links")
     rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("vid", "band"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
@@ -292,60 +293,72 @@ def _by_blocks(rows: DataFrame, blocks: Column, met: str) -> DataFrame:
         vid, label, n, own = (table.column(c).to_numpy() for c in columns[:4])
         sketch, parity = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
                           .reshape(-1, BITS // 64).view(U64) for c in ("sketch", "parity"))
-        a, b = _near_within(own, first, second, label, n, sketch)
-        allowed = _allowed(n, parity, a, b)
-        a, b = a[allowed], b[allowed]
-        cost = _parity_bits(parity, a, b) / (n[a] + n[b])
-        if met == "ends":
-            ends = vid[np.unique(np.concatenate([a, b]))]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), band, np.int64)), pa.array(ends)], names=["a", "b"])
+        sets, root, ends, kept, cost = [], {}, np.zeros(len(vid), bool), (np.zeros(0, np.int64),) * 2, np.zeros(0)
         if met == "links":
-            near = np.argsort(cost, kind="stable")
-            a, b = a[near], b[near]
-            shingles_ = table.column("shingles").combine_chunks()
-            edges, values = shingles_.offsets.to_numpy(), shingles_.values.to_numpy()
-            kept = _linked(a, b, label, [values[low:high] for low, high in zip(edges[:-1], edges[1:])])
-        else:
-            kept = _forest(label[a], label[b], cost)
-        a, b = vid[a[kept]], vid[b[kept]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            lists = table.column("shingles").combine_chunks()
+            edges, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            sets = [values[low:high] for low, high in zip(edges[:-1], edges[1:])]
+        for at in range(0, int((own == first).sum()), 64):
+            a, b = _near_within(own, first, second, label, n, sketch, slice(at, at + 64))
+            allowed = _allowed(n, parity, a, b)
+            a, b = a[allowed], b[allowed]
+            far = _parity_bits(parity, a, b) / (n[a] + n[b])
+            ends[a] = ends[b] = True
+            if met == "links":
+                near = np.argsort(far, kind="stable")
+                linked = near[_linked(a[near], b[near], label, sets, root)]
+                kept = tuple(np.concatenate([x, y[linked]]) for x, y in zip(kept, (a, b)))
+            elif met == "forest":                     # of the forest so far and what has come
+                a, b, cost = np.concatenate([kept[0], a]), np.concatenate([kept[1], b]), np.concatenate([cost, far])
+                tree = _forest(label[a], label[b], cost)
+                kept, cost = (a[tree], b[tree]), cost[tree]
+        a, b = (vid[x] for x in kept)
+        own_ends = vid[ends] if met != "links" else vid[:0]
+        none = lambda k: pa.nulls(k, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([none(len(a)), pa.array(np.full(len(own_ends), band, np.int64))]),
+             pa.array(np.concatenate([np.minimum(a, b), own_ends])),
+             pa.concat_arrays([pa.array(np.maximum(a, b)), none(len(own_ends))])], names=["band", "a", "b"])
 
     paired = rows.repartition("band", "first", "second").sortWithinPartitions("band", "first", "second")
-    return paired.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
+    return paired.mapInArrow(trimmed(run), "band bigint, a bigint, b bigint").distinct()
 
 
-def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, vid, label, largest and size of the buckets (rows: band, vid) that hold several components."""
-    named = rows.select("band", "vid").join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
-    return _several(named, "band")
+def _ends(met: DataFrame) -> DataFrame:
+    return met.where("band IS NOT NULL").select("band", F.col("a").alias("vid"))
 
 
 def _sketched(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of large buckets with what is compared of them."""
-    large = mixed.where(F.col("size") > LARGE).select("band", "vid", "label", "size")
-    return large.join(classes.select("vid", "n", "sketch", "parity"), "vid")
+    """The rows of mixed buckets with what is compared of them."""
+    return mixed.select("band", "vid", "label", "size").join(classes.select("vid", "n", "sketch", "parity"), "vid")
+
+
+def _nearest(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of large buckets: a forest of the nearest pairs of different components, and the classes of all that pass."""
+    large = mixed.where(F.col("size") > LARGE)
+    return materialize(_by_blocks(_sketched(large, classes), shingles.ceil_div(F.col("size"), BLOCK), "forest"), "nearest")
 
 
-def _rest_pairs(mixed: DataFrame, classes: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of different components: all those of small buckets, a forest of the nearest of large ones."""
+def _rest_pairs(mixed: DataFrame, nearest: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of different components: all those of small buckets, the nearest of large ones."""
     small = _cross_pairs(mixed.where(F.col("size") <= LARGE), "band")
-    large = _by_blocks(_sketched(mixed, classes), shingles.ceil_div(F.col("size"), BLOCK), "forest")
+    large = nearest.where("band IS NULL").select("a", "b")
     return small.unionByName(large).distinct().join(tried, ["a", "b"], "left_anti")
 
 
-def _last_links(mixed: DataFrame, rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links of all pairs of different components in large buckets, confirmed where two blocks meet."""
-    mixed = materialize(_mixed(mixed.where(F.col("size") > LARGE), labels), "last_buckets")
-    sketched = _sketched(mixed, classes)
-    ends = _by_blocks(sketched, shingles.ceil_div(F.col("size"), BLOCK), "ends")
-    ends = materialize(ends.select(F.col("a").alias("band"), F.col("b").alias("vid")), "ends")
-    if ends.isEmpty():
-        return ends.select(F.col("band").alias("a"), F.col("vid").alias("b"))
-    whole = shingles.whole_sets(rows, classes, ends.select("vid").distinct(), WORDS).select("vid", "shingles")
-    own = sketched.drop("size").join(ends, ["band", "vid"])
+def _last_links(ends: DataFrame, rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links of all pairs of different components among `ends` (band, vid), confirmed where two blocks meet."""
+    named = ends.join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
+    sketched = _sketched(materialize(_several(named, "band"), "last_buckets"), classes)
+    still = materialize(_by_blocks(sketched, shingles.ceil_div(F.col("size"), BLOCK), "ends"), "last_ends")
+    if still.isEmpty():
+        return still.select("a", "b")
+    still = _ends(still)
+    whole = shingles.whole_sets(rows, classes, still.select("vid").distinct(), WORDS).select("vid", "shingles")
+    own = sketched.drop("size").join(still, ["band", "vid"])
     sizes = own.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("shingled"))
     blocks = F.greatest(shingles.ceil_div(F.col("size"), BLOCK), shingles.ceil_div(F.col("shingled"), BLOCK_SET))
-    return materialize(_by_blocks(own.join(sizes, "band").join(whole, "vid"), blocks, "links"), "last_links")
+    return materialize(_by_blocks(own.join(sizes, "band").join(whole, "vid"), blocks, "links").select("a", "b"), "last_links")
 
 
 def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -365,12 +378,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     tried = materialize(_pivot_pairs(cells), "pivot_pairs")
     links = _confirmed(tried, rows, classes)
     labels = components(links).withColumnRenamed("v", "vid")
-    mixed = materialize(_mixed(cells, labels), "mixed_buckets")
-    rest = materialize(_rest_pairs(mixed, classes, tried), "rest_pairs")
+    named = classes.join(labels, "vid", "left").select("vid", F.coalesce("label", "vid").alias("label"), F.explode("bands").alias("band"))
+    mixed = materialize(_several(named, "band"), "mixed_buckets")
+    nearest = _nearest(mixed, classes)
+    rest = materialize(_rest_pairs(mixed, nearest, tried), "rest_pairs")
     if not rest.isEmpty():
         links = links.unionByName(_confirmed(rest, rows, classes))
         labels = components(links).withColumnRenamed("v", "vid")
-    last = _last_links(mixed, rows, classes, labels)
+    ends = _ends(nearest)
+    last = _last_links(ends, rows, classes, labels) if not ends.isEmpty() else ends.selectExpr("vid a", "vid b")
     if not last.isEmpty():
         links = links.unionByName(last)
         labels = components(links).withColumnRenamed("v", "vid")
