@@ -19,9 +19,10 @@ of equal sets are one class (128-bit digest), so exact copies never meet each ot
 4. Rest. In a bucket that still holds several components, classes of different components are compared: in buckets of up
    to LARGE classes as pairs of the classes outside the largest component with all others, in larger ones (near copies,
    texts that share a template) by blocks. A large bucket is dealt into blocks of about BLOCK classes, every two blocks
-   meet in a task, and their sketches are compared as a matrix. First, of the pairs that pass, a least spanning forest of
-   the components in the two blocks becomes rows, the nearest pairs, with the classes of all that pass; what of these
-   links is one component from then on. Then those classes alone, in the buckets where they still differ, are met by
+   meet in a task, and their sketches are compared as a matrix. First, of the pairs that pass, a spanning forest of the
+   components in the two blocks becomes rows (of 64 classes after the other, the nearest pairs first; what the forest has
+   joined is not compared again), with all classes of the components it joins; what of these pairs links is one component
+   from then on. Then those classes alone, in the buckets where they still differ, are met by
    blocks again: who still passes with another component's, and, now with their whole sets, who links. Every pair that
    passes is decided there, unless its components are one by then; a forest of the links becomes rows. The comparisons of a bucket grow with the square of its size (a few nanoseconds
    each, some microseconds if they pass but do not link), its rows by its size times its blocks. Pairs that pass are
@@ -266,6 +267,20 @@ def _linked(a: np.ndarray, b: np.ndarray, label: np.ndarray, sets: list[np.ndarr
     return found
 
 
+def _joined(tree: np.ndarray, a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
+    """The trees (under `count`) of rows, when those of a and b have become one."""
+    to = np.arange(count)
+    for x, y in zip(tree[a].tolist(), tree[b].tolist()):
+        while to[x] != x:
+            x = to[x]
+        while to[y] != y:
+            y = to[y]
+        to[x] = y
+    while (to != to[to]).any():
+        to = to[to]
+    return to[tree]
+
+
 def _by_blocks(rows: DataFrame, blocks: Column, met: str) -> DataFrame:
     """Buckets (rows: band, vid, label, n, sketch, parity; shingles) in blocks, every two of which meet in a task. Of the
     pairs that pass, `met` is the `ends` (band, a), a `forest` of the components (a, b) and the ends, or the `links` (a, b)."""
@@ -293,25 +308,25 @@ def _by_blocks(rows: DataFrame, blocks: Column, met: str) -> DataFrame:
         vid, label, n, own = (table.column(c).to_numpy() for c in columns[:4])
         sketch, parity = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
                           .reshape(-1, BITS // 64).view(U64) for c in ("sketch", "parity"))
-        sets, root, ends, kept, cost = [], {}, np.zeros(len(vid), bool), (np.zeros(0, np.int64),) * 2, np.zeros(0)
+        sets, root, ends, kept = [], {}, np.zeros(len(vid), bool), (np.zeros(0, np.int64),) * 2
+        names, at_first, now = np.unique(label, return_index=True, return_inverse=True)     # now: trees of the forest
         if met == "links":
             lists = table.column("shingles").combine_chunks()
             edges, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             sets = [values[low:high] for low, high in zip(edges[:-1], edges[1:])]
         for at in range(0, int((own == first).sum()), 64):
-            a, b = _near_within(own, first, second, label, n, sketch, slice(at, at + 64))
+            a, b = _near_within(own, first, second, now, n, sketch, slice(at, at + 64))
             allowed = _allowed(n, parity, a, b)
             a, b = a[allowed], b[allowed]
             far = _parity_bits(parity, a, b) / (n[a] + n[b])
             ends[a] = ends[b] = True
-            if met == "links":
+            if met != "ends" and len(a):
                 near = np.argsort(far, kind="stable")
-                linked = near[_linked(a[near], b[near], label, sets, root)]
-                kept = tuple(np.concatenate([x, y[linked]]) for x, y in zip(kept, (a, b)))
-            elif met == "forest":                     # of the forest so far and what has come
-                a, b, cost = np.concatenate([kept[0], a]), np.concatenate([kept[1], b]), np.concatenate([cost, far])
-                tree = _forest(label[a], label[b], cost)
-                kept, cost = (a[tree], b[tree]), cost[tree]
+                picked = near[_linked(a[near], b[near], label, sets, root)] if sets else _forest(now[a], now[b], far)
+                kept = tuple(np.concatenate([x, y[picked]]) for x, y in zip(kept, (a, b)))
+                now = _joined(now, a[picked], b[picked], len(names))
+        if met == "forest":
+            ends = np.bincount(now[at_first], minlength=len(names))[now] > 1
         a, b = (vid[x] for x in kept)
         own_ends = vid[ends] if met != "links" else vid[:0]
         none = lambda k: pa.nulls(k, pa.int64())
@@ -334,7 +349,7 @@ def _sketched(mixed: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _nearest(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of large buckets: a forest of the nearest pairs of different components, and the classes of all that pass."""
+    """Of large buckets: a forest of the pairs of different components that pass, and the classes of what it joins."""
     large = mixed.where(F.col("size") > LARGE)
     return materialize(_by_blocks(_sketched(large, classes), shingles.ceil_div(F.col("size"), BLOCK), "forest"), "nearest")
 
